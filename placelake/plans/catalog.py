@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,7 @@ from placelake.functions.columns import (
 )
 from placelake.operators.aggregates import regression_metrics, summarize
 from placelake.operators.joins import pending_files, reconcile
-from placelake.operators.price_model import category_index, coefficient_table, price_pipeline, score
+from placelake.operators.price_model import REG_PARAM, category_index, coefficient_table, load_model, price_pipeline, score
 from placelake.operators.sampling import in_training, train_test_split
 from placelake.plans import exploitation, names, sample
 from placelake.plans.formatting import format_listings, format_load
@@ -61,13 +62,13 @@ ORDER_MESSAGE = T.StructType(
 )
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function's name, with its SQL if it has one."""
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, with its SQL if it has one."""
 
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        QUERIES[name] = run
         if sql is not None:
-            ORACLE_SQL[run.__name__] = sql
+            ORACLE_SQL[name] = sql
         return run
 
     return register
@@ -76,30 +77,30 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 # Formatting
 
 
-@query(f"{sample.SAMPLE_SQL} SELECT listing_id, district, neighborhood, price, \"detailedType\", \"suggestedTexts\", {PLACE_SQL} FROM listing")
+@query("format_listings", f"{sample.SAMPLE_SQL} SELECT listing_id, district, neighborhood, price, \"detailedType\", \"suggestedTexts\", {PLACE_SQL} FROM listing")
 def format_listings_places(spark, sf_dir):
     return sample.listings(spark, sf_dir)
 
 
-@query(f"{sample.SAMPLE_SQL} SELECT income_id, \"Nom_Districte\", \"Nom_Barri\", index_rfid, district, neighborhood, {PLACE_SQL} FROM income")
+@query("format_income", f"{sample.SAMPLE_SQL} SELECT income_id, \"Nom_Districte\", \"Nom_Barri\", index_rfid, district, neighborhood, {PLACE_SQL} FROM income")
 def format_income(spark, sf_dir):
     return sample.income(spark, sf_dir)
 
 
-@query(f"{sample.SAMPLE_SQL} SELECT commerce_id, \"Nom_Districte\", \"Nom_Barri\", \"Codi_Grup_Activitat\", \"Nom_Grup_Activitat\", "
+@query("format_commercial", f"{sample.SAMPLE_SQL} SELECT commerce_id, \"Nom_Districte\", \"Nom_Barri\", \"Codi_Grup_Activitat\", \"Nom_Grup_Activitat\", "
        f"district, neighborhood, {PLACE_SQL} FROM commercial")
 def format_commercial(spark, sf_dir):
     return sample.commercial(spark, sf_dir)
 
 
-@query(f"{sample.SAMPLE_SQL} SELECT income_id, index_rfid, l.neighborhood, l.neighborhood_id "
+@query("reconcile_expand", f"{sample.SAMPLE_SQL} SELECT income_id, index_rfid, l.neighborhood, l.neighborhood_id "
        "FROM raw_income LEFT JOIN lookup l ON \"Nom_Districte\" = l.district")
 def reconcile_expand(spark, sf_dir):
     rows = reconcile(sample.raw_income(spark, sf_dir), sample.lookup(spark, sf_dir), {"Nom_Districte": "district"})
     return rows.select("income_id", "index_rfid", "neighborhood", "neighborhood_id")
 
 
-@query(f"{sample.SAMPLE_SQL} SELECT income_id, index_rfid, l.neighborhood, l.neighborhood_id FROM raw_income LEFT JOIN "
+@query("reconcile_first", f"{sample.SAMPLE_SQL} SELECT income_id, index_rfid, l.neighborhood, l.neighborhood_id FROM raw_income LEFT JOIN "
        "(SELECT *, row_number() OVER (PARTITION BY district ORDER BY neighborhood) AS rn FROM lookup) l "
        "ON \"Nom_Districte\" = l.district AND l.rn = 1")
 def reconcile_first(spark, sf_dir):
@@ -108,7 +109,7 @@ def reconcile_first(spark, sf_dir):
     return rows.select("income_id", "index_rfid", "neighborhood", "neighborhood_id")
 
 
-@query("""
+@query("nested_to_json", """
 SELECT event_id, '{"user":' || CAST(user_id AS VARCHAR) || ',"kind":"' || event_type || '"}' AS as_struct,
        '["' || event_type || '","' || CAST(user_id AS VARCHAR) || '"]' AS as_array,
        '{"' || event_type || '":' || CAST(event_id AS VARCHAR) || '}' AS as_map
@@ -125,14 +126,14 @@ def nested_columns_to_json(spark, sf_dir):
     )
 
 
-@query('SELECT s_suppkey AS "Codi", s_name AS "Poblacio Propria ç", s_nationkey AS "INDEX", s_acctbal AS index_rfid FROM supplier')
+@query("normalize_columns", 'SELECT s_suppkey AS "Codi", s_name AS "Poblacio Propria ç", s_nationkey AS "INDEX", s_acctbal AS index_rfid FROM supplier')
 def normalized_columns(spark, sf_dir):
     suppliers = sample.table(spark, sf_dir, "supplier")
     accented = suppliers.toDF("Códi", "Població Própria ç", "ÍNDEX", "Índex Renda Famíliar")
     return normalize_columns(accented, last="index_rfid")
 
 
-@query("SELECT count(*) AS n_rows, true AS one_time, count(*) AS n_with_file FROM orders")
+@query("with_lineage", "SELECT count(*) AS n_rows, true AS one_time, count(*) AS n_with_file FROM orders")
 def lineage_columns(spark, sf_dir):
     rows = with_lineage(sample.table(spark, sf_dir, "orders"))
     return rows.agg(
@@ -142,14 +143,14 @@ def lineage_columns(spark, sf_dir):
     )
 
 
-@query("SELECT event_id FROM events WHERE event_type <> 'purchase'")
+@query("pending_files", "SELECT event_id FROM events WHERE event_type <> 'purchase'")
 def pending_events(spark, sf_dir):
     events = sample.table(spark, sf_dir, "events")
     logged = events.where(F.col("event_type") == "purchase")
     return pending_files(events.select("event_id"), logged, "event_id")
 
 
-@query("SELECT * FROM events")
+@query("format_load", "SELECT * FROM events")
 def format_load_once(spark, sf_dir):
     """The files of a table loaded twice over one ledger; the second load finds nothing to do."""
     root = scratch_path(spark, "format-load")
@@ -159,7 +160,7 @@ def format_load_once(spark, sf_dir):
     return read_table(spark, tables, "events").drop(PROCESS_TIME, INPUT_FILE)
 
 
-@query(f"{sample.SAMPLE_SQL} SELECT listing_id, district, neighborhood, price, \"detailedType\", \"suggestedTexts\", {PLACE_SQL} FROM listing")
+@query("format_load_listings", f"{sample.SAMPLE_SQL} SELECT listing_id, district, neighborhood, price, \"detailedType\", \"suggestedTexts\", {PLACE_SQL} FROM listing")
 def format_load_listings(spark, sf_dir):
     """Listings and their lookup landed as files, then loaded through the listings step."""
     root = scratch_path(spark, "format-listings")
@@ -176,14 +177,14 @@ def format_load_listings(spark, sf_dir):
 # Result tables
 
 
-@query(f"{sample.SAMPLE_SQL} SELECT neighborhood_id, min(district_id) AS district_id, "
+@query("listings_per_neighborhood", f"{sample.SAMPLE_SQL} SELECT neighborhood_id, min(district_id) AS district_id, "
        "min(district_n_reconciled) AS district_n_reconciled, min(neighborhood_n_reconciled) AS neighborhood_n_reconciled, "
        "count(*) AS count_list FROM listing WHERE neighborhood_id IS NOT NULL GROUP BY neighborhood_id")
 def listings_per_neighborhood(spark, sf_dir):
     return exploitation.listings_per_neighborhood(sample.listings(spark, sf_dir))
 
 
-@query(f"{sample.SAMPLE_SQL} SELECT round(avg(i.index_rfid), 4) AS avg_index, round(avg(l.price), 4) AS avg_price, "
+@query("avg_price_index", f"{sample.SAMPLE_SQL} SELECT round(avg(i.index_rfid), 4) AS avg_index, round(avg(l.price), 4) AS avg_price, "
        "l.neighborhood_id, l.neighborhood_n_reconciled, l.district_id, l.district_n_reconciled "
        "FROM listing l JOIN income i ON l.neighborhood_id = i.neighborhood_id GROUP BY 3, 4, 5, 6")
 def avg_price_index(spark, sf_dir):
@@ -191,7 +192,7 @@ def avg_price_index(spark, sf_dir):
     return result.withColumns({c: F.round(c, 4) for c in ("avg_index", "avg_price")})
 
 
-@query(f"{sample.SAMPLE_SQL} SELECT CAST(avg_index AS FLOAT) AS avg_index, price, {PLACE_SQL} FROM listing JOIN "
+@query("price_vs_index", f"{sample.SAMPLE_SQL} SELECT CAST(avg_index AS FLOAT) AS avg_index, price, {PLACE_SQL} FROM listing JOIN "
        "(SELECT neighborhood_id, avg(index_rfid) AS avg_index FROM income GROUP BY neighborhood_id) USING (neighborhood_id)")
 def price_vs_index(spark, sf_dir):
     return exploitation.price_vs_index(sample.listings(spark, sf_dir), sample.income(spark, sf_dir))
@@ -203,18 +204,18 @@ def _categories_sql(count: str) -> str:
 FROM listing l JOIN commercial c ON l.neighborhood_id = c.neighborhood_id GROUP BY 1, 2, 3, 5, 6, 7"""
 
 
-@query(_categories_sql("count(*)"))
+@query("commerce_categories", _categories_sql("count(*)"))
 def commerce_categories(spark, sf_dir):
     return exploitation.commerce_categories(sample.listings(spark, sf_dir), sample.commercial(spark, sf_dir))
 
 
-@query(_categories_sql("count(DISTINCT c.commerce_id)"))
+@query("commerce_categories_distinct", _categories_sql("count(DISTINCT c.commerce_id)"))
 def commerce_categories_distinct(spark, sf_dir):
     listings, commercial = sample.listings(spark, sf_dir), sample.commercial(spark, sf_dir)
     return exploitation.commerce_categories(listings, commercial, "distinct_facts")
 
 
-@query(f"""{sample.SAMPLE_SQL}
+@query("run_exploitation", f"""{sample.SAMPLE_SQL}
 SELECT '{names.COUNT_TABLE}' AS table_name, count(*) AS n_rows, CAST(sum(n) AS DOUBLE) AS total FROM
   (SELECT count(*) AS n FROM listing WHERE neighborhood_id IS NOT NULL GROUP BY neighborhood_id)
 UNION ALL SELECT '{names.AVERAGES_TABLE}', count(*), round(sum(p), 4) FROM
@@ -246,7 +247,7 @@ def run_exploitation(spark, sf_dir):
 # Model
 
 
-@query("""
+@query("category_index", """
 SELECT o_orderkey, o_orderpriority, idx FROM orders JOIN
   (SELECT o_orderpriority, CAST(row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS DOUBLE) AS idx
    FROM orders GROUP BY o_orderpriority) USING (o_orderpriority)""")
@@ -255,13 +256,13 @@ def order_category_index(spark, sf_dir):
     return category_index(orders, "o_orderpriority", "idx")
 
 
-@query(f"SELECT o_orderkey, CASE WHEN {TRAINING_SQL.format(key='o_orderkey')} THEN 'train' ELSE 'test' END AS part FROM orders")
+@query("train_test_split", f"SELECT o_orderkey, CASE WHEN {TRAINING_SQL.format(key='o_orderkey')} THEN 'train' ELSE 'test' END AS part FROM orders")
 def train_test_parts(spark, sf_dir):
     train, test = train_test_split(sample.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
     return train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
 
 
-@query("""
+@query("summarize", """
 SELECT 'count' AS summary, CAST(count(o_totalprice) AS DOUBLE) AS o_totalprice FROM orders
 UNION ALL SELECT 'mean', round(avg(o_totalprice), 4) FROM orders
 UNION ALL SELECT 'stddev', round(stddev_samp(o_totalprice), 4) FROM orders
@@ -272,59 +273,69 @@ def price_summary(spark, sf_dir):
     return summary.withColumn("o_totalprice", F.round(F.col("o_totalprice").cast("double"), 4))
 
 
-# Without regularisation the model's prediction for a category is the mean of its training prices.
-_MEANS_SQL = f"""{sample.SAMPLE_SQL},
+# The regularised fit in closed form. With one category per row, a category's coefficient is its
+# distance from the intercept, shrunk by its share of the rows; the rarest category is the baseline.
+_FIT_SQL = f"""
+groups AS (SELECT category, count(*) AS n, avg(price) AS mean, row_number() OVER (ORDER BY count(*), category DESC) AS rarity
+  FROM placed WHERE training GROUP BY category),
+total AS (SELECT count(*) AS n, stddev_pop(price) AS sd FROM placed WHERE training),
+shrunk AS (SELECT category, g.n, mean,
+  CASE WHEN rarity = 1 THEN 0 ELSE 1 / (1 + {REG_PARAM} / sd * (1 - CAST(g.n AS DOUBLE) / t.n)) END AS kept FROM groups g CROSS JOIN total t),
+base AS (SELECT sum(n * (1 - kept) * mean) / sum(n * (1 - kept)) AS intercept FROM shrunk),
+fitted AS (SELECT category, kept * (mean - intercept) AS coefficient, intercept FROM shrunk CROSS JOIN base),
+scored AS (SELECT placed.*, intercept + coefficient AS prediction, price - (intercept + coefficient) AS error
+  FROM placed JOIN fitted USING (category))"""
+
+_LISTING_MODEL_SQL = f"""{sample.SAMPLE_SQL},
 placed AS (SELECT listing_id, CAST(neighborhood_id AS VARCHAR) AS category, price, {TRAINING_SQL.format(key='listing_id')} AS training
-  FROM listing WHERE neighborhood_id IS NOT NULL),
-means AS (SELECT category, avg(price) AS prediction FROM placed WHERE training GROUP BY category),
-scored AS (SELECT listing_id, category, price, training, prediction, price - prediction AS error FROM placed JOIN means USING (category))
-"""
+  FROM listing WHERE neighborhood_id IS NOT NULL),{_FIT_SQL}"""
+
+_METRICS_SQL = f"""{_LISTING_MODEL_SQL}
+SELECT CASE WHEN training THEN 'train' ELSE 'test' END AS part, count(*) AS n, round(sqrt(avg(error * error)), 4) AS rmse,
+  round(1 - avg(error * error) / var_pop(price), 8) AS r2, round(avg(abs(error)), 4) AS mae FROM scored GROUP BY 1"""
 
 
 def _placed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.listings(spark, sf_dir).select("listing_id", "neighborhood_id", "price")
 
 
-def _unregularised(spark: SparkSession, sf_dir: str):
-    train, test = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
-    return price_pipeline("neighborhood_id", reg=0.0).fit(train), train, test
+def _listing_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    train, _ = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
+    return price_pipeline("neighborhood_id").fit(train)
+
+
+def _rounded_metrics(metrics: DataFrame) -> DataFrame:
+    return metrics.withColumns({"rmse": F.round("rmse", 4), "r2": F.round("r2", 8), "mae": F.round("mae", 4)})
 
 
-@query(f"{_MEANS_SQL} SELECT listing_id, price, round(prediction, 4) AS prediction, round(error, 4) AS error FROM scored WHERE NOT training")
-def score_listings(spark, sf_dir):
-    model, _, test = _unregularised(spark, sf_dir)
-    scored = with_error(score(model, test))
+@query("score", f"{_LISTING_MODEL_SQL} SELECT listing_id, price, round(prediction, 4) AS prediction, round(error, 4) AS error "
+       "FROM scored WHERE NOT training")
+def score_test_listings(spark, sf_dir):
+    _, test = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
+    scored = with_error(score(_listing_model(spark, sf_dir), test))
     return scored.select("listing_id", "price", F.round("prediction", 4).alias("prediction"), F.round("error", 4).alias("error"))
 
 
-@query(f"""{_MEANS_SQL} SELECT CASE WHEN training THEN 'train' ELSE 'test' END AS part, count(*) AS n,
-  round(sqrt(avg(error * error)), 4) AS rmse, round(1 - avg(error * error) / var_pop(price), 8) AS r2, round(avg(abs(error)), 4) AS mae
-FROM scored GROUP BY 1""")
+@query("regression_metrics", _METRICS_SQL)
 def model_metrics(spark, sf_dir):
-    listings = _placed_listings(spark, sf_dir)
-    model = _unregularised(spark, sf_dir)[0]
-    parts = listings.withColumn("part", F.when(in_training("listing_id"), "train").otherwise("test"))
-    return _rounded_metrics(regression_metrics(score(model, parts), by=["part"]))
+    parts = _placed_listings(spark, sf_dir).withColumn("part", F.when(in_training("listing_id"), "train").otherwise("test"))
+    return _rounded_metrics(regression_metrics(score(_listing_model(spark, sf_dir), parts), by=["part"]))
 
 
-@query(f"""{_MEANS_SQL},
-ranked AS (SELECT category, avg(price) AS mean, row_number() OVER (ORDER BY count(*), category DESC) AS rarity
-  FROM placed WHERE training GROUP BY category)
-SELECT r.category, round(r.mean - b.mean, 4) AS coefficient, round(b.mean, 4) AS intercept
-FROM ranked r CROSS JOIN (SELECT mean FROM ranked WHERE rarity = 1) b""")
+@query("coefficient_table", f"{_LISTING_MODEL_SQL} SELECT category, round(coefficient, 4) AS coefficient, round(intercept, 4) AS intercept FROM fitted")
 def model_coefficients(spark, sf_dir):
-    table = coefficient_table(spark, _unregularised(spark, sf_dir)[0])
+    table = coefficient_table(spark, _listing_model(spark, sf_dir))
     return table.withColumns({c: F.round(c, 4) for c in ("coefficient", "intercept")})
 
 
-def _rounded_metrics(metrics: DataFrame) -> DataFrame:
-    return metrics.withColumns({"rmse": F.round("rmse", 4), "r2": F.round("r2", 8), "mae": F.round("mae", 4)})
-
-
-@query()
-def train_regularised_model(spark, sf_dir):
+@query("train_price_model", _METRICS_SQL)
+def train_and_save(spark, sf_dir):
+    """Train, save, load again, and measure the loaded model."""
+    path = scratch_path(spark, "price-model")
     listings = _placed_listings(spark, sf_dir)
-    return _rounded_metrics(train_price_model(listings, "listing_id").metrics)
+    train_price_model(listings, "listing_id", path=path)
+    parts = listings.withColumn("part", F.when(in_training("listing_id"), "train").otherwise("test"))
+    return _rounded_metrics(regression_metrics(score(load_model(path), parts), by=["part"]))
 
 
 # Streams
@@ -334,12 +345,12 @@ def _event_messages(events: DataFrame) -> DataFrame:
     return events.select(F.concat_ws(",", *[F.col(c).cast("string") for c in ("ts", "user_id", "value")]).alias("value"))
 
 
-@query("SELECT ts AS date, user_id AS neighborhood_id, value AS price FROM events")
+@query("split_message", "SELECT ts AS date, user_id AS neighborhood_id, value AS price FROM events")
 def split_messages(spark, sf_dir):
     return split_message(_event_messages(sample.table(spark, sf_dir, "events")), EVENT_MESSAGE).drop("value")
 
 
-@query("SELECT CAST(event_id AS VARCHAR) || ',' || event_type AS value FROM events")
+@query("bad_rows", "SELECT CAST(event_id AS VARCHAR) || ',' || event_type AS value FROM events")
 def bad_messages(spark, sf_dir):
     """Messages whose second part is a word where a number is due, and which lack a third."""
     messages = sample.table(spark, sf_dir, "events").select(
@@ -348,7 +359,7 @@ def bad_messages(spark, sf_dir):
     return bad_rows(split_message(messages, EVENT_MESSAGE), EVENT_MESSAGE).select("value")
 
 
-@query("SELECT ts AS date, user_id AS neighborhood_id, value AS price FROM events")
+@query("ingest_prices", "SELECT ts AS date, user_id AS neighborhood_id, value AS price FROM events")
 def ingest_messages(spark, sf_dir):
     """Event messages streamed into a table by two runs on one checkpoint."""
     root = scratch_path(spark, "ingest")
@@ -359,16 +370,14 @@ def ingest_messages(spark, sf_dir):
     return read_table(spark, tables, names.MESSAGES_TABLE).drop("value")
 
 
-@query(f"""
-WITH means AS (SELECT o_orderpriority, avg(o_totalprice) AS mean FROM orders
-  WHERE {TRAINING_SQL.format(key='o_orderkey')} GROUP BY o_orderpriority)
-SELECT o_orderdate AS date, o_orderpriority, o_totalprice AS price, round(mean, 4) AS prediction,
-       round(o_totalprice - mean, 4) AS error
-FROM orders JOIN means USING (o_orderpriority)""")
+@query("score_stream", f"""
+WITH placed AS (SELECT o_orderdate AS date, o_orderpriority AS category, o_totalprice AS price,
+  {TRAINING_SQL.format(key='o_orderkey')} AS training FROM orders),{_FIT_SQL}
+SELECT date, category AS o_orderpriority, price, round(prediction, 4) AS prediction, round(error, 4) AS error FROM scored""")
 def score_messages(spark, sf_dir):
     """Order messages scored as a stream by a model fitted on the training share of the orders."""
     train, _ = train_test_split(sample.table(spark, sf_dir, "orders"), "o_orderkey")
-    model = price_pipeline("o_orderpriority", "o_totalprice", reg=0.0).fit(train)
+    model = price_pipeline("o_orderpriority", "o_totalprice").fit(train)
     stream = sample.table_stream(spark, sf_dir, "orders").select(
         F.concat_ws(",", *[F.col(c).cast("string") for c in ("o_orderdate", "o_orderpriority", "o_totalprice")]).alias("value")
     )
