@@ -18,6 +18,9 @@ INPUT_FILE = "_input_file_name"
 ACCENTED = "áéíóúÁÉÍÓÚ"
 FOLDED = "aeiouAEIOU"
 
+# Text that a whole number can be read from; space and control characters around it are ignored.
+_WHOLE_NUMBER = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+
 NESTED_TYPES = (T.StructType, T.ArrayType, T.MapType)
 
 
@@ -53,9 +56,14 @@ def split_message(df: DataFrame, fields: T.StructType, sep: str = ",", column: s
     last field are ignored. ``bad_rows`` selects the messages that lost a part.
     """
     parts = F.split(F.col(column), f"\\Q{sep}\\E")
-    return df.withColumns(
-        {f.name: F.get(parts, F.lit(i)).try_cast(f.dataType) for i, f in enumerate(fields.fields)}
-    )
+    return df.withColumns({f.name: _read(F.get(parts, F.lit(i)), f.dataType) for i, f in enumerate(fields.fields)})
+
+
+def _read(text: Column, t: T.DataType) -> Column:
+    # A failed try_cast to a whole number costs an exception, far more than this check.
+    if isinstance(t, T.IntegralType):
+        return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast(t))
+    return text.try_cast(t)
 
 
 def bad_rows(df: DataFrame, fields: T.StructType, column: str = "value") -> DataFrame:

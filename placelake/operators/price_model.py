@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from math import fsum, sqrt
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placelake.settings import stored
+
 # Settings of the regression.
 MAX_ITER = 10
 REG_PARAM = 0.1
 
+# Most categories of which Spark solves the regression exactly, the baseline included.
+MAX_EXACT_CATEGORIES = 4097
+
+_ROWS, _VARIANCE = "__rows", "__variance"
 _COEFFICIENTS = T.StructType(
     [
         T.StructField("category", T.StringType()),
@@ -43,6 +52,45 @@ def price_pipeline(category: str, label: str = "price", reg: float = REG_PARAM,
     )
 
 
+def fit_price_model(rows: DataFrame, category: str, label: str = "price", reg: float = REG_PARAM,
+                    invalid: str = "skip") -> PipelineModel:
+    """The model ``price_pipeline`` fits, from one aggregate over the rows.
+
+    Rows of a category share their features, so a regression on the category means, weighted
+    by row counts, has the same solution. Only the label's spread differs, by which Spark
+    scales the penalty; the penalty is corrected for it. With more categories than Spark
+    solves exactly, the iterative solver runs on the rows instead. Rows without a label are
+    left out.
+    """
+    known = rows.where(F.col(label).isNotNull())
+    groups = stored(
+        (known.where(F.col(category).isNotNull()) if invalid == "skip" else known)
+        .groupBy(F.col(category).cast("string").alias(category))
+        .agg(F.count(F.lit(1)).alias(_ROWS), F.avg(label).alias(label), F.var_pop(label).alias(_VARIANCE)),
+        "category-groups",
+    )
+    if not 1 < groups.count() <= MAX_EXACT_CATEGORIES:
+        return price_pipeline(category, label, reg, invalid).fit(known)
+    means = groups.collect()
+    ranked = sorted((-g[_ROWS], g[category].encode("utf-16-be"), g[category]) for g in means if g[category] is not None)
+    pipeline = price_pipeline(category, label, reg * _spread_of_means(means, label), invalid)
+    indexed, encoder, regression = pipeline.getStages()
+    indexer = StringIndexerModel.from_labels([r[-1] for r in ranked], category, indexed.getOutputCol(), invalid)
+    groups = indexer.transform(groups)
+    encoded = encoder.fit(groups)
+    fitted = regression.setWeightCol(_ROWS).fit(encoded.transform(groups))
+    return PipelineModel([indexer, encoded, fitted])
+
+
+def _spread_of_means(means: list[Row], label: str) -> float:
+    """Standard deviation of the category means relative to that of all labels."""
+    n = sum(g[_ROWS] for g in means)
+    center = fsum(g[_ROWS] * g[label] for g in means) / n
+    between = fsum(g[_ROWS] * (g[label] - center) ** 2 for g in means)
+    within = fsum(g[_ROWS] * g[_VARIANCE] for g in means)
+    return sqrt(between / (between + within)) if between > 0 else 1.0
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df)
 

@@ -22,7 +22,7 @@ from placelake.functions.columns import (
 )
 from placelake.operators.aggregates import regression_metrics, summarize
 from placelake.operators.joins import pending_files, reconcile
-from placelake.operators.price_model import REG_PARAM, category_index, coefficient_table, load_model, price_pipeline, score
+from placelake.operators.price_model import REG_PARAM, category_index, coefficient_table, fit_price_model, load_model, score
 from placelake.operators.sampling import in_training, train_test_split
 from placelake.plans import exploitation, names, sample
 from placelake.plans.formatting import format_listings, format_load
@@ -301,7 +301,7 @@ def _placed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _listing_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     train, _ = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
-    return price_pipeline("neighborhood_id").fit(train)
+    return fit_price_model(train, "neighborhood_id")
 
 
 def _rounded_metrics(metrics: DataFrame) -> DataFrame:
@@ -377,7 +377,7 @@ SELECT date, category AS o_orderpriority, price, round(prediction, 4) AS predict
 def score_messages(spark, sf_dir):
     """Order messages scored as a stream by a model fitted on the training share of the orders."""
     train, _ = train_test_split(sample.table(spark, sf_dir, "orders"), "o_orderkey")
-    model = price_pipeline("o_orderpriority", "o_totalprice").fit(train)
+    model = fit_price_model(train, "o_orderpriority", "o_totalprice")
     stream = sample.table_stream(spark, sf_dir, "orders").select(
         F.concat_ws(",", *[F.col(c).cast("string") for c in ("o_orderdate", "o_orderpriority", "o_totalprice")]).alias("value")
     )

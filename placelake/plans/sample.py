@@ -12,23 +12,36 @@ from pyspark.sql import functions as F
 from placelake.plans.formatting import format_commercial, format_income, format_listings
 
 
+# Columns of the sample tables.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The files of a table as a stream; the glob lets a table be one file or a folder."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_place(rows: DataFrame, nation_key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows joined with one table after the other, so that each join sees the size of the table itself."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey)
+    return rows.join(nation, F.col(nation_key) == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _places(spark, sf_dir).select(
+    places = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return places.select(
         F.col("r_name").alias("district"),
         F.col("n_name").alias("neighborhood"),
         F.col("r_regionkey").alias("district_id"),
@@ -39,9 +52,9 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    owners = customers.join(_places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-    return table(spark, sf_dir, "orders").join(owners, F.col("o_custkey") == F.col("c_custkey")).select(
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    owned = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return _with_place(owned, "c_nationkey", spark, sf_dir).select(
         F.col("o_orderkey").alias("listing_id"),
         F.col("r_name").alias("district"),
         _neighborhood("o_orderkey").alias("neighborhood"),
@@ -52,8 +65,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_income(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = table(spark, sf_dir, "supplier")
-    return suppliers.join(_places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    return _with_place(table(spark, sf_dir, "supplier"), "s_nationkey", spark, sf_dir).select(
         F.col("s_suppkey").alias("income_id"),
         F.col("r_name").alias("Nom_Districte"),
         _neighborhood("s_suppkey").alias("Nom_Barri"),
@@ -62,8 +74,7 @@ def raw_income(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_commercial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer")
-    return customers.join(_places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return _with_place(table(spark, sf_dir, "customer"), "c_nationkey", spark, sf_dir).select(
         F.col("c_custkey").alias("commerce_id"),
         F.col("r_name").alias("Nom_Districte"),
         _neighborhood("c_custkey").alias("Nom_Barri"),

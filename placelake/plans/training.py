@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placelake.operators.aggregates import regression_metrics
-from placelake.operators.price_model import REG_PARAM, coefficient_table, price_pipeline, save_model, score
+from placelake.operators.price_model import REG_PARAM, coefficient_table, fit_price_model, save_model, score
 from placelake.operators.sampling import SEED, TRAIN_SHARE, in_training
 from placelake.plans import names
 
@@ -32,7 +32,7 @@ def train_price_model(rows: DataFrame, key: str, category: str = names.NEIGHBORH
     """
     training = in_training(key, share, seed)
     parts = rows.select(category, label, F.when(training, "train").otherwise("test").alias("part"))
-    model = price_pipeline(category, label, reg).fit(rows.where(training).select(category, label))
+    model = fit_price_model(rows.where(training), category, label, reg)
     if path is not None:
         save_model(model, path, overwrite)
     metrics = regression_metrics(score(model, parts), label, by=["part"])
