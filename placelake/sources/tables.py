@@ -25,13 +25,12 @@ class ParquetTables:
 
     root: str
 
-    replays_safely = True
-
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.option("mergeSchema", True).parquet(self.path(table)).drop(*LAYOUT_COLUMNS)
+    def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
+        reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
+        return reader.parquet(self.path(table)).drop(*LAYOUT_COLUMNS)
 
     def write(self, df: DataFrame, table: str, mode: str, part: Mapping[str, object] | None = None,
               type_map: TypeMap = STRING_AND_BOOLEAN_TYPES) -> None:
@@ -60,8 +59,6 @@ class JdbcTables:
     upper_bound: str | None = None
     partitions: int = 1
 
-    replays_safely = False
-
     def partitioned(self, column: str, lower: object, upper: object, partitions: int) -> JdbcTables:
         """Read over several connections, each taking a stride of ``column`` between the bounds.
 
@@ -89,8 +86,9 @@ class JdbcTables:
             opts["createTableColumnTypes"] = ddl
         return opts
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.read_options(table)).load()
+    def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
+        df = spark.read.format("jdbc").options(**self.read_options(table)).load()
+        return df if schema is None else df.to(schema)
 
     def write(self, df: DataFrame, table: str, mode: str, part: Mapping[str, object] | None = None,
               type_map: TypeMap = STRING_AND_BOOLEAN_TYPES) -> None:
@@ -101,14 +99,17 @@ Tables = ParquetTables | JdbcTables
 
 
 def read_table(spark: SparkSession, tables: Tables, table: str, partition_column: str | None = None,
-               partitions: int = 32) -> DataFrame:
-    """Read a table; a database table is split over ``partitions`` by its smallest and largest key."""
+               partitions: int = 32, schema: T.StructType | None = None) -> DataFrame:
+    """Read a table; a database table is split over ``partitions`` by its smallest and largest key.
+
+    Passing ``schema`` saves the job that merges the footers of a large parquet table.
+    """
     if isinstance(tables, JdbcTables) and partition_column is not None:
         span = tables.read(spark, f"(SELECT min({partition_column}) AS lo, max({partition_column}) AS hi FROM {table}) span")
         lo, hi = span.first()
         if lo is not None:
             tables = tables.partitioned(partition_column, lo, hi, partitions)
-    return tables.read(spark, table)
+    return tables.read(spark, table, schema)
 
 
 def write_table(df: DataFrame, tables: Tables, table: str, mode: str = "append",

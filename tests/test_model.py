@@ -1,0 +1,132 @@
+import numpy as np
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
+
+from placelake.operators import price_model
+from placelake.operators.aggregates import regression_metrics
+from placelake.operators.price_model import (
+    category_index,
+    coefficient_table,
+    fit_price_model,
+    load_model,
+    price_pipeline,
+    save_model,
+    score,
+)
+from placelake.operators.sampling import in_training, preview, random_split, train_test_split
+from placelake.plans.training import train_price_model
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    places = F.array(*[F.lit(p) for p in ["Q1", "Q2", "Q2", "Q3", "Q3", "Q3", "Q30", None]])
+    place = F.element_at(places, (F.col("id") % 8 + 1).cast("int"))
+    price = F.coalesce(F.length(place), F.lit(9)) * 1000.0 + F.pmod(F.xxhash64("id"), F.lit(500)) + F.coalesce(F.ascii(F.substring(place, 2, 1)), F.lit(0)) * 10
+    return spark.range(2000).select("id", place.alias("place"), price.alias("price"))
+
+
+def test_category_index_ranks_by_frequency_then_name(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "c string")
+    got = {r.c: r.c_index for r in category_index(df, "c").collect()}
+    assert got == {"c": 0.0, "a": 1.0, "b": 2.0}
+    kept = {r.c: r.i for r in category_index(df, "c", "i", "keep").collect()}
+    assert kept[None] == 3.0
+
+
+@pytest.mark.parametrize("invalid", ["skip", "keep"])
+@pytest.mark.parametrize("reg", [0.0, 0.1, 500.0])
+def test_fitting_means_equals_fitting_rows(rows, reg, invalid):
+    a = price_pipeline("place", reg=reg, invalid=invalid).fit(rows)
+    b = fit_price_model(rows, "place", reg=reg, invalid=invalid)
+    assert a.stages[0].labels == b.stages[0].labels
+    assert np.allclose(a.stages[-1].coefficients.toArray(), b.stages[-1].coefficients.toArray(), rtol=1e-9, atol=1e-6)
+    assert abs(a.stages[-1].intercept - b.stages[-1].intercept) < 1e-6
+
+
+def test_many_categories_are_fitted_on_rows(rows, monkeypatch):
+    monkeypatch.setattr(price_model, "MAX_EXACT_CATEGORIES", 2)
+    a, b = fit_price_model(rows, "place"), price_pipeline("place").fit(rows)
+    assert np.allclose(a.stages[-1].coefficients.toArray(), b.stages[-1].coefficients.toArray())
+    assert not a.stages[-1].isSet("weightCol")
+
+
+def test_equal_means_have_no_effect(spark):
+    same = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 1.5), ("b", None)], "place string, price double")
+    model = fit_price_model(same, "place")
+    assert model.stages[-1].intercept == pytest.approx(1.5)
+    assert model.stages[-1].coefficients.toArray() == pytest.approx([0.0])
+
+
+def test_one_category_is_refused_as_by_the_pipeline(spark):
+    one = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "place string, price double")
+    with pytest.raises(Exception, match="two distinct values"):
+        fit_price_model(one, "place")
+
+
+def test_score_leaves_out_null_and_unseen_categories(spark, rows):
+    model = fit_price_model(rows, "place")
+    new = spark.createDataFrame([("Q1",), ("Q99",), (None,)], "place string")
+    assert [r.place for r in score(model, new).collect()] == ["Q1"]
+
+
+def test_coefficient_table_ends_with_the_baseline(spark, rows):
+    model = fit_price_model(rows, "place", reg=0.0)
+    table = {r.category: r for r in coefficient_table(spark, model).collect()}
+    means = {r.place: r.m for r in rows.where("place is not null").groupBy("place").agg(F.avg("price").alias("m")).collect()}
+    assert set(table) == set(means)
+    assert table["Q30"].coefficient == 0.0
+    assert all(r.coefficient + r.intercept == pytest.approx(means[c]) for c, r in table.items())
+
+
+def test_a_saved_model_scores_as_before(rows, tmp_path):
+    model = fit_price_model(rows, "place")
+    path = str(tmp_path / "model")
+    save_model(model, path)
+    before = score(model, rows).select("id", "prediction")
+    after = score(load_model(path), rows).select("id", "prediction")
+    assert before.exceptAll(after).count() == 0 and before.count() == after.count()
+    with pytest.raises(Exception, match="already exists"):
+        save_model(model, path)
+    save_model(model, path, overwrite=True)
+
+
+def test_metrics_agree_with_the_evaluator(rows):
+    scored = score(fit_price_model(rows, "place"), rows)
+    ours = regression_metrics(scored).first()
+    for name in ("rmse", "r2", "mae"):
+        theirs = RegressionEvaluator(labelCol="price", metricName=name).evaluate(scored)
+        assert ours[name] == pytest.approx(theirs, rel=1e-9)
+
+
+def test_train_price_model_measures_both_parts(rows):
+    trained = train_price_model(rows, "id", "place")
+    metrics = {r.part: r for r in trained.metrics.collect()}
+    known = rows.where("place is not null")
+    assert metrics["train"].n + metrics["test"].n == known.count()
+    assert metrics["train"].n == known.where(in_training("id")).count()
+    assert trained.coefficients.count() == 4
+
+
+def test_the_split_does_not_depend_on_partitions(rows):
+    train, test = train_test_split(rows, "id")
+    assert train.count() + test.count() == rows.count()
+    assert 0.65 < train.count() / rows.count() < 0.75
+    again, _ = train_test_split(rows.repartition(7), "id")
+    assert train.select("id").exceptAll(again.select("id")).count() == 0
+    other, _ = train_test_split(rows, "id", seed=25)
+    assert train.select("id").exceptAll(other.select("id")).count() > 0
+    with pytest.raises(ValueError):
+        train_test_split(rows, "id", share=1.0)
+
+
+def test_the_split_keeps_rows_without_a_key(spark):
+    df = spark.createDataFrame([(None,), (None,), (1,)], "id int")
+    train, test = train_test_split(df, "id")
+    assert train.count() + test.count() == 3
+
+
+def test_random_split_and_preview(rows):
+    train, test = random_split(rows)
+    assert train.count() + test.count() == rows.count()
+    assert preview(rows, 3).count() == 3
