@@ -36,7 +36,9 @@ def measured_bytes(df: DataFrame) -> int:
     for f in df.schema.fields:
         width = _WIDTHS.get(type(f.dataType))
         if width is None:
-            varying = varying + F.coalesce(F.octet_length(df[quoted(f.name)].cast("string")), F.lit(0))
+            value = F.col(quoted(f.name))
+            text = value if isinstance(f.dataType, (T.StringType, T.BinaryType)) else value.cast("string")
+            varying = varying + F.coalesce(F.octet_length(text), F.lit(0))
         else:
             fixed += width
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(varying), F.lit(0)).alias("v")).first()

@@ -20,10 +20,10 @@ from placelake.functions.columns import (
     with_error,
     with_lineage,
 )
-from placelake.operators.aggregates import regression_metrics, summarize
+from placelake.operators.aggregates import fanout_avg, fanout_count, regression_metrics, summarize
 from placelake.operators.joins import pending_files, reconcile
 from placelake.operators.price_model import REG_PARAM, category_index, coefficient_table, fit_price_model, load_model, score
-from placelake.operators.sampling import in_training, train_test_split
+from placelake.operators.sampling import TRAIN_SHARE, in_training, random_split, train_test_split
 from placelake.plans import exploitation, names, sample
 from placelake.plans.formatting import format_listings, format_load
 from placelake.plans.training import train_price_model
@@ -215,6 +215,27 @@ def commerce_categories_distinct(spark, sf_dir):
     return exploitation.commerce_categories(listings, commercial, "distinct_facts")
 
 
+@query("fanout_count", """
+SELECT f.c_nationkey, o.c_mktsegment, count(*) AS n FROM (SELECT c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey) f
+JOIN customer o ON f.c_nationkey = o.c_nationkey GROUP BY 1, 2""")
+def orders_by_segment(spark, sf_dir):
+    """Orders times customers by nation and segment: the fan-out without any lookup."""
+    orders, customers = sample.table(spark, sf_dir, "orders"), sample.table(spark, sf_dir, "customer")
+    facts = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("c_nationkey")
+    return fanout_count(facts, customers, "c_nationkey", [], ["c_mktsegment"], "n")
+
+
+@query("fanout_avg", """
+SELECT round(avg(s_acctbal), 4) AS avg_balance, round(avg(o_totalprice), 4) AS avg_price, s_nationkey AS nation, c_mktsegment
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN supplier ON c_nationkey = s_nationkey GROUP BY 3, 4""")
+def averages_by_segment(spark, sf_dir):
+    orders, customers = sample.table(spark, sf_dir, "orders"), sample.table(spark, sf_dir, "customer")
+    facts = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumnRenamed("c_nationkey", "nation")
+    suppliers = sample.table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "nation")
+    result = fanout_avg(facts, suppliers, "nation", ["c_mktsegment"], "o_totalprice", "s_acctbal", "avg_price", "avg_balance")
+    return result.withColumns({c: F.round(c, 4) for c in ("avg_balance", "avg_price")})
+
+
 @query("run_exploitation", f"""{sample.SAMPLE_SQL}
 SELECT '{names.COUNT_TABLE}' AS table_name, count(*) AS n_rows, CAST(sum(n) AS DOUBLE) AS total FROM
   (SELECT count(*) AS n FROM listing WHERE neighborhood_id IS NOT NULL GROUP BY neighborhood_id)
@@ -262,6 +283,14 @@ def train_test_parts(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
 
 
+@query("random_split", "SELECT count(*) AS n_rows, true AS near_share FROM orders")
+def random_split_shares(spark, sf_dir):
+    """Which rows the random split draws is not fixed; that it loses none and keeps the share is."""
+    train, test = random_split(sample.table(spark, sf_dir, "orders").select("o_orderkey"))
+    drawn = train.select(F.lit(1).alias("drawn")).unionAll(test.select(F.lit(0)))
+    return drawn.agg(F.count(F.lit(1)).alias("n_rows"), (F.abs(F.avg("drawn") - TRAIN_SHARE) < 0.05).alias("near_share"))
+
+
 @query("summarize", """
 SELECT 'count' AS summary, CAST(count(o_totalprice) AS DOUBLE) AS o_totalprice FROM orders
 UNION ALL SELECT 'mean', round(avg(o_totalprice), 4) FROM orders
