@@ -46,17 +46,17 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def bounded_join(rows: DataFrame, side: DataFrame, on: Keys, how: str = "inner",
-                 max_bytes: int = BROADCAST_BYTES, salts: int | None = None) -> DataFrame:
+                 max_bytes: int = BROADCAST_BYTES, salts: int | None = None, side_bytes: int | None = None) -> DataFrame:
     """Join a large row set with a side that is usually, but not surely, small.
 
-    The side is measured first. Within ``max_bytes`` it is broadcast and the rows are not
+    The side is measured first, unless its size is given. Within ``max_bytes`` it is broadcast and the rows are not
     shuffled. Beyond that both sides are shuffled, and the rows of a hot key are spread: by
     Spark's own splitting of skewed partitions, or, where the session has that switched off
     or ``salts`` is given, by a salt on the rows and one copy of the side per salt.
 
     ``on`` lists shared key names (one copy kept) or maps row keys to side keys (both kept).
     """
-    if measured_bytes(side) <= max_bytes:
+    if (measured_bytes(side) if side_bytes is None else side_bytes) <= max_bytes:
         return _join(rows, F.broadcast(side), on, how)
     if salts is None:
         salts = 1 if _splits_skew(rows) else SALTS

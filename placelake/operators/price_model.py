@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from math import fsum, sqrt
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from placelake.operators.joins import bounded_join
 from placelake.settings import stored
 
 # Settings of the regression.
@@ -21,13 +22,8 @@ REG_PARAM = 0.1
 MAX_EXACT_CATEGORIES = 4097
 
 _ROWS, _VARIANCE = "__rows", "__variance"
-_COEFFICIENTS = T.StructType(
-    [
-        T.StructField("category", T.StringType()),
-        T.StructField("coefficient", T.DoubleType()),
-        T.StructField("intercept", T.DoubleType()),
-    ]
-)
+_CATEGORY = "__category"
+_ENTRY_BYTES = 32
 
 
 def category_indexer(column: str, alias: str | None = None, invalid: str = "skip") -> StringIndexer:
@@ -92,15 +88,35 @@ def _spread_of_means(means: list[Row], label: str) -> float:
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Add the prediction and the columns it was made from."""
     return model.transform(df)
 
 
+def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Add the prediction alone, by a join with the coefficients instead of vectors per row.
+
+    Rows, batch or streaming, and values are those of ``score``; the work stays in generated code.
+    """
+    indexer, _, regression = model.stages
+    labels, keeps = indexer.labels, indexer.getHandleInvalid() == "keep"
+    table = coefficient_table(df.sparkSession, model).select(
+        F.col("category").alias(_CATEGORY), (F.col("coefficient") + F.col("intercept")).alias("prediction")
+    )
+    keyed = df.withColumn(_CATEGORY, F.col(indexer.getInputCol()).cast("string"))
+    size = sum(len(c.encode()) + _ENTRY_BYTES for c in labels)
+    joined = bounded_join(keyed, table, [_CATEGORY], "left" if keeps else "inner", side_bytes=size).drop(_CATEGORY)
+    return joined.fillna(regression.intercept, "prediction") if keeps else joined
+
+
 def coefficient_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """One row per category with its coefficient; the last category is the baseline at 0."""
+    """One row per category with its coefficient; the last category is the baseline at 0.
+
+    Where missing categories are kept, they are the baseline and have no row.
+    """
     labels, regression = model.stages[0].labels, model.stages[-1]
-    weights = [*regression.coefficients.toArray().tolist(), 0.0]
-    rows = [(c, w, regression.intercept) for c, w in zip(labels, weights)]
-    return spark.createDataFrame(rows, _COEFFICIENTS)
+    weights = [*regression.coefficients.toArray().tolist(), 0.0][: len(labels)]
+    columns = [pa.array(labels, pa.string()), pa.array(weights, pa.float64()), pa.repeat(regression.intercept, len(labels))]
+    return spark.createDataFrame(pa.table(columns, ["category", "coefficient", "intercept"]))
 
 
 def save_model(model: PipelineModel, path: str, overwrite: bool = False) -> None:

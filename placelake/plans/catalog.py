@@ -22,7 +22,7 @@ from placelake.functions.columns import (
 )
 from placelake.operators.aggregates import fanout_avg, fanout_count, regression_metrics, summarize
 from placelake.operators.joins import pending_files, reconcile
-from placelake.operators.price_model import REG_PARAM, category_index, coefficient_table, fit_price_model, load_model, score
+from placelake.operators.price_model import REG_PARAM, category_index, coefficient_table, fit_price_model, load_model, predict, score
 from placelake.operators.sampling import TRAIN_SHARE, in_training, random_split, train_test_split
 from placelake.plans import exploitation, names, sample
 from placelake.plans.formatting import format_listings, format_load
@@ -53,6 +53,7 @@ EVENT_MESSAGE = T.StructType(
         T.StructField("price", T.DoubleType()),
     ]
 )
+COUNTED_MESSAGE = T.StructType([*EVENT_MESSAGE.fields[:2], T.StructField("price", T.LongType())])
 ORDER_MESSAGE = T.StructType(
     [
         T.StructField("date", T.TimestampNTZType()),
@@ -279,8 +280,9 @@ def order_category_index(spark, sf_dir):
 
 @query("train_test_split", f"SELECT o_orderkey, CASE WHEN {TRAINING_SQL.format(key='o_orderkey')} THEN 'train' ELSE 'test' END AS part FROM orders")
 def train_test_parts(spark, sf_dir):
-    train, test = train_test_split(sample.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
-    return train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
+    """The part of each order, from one scan."""
+    orders = sample.table(spark, sf_dir, "orders").select("o_orderkey")
+    return orders.withColumn("part", F.when(in_training("o_orderkey"), "train").otherwise("test"))
 
 
 @query("random_split", "SELECT count(*) AS n_rows, true AS near_share FROM orders")
@@ -345,10 +347,18 @@ def score_test_listings(spark, sf_dir):
     return scored.select("listing_id", "price", F.round("prediction", 4).alias("prediction"), F.round("error", 4).alias("error"))
 
 
+@query("predict", f"{_LISTING_MODEL_SQL} SELECT listing_id, price, round(prediction, 4) AS prediction, round(error, 4) AS error "
+       "FROM scored WHERE NOT training")
+def predict_test_listings(spark, sf_dir):
+    _, test = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
+    scored = with_error(predict(_listing_model(spark, sf_dir), test))
+    return scored.select("listing_id", "price", F.round("prediction", 4).alias("prediction"), F.round("error", 4).alias("error"))
+
+
 @query("regression_metrics", _METRICS_SQL)
 def model_metrics(spark, sf_dir):
     parts = _placed_listings(spark, sf_dir).withColumn("part", F.when(in_training("listing_id"), "train").otherwise("test"))
-    return _rounded_metrics(regression_metrics(score(_listing_model(spark, sf_dir), parts), by=["part"]))
+    return _rounded_metrics(regression_metrics(predict(_listing_model(spark, sf_dir), parts), by=["part"]))
 
 
 @query("coefficient_table", f"{_LISTING_MODEL_SQL} SELECT category, round(coefficient, 4) AS coefficient, round(intercept, 4) AS intercept FROM fitted")
@@ -364,7 +374,7 @@ def train_and_save(spark, sf_dir):
     listings = _placed_listings(spark, sf_dir)
     train_price_model(listings, "listing_id", path=path)
     parts = listings.withColumn("part", F.when(in_training("listing_id"), "train").otherwise("test"))
-    return _rounded_metrics(regression_metrics(score(load_model(path), parts), by=["part"]))
+    return _rounded_metrics(regression_metrics(predict(load_model(path), parts), by=["part"]))
 
 
 # Streams
@@ -379,13 +389,13 @@ def split_messages(spark, sf_dir):
     return split_message(_event_messages(sample.table(spark, sf_dir, "events")), EVENT_MESSAGE).drop("value")
 
 
-@query("bad_rows", "SELECT CAST(event_id AS VARCHAR) || ',' || event_type AS value FROM events")
+@query("bad_rows", "SELECT event_id FROM events WHERE event_type IN ('error', 'signup')")
 def bad_messages(spark, sf_dir):
-    """Messages whose second part is a word where a number is due, and which lack a third."""
-    messages = sample.table(spark, sf_dir, "events").select(
-        F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value")
-    )
-    return bad_rows(split_message(messages, EVENT_MESSAGE), EVENT_MESSAGE).select("value")
+    """Messages that end in a word where a number is due, or end early."""
+    events = sample.table(spark, sf_dir, "events")
+    last = F.when(F.col("event_type") == "error", "error").when(F.col("event_type") != "signup", F.col("event_id").cast("string"))
+    messages = events.select("event_id", F.concat_ws(",", F.col("ts").cast("string"), F.col("user_id").cast("string"), last).alias("value"))
+    return bad_rows(split_message(messages, COUNTED_MESSAGE), COUNTED_MESSAGE).select("event_id")
 
 
 @query("ingest_prices", "SELECT ts AS date, user_id AS neighborhood_id, value AS price FROM events")

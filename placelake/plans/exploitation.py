@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placelake.functions.ddl import STRING_TYPES
@@ -10,7 +10,7 @@ from placelake.operators.aggregates import count_per_key, fanout_avg, fanout_cou
 from placelake.operators.joins import attach_group_avg
 from placelake.plans import names
 from placelake.settings import stored
-from placelake.sources.tables import Tables, write_table
+from placelake.sources.tables import Tables, read_table, write_table
 
 KEY, PLACE_NAMES = names.NEIGHBORHOOD, names.PLACE_NAMES
 _WEIGHT = "n_listings"
@@ -40,6 +40,15 @@ def listing_groups(listings: DataFrame) -> DataFrame:
     return listings.groupBy(KEY, *PLACE_NAMES).agg(F.count(F.lit(1)).alias(_WEIGHT), F.avg("price").alias("price"))
 
 
+def exploit_tables(spark: SparkSession, formatted: Tables, results: Tables, partition_column: str | None = None) -> None:
+    """``run_exploitation`` over the formatted tables; a key splits reads from a database."""
+    listings, income, commercial = (
+        read_table(spark, formatted, name, partition_column)
+        for name in (names.LISTINGS_TABLE, names.INCOME_TABLE, names.COMMERCIAL_TABLE)
+    )
+    run_exploitation(listings, income, commercial, results)
+
+
 def run_exploitation(listings: DataFrame, income: DataFrame, commercial: DataFrame, tables: Tables) -> None:
     """Overwrite the four result tables, scanning the listings twice: once in groups, once in rows."""
     groups = stored(listing_groups(listings), "listing-groups")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placelake.operators.aggregates import regression_metrics
-from placelake.operators.price_model import REG_PARAM, coefficient_table, fit_price_model, save_model, score
+from placelake.operators.price_model import REG_PARAM, coefficient_table, fit_price_model, predict, save_model
 from placelake.operators.sampling import SEED, TRAIN_SHARE, in_training
 from placelake.plans import names
 
@@ -35,5 +35,5 @@ def train_price_model(rows: DataFrame, key: str, category: str = names.NEIGHBORH
     model = fit_price_model(rows.where(training), category, label, reg)
     if path is not None:
         save_model(model, path, overwrite)
-    metrics = regression_metrics(score(model, parts), label, by=["part"])
+    metrics = regression_metrics(predict(model, parts), label, by=["part"])
     return TrainedModel(model, metrics, coefficient_table(rows.sparkSession, model))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from placelake.functions.columns import split_message, with_error
+from placelake.operators.price_model import predict
 from placelake.plans import names
 from placelake.sources.tables import Tables
 from placelake.streaming.messages import PRICE_MESSAGE, SCORED_MESSAGE
@@ -26,5 +27,5 @@ def score_stream(stream: DataFrame, model: PipelineModel, fields: T.StructType =
 
     Messages whose category is null or was not seen in training are left out.
     """
-    scored = model.transform(split_message(stream, fields))
+    scored = predict(model, split_message(stream, fields))
     return with_error(scored.select(*fields.fieldNames(), "prediction"), label)

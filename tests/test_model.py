@@ -10,6 +10,7 @@ from placelake.operators.price_model import (
     coefficient_table,
     fit_price_model,
     load_model,
+    predict,
     price_pipeline,
     save_model,
     score,
@@ -70,6 +71,18 @@ def test_score_leaves_out_null_and_unseen_categories(spark, rows):
     assert [r.place for r in score(model, new).collect()] == ["Q1"]
 
 
+@pytest.mark.parametrize("invalid", ["skip", "keep"])
+def test_predict_equals_score(spark, rows, invalid):
+    model = fit_price_model(rows, "place", invalid=invalid)
+    new = rows.select("id", "place").union(spark.createDataFrame([(-1, "Q99"), (-2, None)], "id long, place string"))
+    got, want = predict(model, new), score(model, new).select("id", "place", "prediction")
+    assert got.columns == want.columns
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    numbers = rows.withColumn("place", F.length("place"))
+    by_number = fit_price_model(numbers, "place", invalid=invalid)
+    assert predict(by_number, numbers).exceptAll(score(by_number, numbers).select("id", "place", "price", "prediction")).count() == 0
+
+
 def test_coefficient_table_ends_with_the_baseline(spark, rows):
     model = fit_price_model(rows, "place", reg=0.0)
     table = {r.category: r for r in coefficient_table(spark, model).collect()}
