@@ -50,12 +50,17 @@ def exploit_tables(spark: SparkSession, formatted: Tables, results: Tables, part
 
 
 def run_exploitation(listings: DataFrame, income: DataFrame, commercial: DataFrame, tables: Tables) -> None:
-    """Overwrite the four result tables, scanning the listings twice: once in groups, once in rows."""
+    """Overwrite the four result tables.
+
+    The listings are scanned twice, once in groups and once in rows, the other tables once:
+    a group's average stands in for its rows wherever an average is taken.
+    """
     groups = stored(listing_groups(listings), "listing-groups")
+    averages = stored(income.groupBy(KEY).agg(F.avg("index_rfid").alias("index_rfid")), "income-averages")
     results = {
         names.COUNT_TABLE: listings_per_neighborhood(groups, _WEIGHT),
-        names.AVERAGES_TABLE: avg_price_index(groups, income),
-        names.PRICES_TABLE: price_vs_index(listings, income),
+        names.AVERAGES_TABLE: avg_price_index(groups, averages),
+        names.PRICES_TABLE: price_vs_index(listings, averages),
         names.CATEGORIES_TABLE: commerce_categories(groups, commercial, weight=_WEIGHT),
     }
     for table, df in results.items():

@@ -9,6 +9,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from placelake.functions.columns import nested_to_json, with_lineage
 from placelake.operators.joins import pending_files, reconcile
@@ -17,6 +18,7 @@ from placelake.sources.files import list_files, read_landing, read_lookup
 from placelake.sources.ledger import append_ledger, chunk_files, claim_files, open_chunks, read_ledger
 from placelake.sources.registry import Source, source_named, sources_of, select_sources
 from placelake.sources.tables import Tables, write_table
+from placelake.streaming.sinks import stream_to_table
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -48,27 +50,31 @@ def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables
     at = datetime.now(timezone.utc)
     done = sum(_load_chunk(spark, source, ledger, tables, step, schema, at, *c) for c in open_chunks(spark, ledger, source.name))
     files = pending_files(list_files(spark, source.landing_path), read_ledger(spark, ledger)).select("file_name")
-    n_files = files.count()
-    if n_files == 0:
-        return done
-    claim_files(files, ledger, source.name, f"load-{uuid4().hex}", ceil(n_files / files_per_chunk))
-    return done + sum(
-        _load_chunk(spark, source, ledger, tables, step, schema, at, *c) for c in open_chunks(spark, ledger, source.name)
-    )
+    load_id, chunks = f"load-{uuid4().hex}", ceil(files.count() / files_per_chunk)
+    if chunks > 0:
+        claim_files(files, ledger, source.name, load_id, chunks)
+    return done + sum(_load_chunk(spark, source, ledger, tables, step, schema, at, load_id, c) for c in range(chunks))
 
 
 def _load_chunk(spark: SparkSession, source: Source, ledger: str, tables: Tables, step: Step | None,
                 schema: T.StructType | None, at: datetime, load_id: str, chunk: int) -> int:
     files = chunk_files(spark, ledger, source.name, load_id, chunk)
     paths = [r.file_name for r in files.toLocalIterator()]
-    df = with_lineage(read_landing(spark, paths, schema), at)
-    if step is not None:
-        df = step(df)
-    write_table(df, tables, source.table, "append", {"load_id": f"{load_id}-{chunk}"})
-    append_ledger(files, ledger, source.name, at)
+    if paths:
+        df = with_lineage(read_landing(spark, paths, schema), at)
+        write_table(df if step is None else step(df), tables, source.table, "append", {"load_id": f"{load_id}-{chunk}"})
+        append_ledger(files, ledger, source.name, at)
     return len(paths)
 
 
+def format_stream(spark: SparkSession, source: Source, checkpoint: str, tables: Tables, schema: T.StructType,
+                  step: Step | None = None, files_per_batch: int = FILES_PER_CHUNK) -> StreamingQuery:
+    """The same load with a stream's checkpoint for a ledger: takes the files that are there, then ends."""
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source.landing_path)
+    df = with_lineage(files)
+    return stream_to_table(df if step is None else step(df), tables, source.table, checkpoint, available_now=True)
+
+
 def format_steps(spark: SparkSession, registry: DataFrame) -> dict[str, Step]:
     """The step of each known source, over the newest lookup table of its registry entry."""
 

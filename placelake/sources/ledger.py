@@ -71,9 +71,8 @@ def open_chunks(spark: SparkSession, path: str, source_name: str) -> list[tuple[
         .join(read_ledger(spark, path), "file_name", "left_anti")
         .select("load_id", "chunk")
         .distinct()
-        .orderBy("load_id", "chunk")
     )
-    return [(r.load_id, r.chunk) for r in rows.toLocalIterator()]
+    return sorted((r.load_id, r.chunk) for r in rows.toLocalIterator())
 
 
 def chunk_files(spark: SparkSession, path: str, source_name: str, load_id: str, chunk: int) -> DataFrame:

@@ -11,6 +11,7 @@ from placelake.sources.files import list_files, read_landing, read_lookup
 from placelake.sources.ledger import append_ledger, ledger_rows, read_ledger
 from placelake.sources.registry import Source, read_registry, select_sources, source_named, sources_of
 from placelake.sources.tables import ParquetTables, read_table
+from placelake.streaming.sinks import run_available
 
 
 def land(spark, path, rows, schema):
@@ -147,6 +148,17 @@ def test_a_load_cut_off_during_its_write_is_finished_once(spark, source, tables,
     assert ids(spark, tables) == [1]
 
 
+def test_a_stream_loads_each_file_once_too(spark, source, tables, tmp_path):
+    schema = spark.range(0).schema
+    for i in range(3):
+        land(spark, source.landing_path, [(i,)], "id long")
+        query = formatting.format_stream(spark, source, str(tmp_path / "checkpoint"), tables, schema, files_per_batch=1)
+        run_available(query, 120)
+    assert ids(spark, tables) == [0, 1, 2]
+    loaded = read_table(spark, tables, "things")
+    assert loaded.where("_input_file_name LIKE '%.parquet' AND _process_time IS NOT NULL").count() == 3
+
+
 REGISTRY = [
     {"name": names.LISTINGS_SOURCE, "format": "json", "source_path": "/l", "group_regex": "(\\d{4}).*", "dest_table": names.LISTINGS_TABLE},
     {"name": names.INCOME_SOURCE, "format": "csv", "source_path": "/i", "dest_table": names.INCOME_TABLE},
