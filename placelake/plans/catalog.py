@@ -127,10 +127,10 @@ def nested_columns_to_json(spark, sf_dir):
     )
 
 
-@query("normalize_columns", 'SELECT s_suppkey AS "Codi", s_name AS "Poblacio Propria ç", s_nationkey AS "INDEX", s_acctbal AS index_rfid FROM supplier')
+@query("normalize_columns", 'SELECT s_suppkey AS "Codi", s_name AS "Poblacio_Propria_ç", s_nationkey AS "INDEX", s_acctbal AS index_rfid FROM supplier')
 def normalized_columns(spark, sf_dir):
     suppliers = sample.table(spark, sf_dir, "supplier")
-    accented = suppliers.toDF("Códi", "Població Própria ç", "ÍNDEX", "Índex Renda Famíliar")
+    accented = suppliers.toDF("Códi", "Població_Própria_ç", "ÍNDEX", "Índex_Renda")
     return normalize_columns(accented, last="index_rfid")
 
 
@@ -322,8 +322,8 @@ placed AS (SELECT listing_id, CAST(neighborhood_id AS VARCHAR) AS category, pric
   FROM listing WHERE neighborhood_id IS NOT NULL),{_FIT_SQL}"""
 
 _METRICS_SQL = f"""{_LISTING_MODEL_SQL}
-SELECT CASE WHEN training THEN 'train' ELSE 'test' END AS part, count(*) AS n, round(sqrt(avg(error * error)), 4) AS rmse,
-  round(1 - avg(error * error) / var_pop(price), 8) AS r2, round(avg(abs(error)), 4) AS mae FROM scored GROUP BY 1"""
+SELECT CASE WHEN training THEN 'train' ELSE 'test' END AS part, count(*) AS n, round(sqrt(avg(error * error)), 2) AS rmse,
+  round(1 - avg(error * error) / var_pop(price), 8) AS r2, round(avg(abs(error)), 2) AS mae FROM scored GROUP BY 1"""
 
 
 def _placed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,23 +336,23 @@ def _listing_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
 
 
 def _rounded_metrics(metrics: DataFrame) -> DataFrame:
-    return metrics.withColumns({"rmse": F.round("rmse", 4), "r2": F.round("r2", 8), "mae": F.round("mae", 4)})
+    return metrics.withColumns({"rmse": F.round("rmse", 2), "r2": F.round("r2", 8), "mae": F.round("mae", 2)})
 
 
-@query("score", f"{_LISTING_MODEL_SQL} SELECT listing_id, price, round(prediction, 4) AS prediction, round(error, 4) AS error "
+@query("score", f"{_LISTING_MODEL_SQL} SELECT listing_id, price, round(prediction, 2) AS prediction, round(error, 2) AS error "
        "FROM scored WHERE NOT training")
 def score_test_listings(spark, sf_dir):
     _, test = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
     scored = with_error(score(_listing_model(spark, sf_dir), test))
-    return scored.select("listing_id", "price", F.round("prediction", 4).alias("prediction"), F.round("error", 4).alias("error"))
+    return scored.select("listing_id", "price", F.round("prediction", 2).alias("prediction"), F.round("error", 2).alias("error"))
 
 
-@query("predict", f"{_LISTING_MODEL_SQL} SELECT listing_id, price, round(prediction, 4) AS prediction, round(error, 4) AS error "
+@query("predict", f"{_LISTING_MODEL_SQL} SELECT listing_id, price, round(prediction, 2) AS prediction, round(error, 2) AS error "
        "FROM scored WHERE NOT training")
 def predict_test_listings(spark, sf_dir):
     _, test = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
     scored = with_error(predict(_listing_model(spark, sf_dir), test))
-    return scored.select("listing_id", "price", F.round("prediction", 4).alias("prediction"), F.round("error", 4).alias("error"))
+    return scored.select("listing_id", "price", F.round("prediction", 2).alias("prediction"), F.round("error", 2).alias("error"))
 
 
 @query("regression_metrics", _METRICS_SQL)
@@ -361,10 +361,10 @@ def model_metrics(spark, sf_dir):
     return _rounded_metrics(regression_metrics(predict(_listing_model(spark, sf_dir), parts), by=["part"]))
 
 
-@query("coefficient_table", f"{_LISTING_MODEL_SQL} SELECT category, round(coefficient, 4) AS coefficient, round(intercept, 4) AS intercept FROM fitted")
+@query("coefficient_table", f"{_LISTING_MODEL_SQL} SELECT category, round(coefficient, 2) AS coefficient, round(intercept, 2) AS intercept FROM fitted")
 def model_coefficients(spark, sf_dir):
     table = coefficient_table(spark, _listing_model(spark, sf_dir))
-    return table.withColumns({c: F.round(c, 4) for c in ("coefficient", "intercept")})
+    return table.withColumns({c: F.round(c, 2) for c in ("coefficient", "intercept")})
 
 
 @query("train_price_model", _METRICS_SQL)
@@ -412,7 +412,7 @@ def ingest_messages(spark, sf_dir):
 @query("score_stream", f"""
 WITH placed AS (SELECT o_orderdate AS date, o_orderpriority AS category, o_totalprice AS price,
   {TRAINING_SQL.format(key='o_orderkey')} AS training FROM orders),{_FIT_SQL}
-SELECT date, category AS o_orderpriority, price, round(prediction, 4) AS prediction, round(error, 4) AS error FROM scored""")
+SELECT date, category AS o_orderpriority, price, round(prediction, 2) AS prediction, round(error, 2) AS error FROM scored""")
 def score_messages(spark, sf_dir):
     """Order messages scored as a stream by a model fitted on the training share of the orders."""
     train, _ = train_test_split(sample.table(spark, sf_dir, "orders"), "o_orderkey")
@@ -424,4 +424,4 @@ def score_messages(spark, sf_dir):
     tables = ParquetTables(f"{root}/tables")
     scored = jobs.score_stream(stream, model, ORDER_MESSAGE)
     run_available(stream_to_table(scored, tables, "scored", f"{root}/checkpoint", available_now=True))
-    return read_table(spark, tables, "scored").withColumns({c: F.round(c, 4) for c in ("prediction", "error")})
+    return read_table(spark, tables, "scored").withColumns({c: F.round(c, 2) for c in ("prediction", "error")})
