@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 
 from placelake.functions.ddl import STRING_AND_BOOLEAN_TYPES, column_types_ddl
 
-# Folder levels a parquet table may have above its files; they are layout, not data.
-LAYOUT_COLUMNS = ("load_id", "stream_id", "batch_id")
-
 TypeMap = Mapping[type[T.DataType], str]
 
 
@@ -20,7 +17,8 @@ TypeMap = Mapping[type[T.DataType], str]
 class ParquetTables:
     """Tables as folders below ``root``.
 
-    A write that names its part replaces just that part, so repeating it adds nothing.
+    A write that names its part replaces just that part, so repeating it adds nothing. Parts
+    are folders of the table; reads take all files below it, whatever parts they came in.
     """
 
     root: str
@@ -30,7 +28,7 @@ class ParquetTables:
 
     def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
         reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
-        return reader.parquet(self.path(table)).drop(*LAYOUT_COLUMNS)
+        return reader.option("recursiveFileLookup", True).parquet(self.path(table))
 
     def write(self, df: DataFrame, table: str, mode: str, part: Mapping[str, object] | None = None,
               type_map: TypeMap = STRING_AND_BOOLEAN_TYPES) -> None:

@@ -5,7 +5,6 @@ from pyspark.sql import types as T
 from placelake import settings
 from placelake.functions.ddl import STRING_TYPES
 from placelake.plans import exploitation, names, sample
-from placelake.sources import tables as tables_module
 from placelake.sources.tables import JdbcTables, ParquetTables, read_table, write_table
 
 SF = "/root/testdata/sf0.001"
@@ -27,6 +26,15 @@ def test_parquet_modes_and_parts(spark, tmp_path):
     assert read_table(spark, store, "parted", schema=df.schema).columns == ["id"]
 
 
+def test_parquet_parts_of_all_kinds_make_one_table(spark, tmp_path):
+    store = ParquetTables(str(tmp_path))
+    df = spark.range(2).withColumn("load_id", F.lit("data"))
+    for part in (None, {"load_id": "a"}, {"stream_id": "s", "batch_id": 0}, {"stream_id": "s", "batch_id": 1}, {"stream_id": "s", "batch_id": 0}):
+        write_table(df, store, "t", part=part)
+    got = read_table(spark, store, "t")
+    assert got.count() == 8 and got.columns == ["id", "load_id"] and got.where("load_id = 'data'").count() == 8
+
+
 def test_parquet_parts_may_differ_in_columns(spark, tmp_path):
     store = ParquetTables(str(tmp_path))
     write_table(spark.range(1), store, "t", part={"load_id": "a"})
@@ -60,6 +68,13 @@ def test_database_reads_are_split_between_the_smallest_and_largest_key(spark, mo
     }
 
 
+def test_the_database_source_gets_the_options(spark):
+    with pytest.raises(Exception, match="any.Driver"):
+        read_table(spark, DATABASE, "listings")
+    with pytest.raises(Exception, match="any.Driver"):
+        write_table(spark.range(1), DATABASE, "listings")
+
+
 def test_an_empty_database_table_is_read_whole(spark, monkeypatch):
     asked = []
 
