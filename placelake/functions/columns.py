@@ -55,10 +55,17 @@ def split_message(df: DataFrame, fields: T.StructType, sep: str = ",", column: s
     A missing or malformed part becomes null instead of failing the query; parts beyond the
     last field are ignored. ``bad_rows`` selects the messages that lost a part.
     """
-    parts = F.split(F.col(column), f"\\Q{sep}\\E")
+    parts = F.split(F.col(column), _separator_pattern(sep))
     return df.withColumns({f.name: _read(F.get(parts, F.lit(i)), f.dataType) for i, f in enumerate(fields.fields)})
 
 
+def _separator_pattern(sep: str) -> str:
+    # One character is split on without a regular expression, several times faster.
+    if len(sep) == 1:
+        return sep if sep.isalnum() else f"\\{sep}"
+    return f"\\Q{sep}\\E"
+
+
 def _read(text: Column, t: T.DataType) -> Column:
     # A failed try_cast to a whole number costs an exception, far more than this check.
     if isinstance(t, T.IntegralType):

@@ -70,10 +70,14 @@ def bounded_join(rows: DataFrame, side: DataFrame, on: Keys, how: str = "inner",
 
 
 def row_hash(df: DataFrame) -> Column:
-    """Hash of a row's content, so that a repeated task sends each row the same way."""
+    """Hash of a row's content and partition.
+
+    A repeated task sends each row the same way as before, and copies of one row, which have
+    nothing else to tell them apart, part by the partitions they lie in.
+    """
     cols = [F.col(quoted(f.name)) if not _holds_map(f.dataType) else F.col(quoted(f.name)).cast("string")
             for f in df.schema.fields]
-    return F.xxhash64(*cols)
+    return F.xxhash64(*cols, F.spark_partition_id())
 
 
 def reconcile(df: DataFrame, lookup: DataFrame, on: Keys, on_duplicate: str = "expand",

@@ -50,6 +50,13 @@ def test_split_message_takes_the_separator_literally(spark):
     assert split_message(messages(spark, "x.|-5"), fields, ".|").select("a", "b").first() == ("x", -5)
 
 
+@pytest.mark.parametrize("sep", [",", "|", ".", "\\", "\t", " ", "x", "é", "^", "::", "$*"])
+def test_every_separator_is_taken_literally(spark, sep):
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
+    row = split_message(messages(spark, sep.join(["1-2", "", "3"])), fields, sep).first()
+    assert (row.a, row.b, row.c) == ("1-2", "", "3")
+
+
 def test_the_number_check_agrees_with_a_plain_cast(spark):
     texts = ["1", "+1", "-1", "--1", " 7\t", "\n8", "", "+", "1e3", "0x1", "1_000", "9223372036854775807",
              "9223372036854775808", "１", " 1", "1\x7f", "1 2", None]

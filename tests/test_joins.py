@@ -69,6 +69,13 @@ def test_a_hot_key_is_spread_over_salts(spark):
     assert spread.count() == 8 and spread.agg(F.max("count")).first()[0] < 600
 
 
+def test_copies_of_one_row_are_spread_too(spark):
+    copies = spark.range(0, 3200, 1, 32).select(F.lit("hot").alias("k"))
+    assert copies.groupBy(F.pmod(joins.row_hash(copies), F.lit(8))).count().agg(F.max("count")).first()[0] <= 1600
+    side = spark.createDataFrame([("hot", 1)], "k string, v int")
+    assert bounded_join(copies, side, ["k"], max_bytes=0, salts=8).count() == 3200
+
+
 def test_row_hash_takes_maps(spark):
     df = spark.createDataFrame([({"a": 1}, [{"b": 2}])], "m map<string,int>, l array<map<string,int>>")
     assert df.select(joins.row_hash(df)).first()[0] is not None
