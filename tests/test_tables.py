@@ -132,6 +132,18 @@ def test_exploitation_tables_equal_the_jobs_run_one_by_one(spark, tmp_path):
         assert got.select(rounded).exceptAll(want.select(rounded)).count() == 0
 
 
+def test_exploit_tables_reads_the_formatted_tables(spark, tmp_path):
+    formatted, results = ParquetTables(str(tmp_path / "formatted")), ParquetTables(str(tmp_path / "results"))
+    listings, income, commercial = sample.listings(spark, SF), sample.income(spark, SF), sample.commercial(spark, SF)
+    write_table(listings, formatted, names.LISTINGS_TABLE)
+    write_table(income, formatted, names.INCOME_TABLE)
+    write_table(commercial, formatted, names.COMMERCIAL_TABLE)
+    exploitation.exploit_tables(spark, formatted, results)
+    want = exploitation.listings_per_neighborhood(listings)
+    assert read_table(spark, results, names.COUNT_TABLE).exceptAll(want).count() == 0
+    assert read_table(spark, results, names.CATEGORIES_TABLE).count() > 0
+
+
 def test_result_columns_come_in_their_order(spark):
     listings, income, commercial = sample.listings(spark, SF), sample.income(spark, SF), sample.commercial(spark, SF)
     place = ["neighborhood_id", "neighborhood_n_reconciled", "district_id", "district_n_reconciled"]
