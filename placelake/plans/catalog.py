@@ -30,7 +30,7 @@ from placelake.plans.training import train_price_model
 from placelake.settings import scratch_path
 from placelake.sources.files import read_lookup
 from placelake.sources.registry import Source
-from placelake.sources.tables import ParquetTables, read_table, write_table
+from placelake.sources.tables import ParquetTables, read_table
 from placelake.streaming import jobs
 from placelake.streaming.sinks import run_available, stream_to_table
 
@@ -78,18 +78,24 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 # Formatting
 
 
-@query("format_listings", f"{sample.SAMPLE_SQL} SELECT listing_id, district, neighborhood, price, \"detailedType\", \"suggestedTexts\", {PLACE_SQL} FROM listing")
+_LISTINGS_SQL = f"""{sample.SAMPLE_SQL}
+SELECT listing_id, district, neighborhood, price, "detailedType", "suggestedTexts", {PLACE_SQL} FROM listing"""
+
+
+@query("format_listings", _LISTINGS_SQL)
 def format_listings_places(spark, sf_dir):
     return sample.listings(spark, sf_dir)
 
 
-@query("format_income", f"{sample.SAMPLE_SQL} SELECT income_id, \"Nom_Districte\", \"Nom_Barri\", index_rfid, district, neighborhood, {PLACE_SQL} FROM income")
+@query("format_income", f"""{sample.SAMPLE_SQL}
+SELECT income_id, "Nom_Districte", "Nom_Barri", index_rfid, district, neighborhood, {PLACE_SQL} FROM income""")
 def format_income(spark, sf_dir):
     return sample.income(spark, sf_dir)
 
 
-@query("format_commercial", f"{sample.SAMPLE_SQL} SELECT commerce_id, \"Nom_Districte\", \"Nom_Barri\", \"Codi_Grup_Activitat\", \"Nom_Grup_Activitat\", "
-       f"district, neighborhood, {PLACE_SQL} FROM commercial")
+@query("format_commercial", f"""{sample.SAMPLE_SQL}
+SELECT commerce_id, "Nom_Districte", "Nom_Barri", "Codi_Grup_Activitat", "Nom_Grup_Activitat", district, neighborhood, {PLACE_SQL}
+FROM commercial""")
 def format_commercial(spark, sf_dir):
     return sample.commercial(spark, sf_dir)
 
@@ -127,7 +133,8 @@ def nested_columns_to_json(spark, sf_dir):
     )
 
 
-@query("normalize_columns", 'SELECT s_suppkey AS "Codi", s_name AS "Poblacio_Propria_ç", s_nationkey AS "INDEX", s_acctbal AS index_rfid FROM supplier')
+@query("normalize_columns", """
+SELECT s_suppkey AS "Codi", s_name AS "Poblacio_Propria_ç", s_nationkey AS "INDEX", s_acctbal AS index_rfid FROM supplier""")
 def normalized_columns(spark, sf_dir):
     suppliers = sample.table(spark, sf_dir, "supplier")
     accented = suppliers.toDF("Códi", "Població_Própria_ç", "ÍNDEX", "Índex_Renda")
@@ -161,7 +168,7 @@ def format_load_once(spark, sf_dir):
     return read_table(spark, tables, "events").drop(PROCESS_TIME, INPUT_FILE)
 
 
-@query("format_load_listings", f"{sample.SAMPLE_SQL} SELECT listing_id, district, neighborhood, price, \"detailedType\", \"suggestedTexts\", {PLACE_SQL} FROM listing")
+@query("format_load_listings", _LISTINGS_SQL)
 def format_load_listings(spark, sf_dir):
     """Listings and their lookup landed as files, then loaded through the listings step."""
     root = scratch_path(spark, "format-listings")
@@ -321,6 +328,9 @@ _LISTING_MODEL_SQL = f"""{sample.SAMPLE_SQL},
 placed AS (SELECT listing_id, CAST(neighborhood_id AS VARCHAR) AS category, price, {TRAINING_SQL.format(key='listing_id')} AS training
   FROM listing WHERE neighborhood_id IS NOT NULL),{_FIT_SQL}"""
 
+_TEST_SCORES_SQL = f"""{_LISTING_MODEL_SQL}
+SELECT listing_id, price, round(prediction, 2) AS prediction, round(error, 2) AS error FROM scored WHERE NOT training"""
+
 _METRICS_SQL = f"""{_LISTING_MODEL_SQL}
 SELECT CASE WHEN training THEN 'train' ELSE 'test' END AS part, count(*) AS n, round(sqrt(avg(error * error)), 2) AS rmse,
   round(1 - avg(error * error) / var_pop(price), 8) AS r2, round(avg(abs(error)), 2) AS mae FROM scored GROUP BY 1"""
@@ -339,16 +349,14 @@ def _rounded_metrics(metrics: DataFrame) -> DataFrame:
     return metrics.withColumns({"rmse": F.round("rmse", 2), "r2": F.round("r2", 8), "mae": F.round("mae", 2)})
 
 
-@query("score", f"{_LISTING_MODEL_SQL} SELECT listing_id, price, round(prediction, 2) AS prediction, round(error, 2) AS error "
-       "FROM scored WHERE NOT training")
+@query("score", _TEST_SCORES_SQL)
 def score_test_listings(spark, sf_dir):
     _, test = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
     scored = with_error(score(_listing_model(spark, sf_dir), test))
     return scored.select("listing_id", "price", F.round("prediction", 2).alias("prediction"), F.round("error", 2).alias("error"))
 
 
-@query("predict", f"{_LISTING_MODEL_SQL} SELECT listing_id, price, round(prediction, 2) AS prediction, round(error, 2) AS error "
-       "FROM scored WHERE NOT training")
+@query("predict", _TEST_SCORES_SQL)
 def predict_test_listings(spark, sf_dir):
     _, test = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
     scored = with_error(predict(_listing_model(spark, sf_dir), test))
@@ -361,7 +369,8 @@ def model_metrics(spark, sf_dir):
     return _rounded_metrics(regression_metrics(predict(_listing_model(spark, sf_dir), parts), by=["part"]))
 
 
-@query("coefficient_table", f"{_LISTING_MODEL_SQL} SELECT category, round(coefficient, 2) AS coefficient, round(intercept, 2) AS intercept FROM fitted")
+@query("coefficient_table", f"""{_LISTING_MODEL_SQL}
+SELECT category, round(coefficient, 2) AS coefficient, round(intercept, 2) AS intercept FROM fitted""")
 def model_coefficients(spark, sf_dir):
     table = coefficient_table(spark, _listing_model(spark, sf_dir))
     return table.withColumns({c: F.round(c, 2) for c in ("coefficient", "intercept")})

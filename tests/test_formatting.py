@@ -85,6 +85,14 @@ def test_ledger_round_trip(spark, ledger):
     assert [r[0] for r in times] == [int(at.timestamp())]
 
 
+def test_folders_of_a_first_write_that_never_ended_are_empty_tables(spark, source, tables, ledger):
+    for table in ("processed", "claimed"):
+        os.makedirs(f"{ledger}/{table}/_temporary/0")
+    assert read_ledger(spark, ledger).count() == 0
+    land(spark, source.landing_path, [(1,)], "id int")
+    assert format_load(spark, source, ledger, tables) == 1
+
+
 def test_each_file_is_loaded_once(spark, source, tables, ledger):
     land(spark, source.landing_path, [(1,), (2,)], "id int")
     assert format_load(spark, source, ledger, tables) == 1
@@ -186,13 +194,15 @@ def test_registry(registry):
 
 
 def test_all_sources_are_formatted_with_their_own_step(spark, registry, tmp_path, tables, ledger):
-    places = "district string, neighborhood string, district_id string, district_n_reconciled string, neighborhood_id string, neighborhood_n_reconciled string"
+    places = ("district string, neighborhood string, district_id string, district_n_reconciled string, "
+              "neighborhood_id string, neighborhood_n_reconciled string")
     lookup = [("D", "N", "d1", "D one", "n1", "N one")]
     landing = tmp_path / "landing"
     land(spark, landing / names.LISTINGS_LOOKUP, lookup, places)
     land(spark, landing / names.OPEN_DATA_LOOKUP, lookup, places)
     land(spark, landing / names.LISTINGS_SOURCE, [(1, "D", "N", 10.0, ("flat",), ("t", "s")), (2, "D", None, 20.0, None, None)],
-         "id int, district string, neighborhood string, price double, detailedType struct<typology:string>, suggestedTexts struct<title:string,subtitle:string>")
+         "id int, district string, neighborhood string, price double, detailedType struct<typology:string>, "
+         "suggestedTexts struct<title:string,subtitle:string>")
     land(spark, landing / names.INCOME_SOURCE, [(1, "D", "N", 7.5)], "id int, Nom_Districte string, Nom_Barri string, index_rfid double")
     land(spark, landing / names.COMMERCIAL_SOURCE, [(1, "D", "X", 3, "food")],
          "id int, Nom_Districte string, Nom_Barri string, Codi_Grup_Activitat int, Nom_Grup_Activitat string")

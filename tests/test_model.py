@@ -23,7 +23,8 @@ from placelake.plans.training import train_price_model
 def rows(spark):
     places = F.array(*[F.lit(p) for p in ["Q1", "Q2", "Q2", "Q3", "Q3", "Q3", "Q30", None]])
     place = F.element_at(places, (F.col("id") % 8 + 1).cast("int"))
-    price = F.coalesce(F.length(place), F.lit(9)) * 1000.0 + F.pmod(F.xxhash64("id"), F.lit(500)) + F.coalesce(F.ascii(F.substring(place, 2, 1)), F.lit(0)) * 10
+    worth = F.coalesce(F.length(place) * 1000.0 + F.ascii(F.substring(place, 2, 1)) * 10, F.lit(9000.0))
+    price = worth + F.pmod(F.xxhash64("id"), F.lit(500))
     return spark.range(2000).select("id", place.alias("place"), price.alias("price"))
 
 

@@ -1,6 +1,5 @@
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from placelake.functions.columns import split_message, with_error
 from placelake.operators.price_model import fit_price_model, score
