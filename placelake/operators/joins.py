@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placelake.functions.columns import quoted
+from placelake.settings import stored
 
 # Largest side, in bytes of plain values, that is sent whole to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -100,14 +101,23 @@ def reconcile(df: DataFrame, lookup: DataFrame, on: Keys, on_duplicate: str = "e
     return bounded_join(df, lookup, on, "left", max_bytes)
 
 
+def group_averages(measures: DataFrame, key: str, column: str, alias: str) -> DataFrame:
+    """The average of ``column`` per non-null key, stored, so that later steps read the measures no more."""
+    return stored(measures.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(column).alias(alias)), "averages")
+
+
+def attach_averages(rows: DataFrame, averages: DataFrame, key: str, alias: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Give each row the average of its key, as float32; rows of a key without one are dropped."""
+    return bounded_join(rows, averages, [key], "inner", max_bytes).withColumn(alias, F.col(alias).cast("float"))
+
+
 def attach_group_avg(rows: DataFrame, measures: DataFrame, key: str, column: str, alias: str,
                      max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Give each row the average of ``column`` over the measures of its key, as float32.
 
     Rows whose key has no measures are dropped; a key with only null measures gives null.
     """
-    averages = measures.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(column).cast("float").alias(alias))
-    return bounded_join(rows, averages, [key], "inner", max_bytes)
+    return attach_averages(rows, group_averages(measures, key, column, alias), key, alias, max_bytes)
 
 
 def pending_files(listing: DataFrame, ledger: DataFrame, key: str = "file_name") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from placelake.functions.ddl import STRING_TYPES
 from placelake.operators.aggregates import count_per_key, fanout_avg, fanout_count
-from placelake.operators.joins import attach_group_avg
+from placelake.operators.joins import attach_averages, attach_group_avg, group_averages
 from placelake.plans import names
 from placelake.settings import stored
 from placelake.sources.tables import Tables, read_table, write_table
@@ -26,8 +26,8 @@ def avg_price_index(listings: DataFrame, income: DataFrame) -> DataFrame:
 
 
 def price_vs_index(listings: DataFrame, income: DataFrame) -> DataFrame:
-    rows = listings.select("price", KEY, *PLACE_NAMES)
-    return attach_group_avg(rows, income, KEY, "index_rfid", "avg_index").select("avg_index", "price", KEY, *PLACE_NAMES)
+    rows = attach_group_avg(listings.select("price", KEY, *PLACE_NAMES), income, KEY, "index_rfid", "avg_index")
+    return rows.select("avg_index", "price", KEY, *PLACE_NAMES)
 
 
 def commerce_categories(listings: DataFrame, commercial: DataFrame, mode: str = "compat",
@@ -56,11 +56,12 @@ def run_exploitation(listings: DataFrame, income: DataFrame, commercial: DataFra
     a group's average stands in for its rows wherever an average is taken.
     """
     groups = stored(listing_groups(listings), "listing-groups")
-    averages = stored(income.groupBy(KEY).agg(F.avg("index_rfid").alias("index_rfid")), "income-averages")
+    averages = group_averages(income, KEY, "index_rfid", "avg_index")
+    prices = attach_averages(listings.select("price", KEY, *PLACE_NAMES), averages, KEY, "avg_index")
     results = {
         names.COUNT_TABLE: listings_per_neighborhood(groups, _WEIGHT),
-        names.AVERAGES_TABLE: avg_price_index(groups, averages),
-        names.PRICES_TABLE: price_vs_index(listings, averages),
+        names.AVERAGES_TABLE: avg_price_index(groups, averages.withColumnRenamed("avg_index", "index_rfid")),
+        names.PRICES_TABLE: prices.select("avg_index", "price", KEY, *PLACE_NAMES),
         names.CATEGORIES_TABLE: commerce_categories(groups, commercial, weight=_WEIGHT),
     }
     for table, df in results.items():

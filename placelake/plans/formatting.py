@@ -40,16 +40,20 @@ format_commercial = format_income
 
 
 def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables, step: Step | None = None,
-                schema: T.StructType | None = None, files_per_chunk: int = FILES_PER_CHUNK) -> int:
+                schema: T.StructType | None = None, files_per_chunk: int = FILES_PER_CHUNK, pattern: str = "*.parquet") -> int:
     """Load the files of a source that the ledger does not hold; returns how many were logged.
 
+    The landing folder is searched to any depth, so a table that landed as a folder counts by
+    its part files.
+
     Files are claimed in chunks before they are read. Each chunk is one distributed read and
     write into its own part of the table, then its files are logged. A load that was cut off
     is finished first, over the same chunks, so a parquet table ends up with every file once.
     """
     at = datetime.now(timezone.utc)
     done = sum(_load_chunk(spark, source, ledger, tables, step, schema, at, *c) for c in open_chunks(spark, ledger, source.name))
-    files = pending_files(list_files(spark, source.landing_path), read_ledger(spark, ledger)).select("file_name")
+    listing = list_files(spark, source.landing_path, pattern, recursive=True)
+    files = pending_files(listing, read_ledger(spark, ledger)).select("file_name")
     load_id, chunks = f"load-{uuid4().hex}", ceil(files.count() / files_per_chunk)
     if chunks > 0:
         claim_files(files, ledger, source.name, load_id, chunks)
@@ -70,8 +74,8 @@ def _load_chunk(spark: SparkSession, source: Source, ledger: str, tables: Tables
 def format_stream(spark: SparkSession, source: Source, checkpoint: str, tables: Tables, schema: T.StructType,
                   step: Step | None = None, files_per_batch: int = FILES_PER_CHUNK) -> StreamingQuery:
     """The same load with a stream's checkpoint for a ledger: takes the files that are there, then ends."""
-    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source.landing_path)
-    df = with_lineage(files)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    df = with_lineage(reader.option("recursiveFileLookup", True).parquet(source.landing_path))
     return stream_to_table(df if step is None else step(df), tables, source.table, checkpoint, available_now=True)
 
 

@@ -103,6 +103,16 @@ def test_each_file_is_loaded_once(spark, source, tables, ledger):
     assert read_table(spark, tables, "things").columns == ["id", "_process_time", "_input_file_name"]
 
 
+def test_tables_landed_as_folders_are_loaded(spark, source, tables, ledger, tmp_path):
+    land(spark, source.landing_path, [(1,)], "id long")
+    spark.range(5, 9).repartition(2).write.parquet(f"{source.landing_path}/more.parquet")
+    assert format_load(spark, source, ledger, tables) == 3
+    assert ids(spark, tables) == [1, 5, 6, 7, 8]
+    streamed = ParquetTables(str(tmp_path / "streamed"))
+    run_available(formatting.format_stream(spark, source, str(tmp_path / "c"), streamed, spark.range(0).schema), 120)
+    assert ids(spark, streamed) == [1, 5, 6, 7, 8]
+
+
 def test_files_logged_for_another_source_are_skipped_too(spark, source, tables, ledger):
     land(spark, source.landing_path, [(1,)], "id int")
     listed = list_files(spark, source.landing_path)
