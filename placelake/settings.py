@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder, ``spark.checkpoint.dir``.
+    """The cluster's shared folder, ``spark.checkpoint.dir`` or the context's checkpoint directory.
 
     Only a local session without that setting gets a folder of its own; a cluster without it
     is refused, as a folder of one machine would be lost with that machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -101,8 +101,8 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     class Context:
         master, applicationId = "yarn", "app"
 
-        def getConf(self):
-            return Conf()
+        def getCheckpointDir(self):
+            return None
 
     class Session:
         conf, sparkContext = Conf(), Context()
