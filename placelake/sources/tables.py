@@ -45,6 +45,8 @@ class JdbcTables:
 
     ``options`` holds user, password, driver and the like. Database appends have no part to
     replace: a job that is cut off between its write and its log entry writes those rows again.
+    ``types`` replaces the column types that jobs ask for, for instance by longer text: text
+    beyond the length of its column fails the write.
     """
 
     url: str
@@ -52,6 +54,7 @@ class JdbcTables:
     fetch_size: int = 10_000
     batch_size: int = 10_000
     write_connections: int | None = None
+    types: TypeMap | None = None
     partition_column: str | None = None
     lower_bound: str | None = None
     upper_bound: str | None = None
@@ -79,7 +82,7 @@ class JdbcTables:
         opts = {**self.options, "url": self.url, "dbtable": table, "batchsize": str(self.batch_size)}
         if self.write_connections is not None:
             opts["numPartitions"] = str(self.write_connections)
-        ddl = column_types_ddl(schema, type_map)
+        ddl = column_types_ddl(schema, type_map if self.types is None else self.types)
         if ddl:
             opts["createTableColumnTypes"] = ddl
         return opts

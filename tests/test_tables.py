@@ -49,6 +49,8 @@ def test_database_write_options():
     numbers = T.StructType([T.StructField("n", T.LongType())])
     assert "createTableColumnTypes" not in DATABASE.write_options(numbers, "t", STRING_TYPES)
     assert "numPartitions" not in opts
+    longer = JdbcTables("jdbc:any:db", types={T.StringType: "VARCHAR(9000)"})
+    assert longer.write_options(schema, "t", STRING_TYPES)["createTableColumnTypes"] == "`name` VARCHAR(9000)"
     assert JdbcTables("jdbc:any:db", write_connections=8).write_options(schema, "t", {})["numPartitions"] == "8"
 
 
