@@ -340,8 +340,8 @@ def _placed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.listings(spark, sf_dir).select("listing_id", "neighborhood_id", "price")
 
 
-def _listing_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    train, _ = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
+def _listing_model(listings: DataFrame) -> PipelineModel:
+    train, _ = train_test_split(listings, "listing_id")
     return fit_price_model(train, "neighborhood_id")
 
 
@@ -351,28 +351,31 @@ def _rounded_metrics(metrics: DataFrame) -> DataFrame:
 
 @query("score", _TEST_SCORES_SQL)
 def score_test_listings(spark, sf_dir):
-    _, test = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
-    scored = with_error(score(_listing_model(spark, sf_dir), test))
+    listings = _placed_listings(spark, sf_dir)
+    _, test = train_test_split(listings, "listing_id")
+    scored = with_error(score(_listing_model(listings), test))
     return scored.select("listing_id", "price", F.round("prediction", 2).alias("prediction"), F.round("error", 2).alias("error"))
 
 
 @query("predict", _TEST_SCORES_SQL)
 def predict_test_listings(spark, sf_dir):
-    _, test = train_test_split(_placed_listings(spark, sf_dir), "listing_id")
-    scored = with_error(predict(_listing_model(spark, sf_dir), test))
+    listings = _placed_listings(spark, sf_dir)
+    _, test = train_test_split(listings, "listing_id")
+    scored = with_error(predict(_listing_model(listings), test))
     return scored.select("listing_id", "price", F.round("prediction", 2).alias("prediction"), F.round("error", 2).alias("error"))
 
 
 @query("regression_metrics", _METRICS_SQL)
 def model_metrics(spark, sf_dir):
-    parts = _placed_listings(spark, sf_dir).withColumn("part", F.when(in_training("listing_id"), "train").otherwise("test"))
-    return _rounded_metrics(regression_metrics(predict(_listing_model(spark, sf_dir), parts), by=["part"]))
+    listings = _placed_listings(spark, sf_dir)
+    parts = listings.withColumn("part", F.when(in_training("listing_id"), "train").otherwise("test"))
+    return _rounded_metrics(regression_metrics(predict(_listing_model(listings), parts), by=["part"]))
 
 
 @query("coefficient_table", f"""{_LISTING_MODEL_SQL}
 SELECT category, round(coefficient, 2) AS coefficient, round(intercept, 2) AS intercept FROM fitted""")
 def model_coefficients(spark, sf_dir):
-    table = coefficient_table(spark, _listing_model(spark, sf_dir))
+    table = coefficient_table(spark, _listing_model(_placed_listings(spark, sf_dir)))
     return table.withColumns({c: F.round(c, 2) for c in ("coefficient", "intercept")})
 
 
