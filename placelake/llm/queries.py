@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placelake.llm import licences, quality_rules, url_filter, warc
+from placelake.llm import kneser_ney, language_model, licences, packing, quality_rules, url_filter, warc
 from placelake.llm.common import Scratch, keys_of, plain_id, table
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), trusted, Scratch(spark, "op3"))
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = quality_rules.judge(docs, Scratch(spark, "op4"))
@@ -18,6 +24,10 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "n_cut_words")
 
 
+def op5_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), Scratch(spark, "op5"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_licences(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_sentences", F.array_join("identifiers", ",").alias("identifiers"),
@@ -33,15 +43,22 @@ def op7_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+
+
 def op10_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.fit_url_model(url_filter.labelled_urls(spark))
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), model)
 
 
 QUERIES = {
+    "op3_kneser_ney": op3_kneser_ney,
     "op4_line_frequency": op4_line_frequency,
+    "op5_certified_packing": op5_certified_packing,
     "op6_licence_rules": op6_licence_rules,
     "op7_capture_index": op7_capture_index,
+    "op9_log_bilinear": op9_log_bilinear,
     "op10_url_regression": op10_url_regression,
 }
 ORACLE_SQL: dict[str, str] = {}
