@@ -8,7 +8,7 @@ are drawn to reach a target recall. Windows that share a key with an item are ch
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,8 +21,10 @@ from placelake.llm.common import text_of
 #: Bytes of normalised items that one index may hold; a larger benchmark is searched in several.
 INDEX_BYTES = 8 << 20
 _OTHER = re.compile(r"[\W_]+")
-_Q = 8
-_BITMAP_BITS = 24
+_Q = 10
+_BITMAP_BITS = 22
+#: Bytes of texts and windows that walk together.
+_WALKED_BYTES, _WALKED_STARTS = 2 << 20, 16_384
 _MATCH = "array<struct<item_id:bigint,distance:int,item_chars:int>>"
 
 
@@ -32,16 +34,17 @@ def normalised(text: str) -> bytes:
 
 
 def grams(data: np.ndarray) -> np.ndarray:
-    """Every run of eight bytes as a number."""
+    """A hash of every run of ten bytes."""
     if len(data) < _Q:
         return np.empty(0, dtype=np.uint64)
     two = data[:-1].astype(np.uint64) | (data[1:].astype(np.uint64) << np.uint64(8))
     four = two[:-2] | (two[2:] << np.uint64(16))
-    return four[:-4] | (four[4:] << np.uint64(32))
+    eight = four[:-4] | (four[4:] << np.uint64(32))
+    return eight[:-2] * np.uint64(0xD6E8FEB86659FD93) + two[8:] * np.uint64(0xA0761D6478BD642F)
 
 
 def allowed_edits(n: int, ratio: float) -> int:
-    """Edits that an item of n bytes may have: a share of n, and few enough that some run of eight survives."""
+    """Edits that an item of n bytes may have: a share of n, and few enough that some run of ten survives."""
     return max(0, min(int(ratio * n), (n - _Q) // _Q))
 
 
@@ -75,7 +78,7 @@ class _Class:
 
     items: np.ndarray  # places in the index's lists
     window: int  # bytes of a window, edits included
-    shared: int  # runs of eight that a window with an item has at least in common with it
+    shared: int  # runs of ten that a window with an item has at least in common with it
     steps: int  # steps of the walk that are sampled
     samples: list[list[np.ndarray]]  # by walk, positions of each key
     keys: list[list[tuple[np.ndarray, np.ndarray]]]  # by walk and key: sorted keys, and their items
@@ -84,8 +87,8 @@ class _Class:
 class Index:
     """Buckets of a bounded set of items."""
 
-    def __init__(self, ids: list[int], texts: list[str], ratio: float = 0.1, bits: int = 4, walks: int = 6,
-                 recall: float = 0.99, least_chars: int = 20, seed: int = 11):
+    def __init__(self, ids: list[int], texts: list[str], ratio: float = 0.08, bits: int = 5, walks: int = 6,
+                 recall: float = 0.995, least_chars: int = 20, seed: int = 11):
         pairs = [(i, normalised(t)) for i, t in zip(ids, texts)]
         pairs = [(i, x) for i, x in pairs if len(x) >= least_chars]
         self.ids, self.items = [i for i, _ in pairs], [x for _, x in pairs]
@@ -101,11 +104,18 @@ class Index:
         if item_grams:
             self.bitmap[_slot(np.concatenate(item_grams))] = True
         self.classes = self._classes(rng, bits, walks, recall)
+        #: Each run of the items, and as bits the classes whose items have it.
+        owned = [(item_grams[k], c) for c, part in enumerate(self.classes) for k in part.items]
+        every = np.concatenate([g for g, _ in owned]) if owned else np.empty(0, dtype=np.uint64)
+        bits_of = np.concatenate([np.full(len(g), 1 << c, dtype=np.uint64) for g, c in owned]) if owned else every
+        self.runs, at = np.unique(every, return_inverse=True)
+        self.run_classes = np.zeros(len(self.runs), dtype=np.uint64)
+        np.bitwise_or.at(self.run_classes, at, bits_of)
         self.pad = 2 * longest + _Q
 
     def _classes(self, rng: np.random.Generator, bits: int, walks: int, recall: float) -> list[_Class]:
         lengths = np.array(list(map(len, self.items)), dtype=np.int64)
-        steps_of = np.floor(np.log(np.maximum(lengths, 1)) / np.log(1.2)).astype(np.int64)
+        steps_of = np.floor(np.log(np.maximum(lengths, 1)) / np.log(1.25)).astype(np.int64)
         made = []
         for step in np.unique(steps_of):
             own = np.flatnonzero(steps_of == step)
@@ -113,8 +123,7 @@ class Index:
             edits = max(self.edits[k] for k in own)
             # The walk of n steps uses about n / 2 bytes: all of it lies within the shortest item.
             n = max(int(1.7 * (least - max(self.edits[k] for k in own))), bits)
-            agree = self._agreement(own, n, rng)
-            repeats = int(np.ceil(np.log(1 - recall) / np.log(max(1 - agree**bits, 1e-9))))
+            repeats = self._repeats(own, n, bits, recall, rng)
             per_walk = max(1, -(-repeats // walks))
             samples = [[np.sort(rng.choice(n, bits, replace=False)) for _ in range(per_walk)] for _ in range(walks)]
             shared = min(len(self.items[k]) - _Q + 1 - _Q * self.edits[k] for k in own)
@@ -127,18 +136,21 @@ class Index:
             made.append(part)
         return made
 
-    def _agreement(self, own: np.ndarray, n: int, rng: np.random.Generator) -> float:
-        """How often embedded positions agree between items and copies with the most edits allowed."""
-        tried = [self.items[k] for k in own[:32]]
+    def _repeats(self, own: np.ndarray, n: int, bits: int, recall: float, rng: np.random.Generator) -> int:
+        """The number of keys that reach the recall on copies of items with the most edits allowed.
+
+        Measured on made copies: how often the embeddings agree, by copy, gives each copy's chance.
+        """
+        tried = [self.items[k] for k in own[:32] for _ in range(-(-32 // len(own)))]
         copies = [_edited(x, allowed_edits(len(x), self.ratio), rng) for x in tried]
         pad = 2 * max(map(len, tried)) + _Q
-        same = []
-        for w in range(min(4, len(self.moves))):
-            a = self.walk(*_joined(tried, pad), w, n)
-            b = self.walk(*_joined(copies, pad), w, n)
-            same.append((a == b).mean())
-        # Half a standard step below the mean: copies differ in how early the walks part.
-        return float(max(np.mean(same) - 0.1, 0.2))
+        same = np.array([(self.walk(*_joined(tried, pad), w, n) == self.walk(*_joined(copies, pad), w, n)).mean(axis=1)
+                         for w in range(len(self.moves))])
+        hit = np.clip(same**bits, 1e-6, 1 - 1e-9)
+        repeats = len(hit)
+        while repeats < 4096 and (1 - np.prod((1 - hit)**(repeats / len(hit)), axis=0)).mean() < recall:
+            repeats = int(repeats * 1.2) + 1
+        return repeats
 
     def walk(self, data: np.ndarray, starts: np.ndarray, which: int, steps: int) -> np.ndarray:
         """The embedding's first positions for windows at the starts: one row per window."""
@@ -149,42 +161,74 @@ class Index:
             at += self.moves[which, j, out[j]]
         return out.T
 
-    def matches(self, text: str) -> list[tuple[int, int, int]]:
-        """(item id, distance, item length) of the items that the text holds within their allowed edits."""
-        if not self.items:
-            return []
-        raw = normalised(text)
-        data = np.frombuffer(raw + bytes(self.pad), dtype=np.uint8)
-        n = len(raw)
-        hits = self.bitmap[_slot(grams(data[:n]))]
-        if not hits.any():
+    def matches(self, texts: Iterable[str]) -> list[list[tuple[int, int, int]]]:
+        """By text: (item id, distance, item length) of the items that it holds within their allowed edits.
+
+        Windows of many texts walk together; texts without a dense enough window are passed over at once.
+        """
+        out: list[list[tuple[int, int, int]]] = []
+        held: list[tuple[int, bytes, list[np.ndarray]]] = []
+        size = 0
+        for text in texts:
+            out.append([])
+            raw = normalised(text)
+            starts = self._dense(raw)
+            if any(map(len, starts)):
+                held.append((len(out) - 1, raw, starts))
+                size += len(raw)
+            if size > _WALKED_BYTES:
+                self._decide(held, out)
+                held, size = [], 0
+        self._decide(held, out)
+        return out
+
+    def _dense(self, raw: bytes) -> list[np.ndarray]:
+        """By class, the word starts whose window has as many of the items' runs as an item needs."""
+        data = np.frombuffer(raw, dtype=np.uint8)
+        values = grams(data)
+        maybe = np.flatnonzero(self.bitmap[_slot(values)])
+        if not self.classes or len(maybe) < min(part.shared for part in self.classes):
             return []
-        total = np.zeros(len(data) + 1, dtype=np.int32)
-        np.cumsum(hits, out=total[1:len(hits) + 1])
-        total[len(hits) + 1:] = total[len(hits)]
-        word_starts = np.flatnonzero(np.concatenate([[True], data[:n - 1] == 32])) if n else np.empty(0, dtype=np.int64)
-        found: dict[int, list[int]] = {}
-        for part in self.classes:
-            ends = np.minimum(word_starts + part.window, n)
-            starts = word_starts[total[ends] - total[word_starts] >= part.shared]
-            if len(starts):
-                self._candidates(part, data, starts, found)
-        out = []
-        for k, starts in found.items():
-            best = self._checked(k, raw, sorted(set(starts)))
-            if best is not None:
-                out.append((self.ids[k], best, len(self.items[k])))
-        return sorted(out, key=lambda m: (m[0] is None, m[0] or 0, m[1]))
-
-    def _candidates(self, part: _Class, data: np.ndarray, starts: np.ndarray, found: dict[int, list[int]]) -> None:
+        at = np.minimum(np.searchsorted(self.runs, values[maybe]), len(self.runs) - 1)
+        owners = np.where(self.runs[at] == values[maybe], self.run_classes[at], np.uint64(0))
+        words, starts = None, []
+        for c, part in enumerate(self.classes):
+            hits = maybe[(owners >> np.uint64(c)) & np.uint64(1) == 1]
+            if len(hits) < part.shared:
+                starts.append(hits[:0])
+                continue
+            if words is None:
+                words = np.concatenate([[0], np.flatnonzero(data == 32) + 1])
+            held = np.searchsorted(hits, words + part.window) - np.searchsorted(hits, words)
+            starts.append(words[held >= part.shared])
+        return starts
+
+    def _decide(self, held: list[tuple[int, bytes, list[np.ndarray]]], out: list[list]) -> None:
+        if not held:
+            return
+        data, firsts = _joined([raw for _, raw, _ in held], self.pad)
+        found: set[tuple[int, int]] = set()  # (start in the joined texts, item)
+        for c, part in enumerate(self.classes):
+            starts = np.concatenate([first + own[c] for first, (_, _, own) in zip(firsts, held)])
+            for a in range(0, len(starts), _WALKED_STARTS):
+                self._meet(part, data, starts[a:a + _WALKED_STARTS], found)
+        by_text: dict[int, dict[int, list[int]]] = {}
+        for start, k in sorted(found):
+            t = int(np.searchsorted(firsts, start, "right")) - 1
+            by_text.setdefault(t, {}).setdefault(k, []).append(start - int(firsts[t]))
+        for t, items in by_text.items():
+            at, raw, _ = held[t]
+            checked = [(self.ids[k], self._checked(k, raw, starts), len(self.items[k])) for k, starts in items.items()]
+            out[at] = sorted((m for m in checked if m[1] is not None), key=lambda m: (m[0] is None, m[0] or 0, m[1]))
+
+    def _meet(self, part: _Class, data: np.ndarray, starts: np.ndarray, found: set[tuple[int, int]]) -> None:
         for w, keys in enumerate(part.keys):
             walked = self.walk(data, starts, w, part.steps)
             for at, (sorted_keys, items) in zip(part.samples[w], keys):
                 wanted = _key(walked, at)
                 low, high = np.searchsorted(sorted_keys, wanted), np.searchsorted(sorted_keys, wanted, "right")
                 for i in np.flatnonzero(high > low):
-                    for k in items[low[i]:high[i]]:
-                        found.setdefault(int(k), []).append(int(starts[i]))
+                    found.update((int(starts[i]), int(k)) for k in items[low[i]:high[i]])
 
     def _checked(self, k: int, raw: bytes, starts: list[int]) -> int | None:
         """The smallest distance of item k to the text around the starts, if it is allowed."""
@@ -257,7 +301,7 @@ def matcher(index: Index, df: DataFrame) -> Callable[[Column], Column]:
     def matches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = held.value
         for batch in batches:
-            yield pd.Series([[{"item_id": i, "distance": d, "item_chars": n} for i, d, n in own.matches(t)] for t in batch])
+            yield pd.Series([[{"item_id": i, "distance": d, "item_chars": n} for i, d, n in found] for found in own.matches(batch)])
 
     return matches
 

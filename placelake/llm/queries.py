@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placelake.llm import kneser_ney, language_model, licences, packing, quality_rules, url_filter, warc
+from placelake.llm import decontamination, kneser_ney, language_model, licences, lsh_forest, packing, quality_rules, url_filter, warc
 from placelake.llm.common import Scratch, keys_of, plain_id, table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
     return kneser_ney.classify(table(spark, sf_dir, "documents"), trusted, Scratch(spark, "op3"))
@@ -43,6 +47,14 @@ def op7_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lsh_forest.near_duplicates(docs, Scratch(spark, "op8"), shingle=3, percent=85)
+    rows = keys_of(docs, "doc_id", "text").join(found, ["_id", "_h"])
+    return rows.select(plain_id().alias("doc_id"), "n_shingles", plain_id("component").alias("component_id"),
+                       (F.col("_id") == F.col("component")).alias("kept"))
+
+
 def op9_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
 
@@ -53,11 +65,13 @@ def op10_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_line_frequency": op4_line_frequency,
     "op5_certified_packing": op5_certified_packing,
     "op6_licence_rules": op6_licence_rules,
     "op7_capture_index": op7_capture_index,
+    "op8_lsh_forest": op8_lsh_forest,
     "op9_log_bilinear": op9_log_bilinear,
     "op10_url_regression": op10_url_regression,
 }
