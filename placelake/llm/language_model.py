@@ -81,9 +81,14 @@ class Lexicon:
         return self.singles + crc32(word[-3:]) % self.endings
 
 
-def build_lexicon(counts: DataFrame, singles: int = 224, endings: int = 32, held: int = 300_000) -> Lexicon:
-    """Read the ``held`` most frequent words, a bound on what tasks hold; all words count in class figures."""
-    top = counts.orderBy(F.desc("c"), "word").limit(held).toPandas()
+def build_lexicon(counts: DataFrame, singles: int = 160, endings: int = 32, held: int = 200_000) -> Lexicon:
+    """Read the most frequent words, ``held`` at most, a bound on what tasks hold; all words count in class figures."""
+    # Words by the size of their counts, in at most some hundred steps: whole steps are held, largest first.
+    step = F.floor(8 * F.log2("c"))
+    sizes = counts.groupBy(step.alias("step")).count().toPandas().sort_values("step", ascending=False)
+    within = sizes["step"][sizes["count"].cumsum() <= held]
+    top = counts.filter(step >= (int(within.min()) if len(within) else 1 << 30)).toPandas()
+    top = top.sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
     words = {bytes(w): k for k, w in enumerate(top["word"])}
     single = [w for w, k in words.items() if k < singles]
     key = F.substring("word", F.greatest(F.length("word") - 2, F.lit(1)), F.lit(3))
@@ -176,8 +181,8 @@ def nce_step(p: dict, state: dict, contexts: np.ndarray, targets: np.ndarray, no
     return float(-np.log(np.maximum(1 - true_wrong, 1e-30)).mean())
 
 
-def train(texts: DataFrame, lexicon: Lexicon, rounds: int = 2, context: int = 3, size: int = 16, batch: int = 1024,
-          noise_words: int = 64, rate: float = 0.1) -> dict[str, np.ndarray]:
+def train(texts: DataFrame, lexicon: Lexicon, rounds: int = 2, context: int = 3, size: int = 16, batch: int = 2048,
+          noise_words: int = 32, rate: float = 0.1) -> dict[str, np.ndarray]:
     """Fit on all rows of ``texts`` (key, text): each round takes its own share of them.
 
     In a round every task trains a copy of the model on its rows; copies are then averaged by their
@@ -217,7 +222,7 @@ def train(texts: DataFrame, lexicon: Lexicon, rounds: int = 2, context: int = 3,
                     classes = _classes(text, coder, class_at)[1]
                     waiting.append((contexts_of(classes, context, lex.classes), classes))
                     n_waiting += len(classes)
-                    if n_waiting >= 128 * batch:
+                    if n_waiting >= 64 * batch:
                         learn(False)
             if n_waiting:
                 learn(True)
@@ -253,7 +258,7 @@ def _classes(text: str, coder: _Coder, class_at: np.ndarray) -> tuple[np.ndarray
 
 
 def class_log_probabilities(params: Mapping[str, np.ndarray], contexts: np.ndarray, targets: np.ndarray,
-                            batch: int = 8192) -> np.ndarray:
+                            batch: int = 1024) -> np.ndarray:
     """Natural log probabilities of the targets, normalised over all classes, by matrix products in batches."""
     out = np.empty(len(targets), dtype=np.float64)
     for a in range(0, len(targets), batch):
