@@ -73,9 +73,18 @@ def keys_of(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataF
     return docs.select(id_key(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_h"), *more)
 
 
-def with_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows with the two key columns added."""
-    return docs.withColumns({"_id": id_key(id_col), "_h": F.xxhash64(text_of(text_col))})
+def wrapped(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """Whole rows as ``_row`` next to their keys: no column of theirs can clash with those of an operator."""
+    return docs.select(F.struct("*").alias("_row"), id_key(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_h"), *more)
+
+
+def with_text(rows: DataFrame, text: Column, text_col: str, chars_col: str = "n_chars") -> DataFrame:
+    """Wrapped rows with another text, unwrapped; a column with the text's length follows it."""
+    fields = rows.select("_row.*").columns
+    row = F.col("_row").withField(f"`{text_col}`", F.col("_new"))
+    if chars_col in fields:
+        row = row.withField(f"`{chars_col}`", F.length("_new").cast("long"))
+    return rows.withColumn("_new", text).withColumn("_row", row).select("_row.*")
 
 
 def plain_id(name: str = "_id") -> Column:

@@ -12,10 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placelake.llm.common import Scratch, components, keyed
+from placelake.llm.common import Scratch, components, keyed, wrapped
 from placelake.llm.words import shingles, word_hashes
 
 _SIGNED = "_id long, _h long, n_shingles long, digest binary, labels array<binary>"
@@ -137,7 +137,7 @@ def _sets(rows: DataFrame, shingle: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    percent: int = 80, trees: int = 16, least: int = 4, most: int = 8, limit: int = 32) -> DataFrame:
+                    percent: int = 80, trees: int = 24, least: int = 4, most: int = 8, limit: int = 32) -> DataFrame:
     """A row per distinct (``_id``, ``_h``): n_shingles and component (smallest ``_id`` reachable by links).
 
     Documents link if 100 times their shared shingles are ``percent`` times the union or more. Candidates come
@@ -146,8 +146,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     all of them in regions up to ``limit`` rows, and in denser ones each row outside the region's largest
     component with every row, in blocks. So no bound on a region drops a pair of it.
 
-    A pair of similarity s shares a region of depth d in a tree with chance s**d; with 16 trees, depth 4 and
-    s = 0.85 a pair is missed in all trees with a chance below 1e-5. Empty sets link with nothing. Null ids
+    A pair of similarity s shares a region of depth d in a tree with chance s**d; with 24 trees, depth 4 and
+    s = 0.8 a pair is missed in all trees with a chance below 1e-5, as with 16 trees and s = 0.85. Empty sets link with nothing. Null ids
     are below all others; ties are equal rows, which share a result. An empty table gives no rows.
     """
     rows = keyed(docs, id_col, text_col)
@@ -205,3 +205,17 @@ def _apart(found: DataFrame, roots: DataFrame, scratch: Scratch, limit: int) ->
     inside = dense.select(*region, blocks, F.col("node").alias("b"), F.col("root").alias("rb"))
     far = outside.join(inside, [*region, "block"]).filter("ra != rb").select("a", "b")
     return pairs.unionByName(far).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id, with all its columns.
+
+    Documents without words are no duplicates and stay.
+    """
+    found = near_duplicates(docs, scratch, id_col, text_col, **options)
+    first = (found.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("_id", "_h")).alias("key"))
+             .select("key.*", F.lit(True).alias("filled")))
+    chosen = first.unionByName(found.filter("n_shingles = 0").select("_id", "_h", F.lit(False).alias("filled")))
+    rows = wrapped(docs, id_col, text_col).join(chosen, ["_id", "_h"])
+    turn = F.row_number().over(Window.partitionBy("_id", "_h").orderBy("filled"))
+    return rows.withColumn("turn", turn).filter("NOT filled OR turn = 1").select("_row.*")

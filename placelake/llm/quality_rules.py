@@ -9,9 +9,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from xxhash import xxh3_64_intdigest
 
-from placelake.llm.common import Scratch, keyed
+from placelake.llm.common import Scratch, keyed, with_text, wrapped
 from placelake.llm.words import WORD_ENDS, mix, shingles, word_hashes
 
 _SYMBOLS = b"#*$%&|<>"
@@ -114,3 +115,16 @@ def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
 
 def without_lines(text: str, cut: set[int]) -> str:
     return "\n".join(x for x in text.split("\n") if not x.strip(_ENDS) or line_hash(x) not in cut)
+
+
+@F.pandas_udf(StringType())
+def _without_lines(texts: pd.Series, cuts: pd.Series) -> pd.Series:
+    return pd.Series([t if cut is None or t is None else without_lines(t, set(cut.tolist())) for t, cut in zip(texts, cuts)])
+
+
+def keep_good(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+              **limits) -> DataFrame:
+    """The documents that :func:`judge` keeps, with all their columns, and without the lines that it cuts."""
+    judged = judge(docs, scratch, id_col, text_col, host_col, **limits).filter("kept").select("_id", "_h", "host", "cut")
+    rows = wrapped(docs, id_col, text_col, host_of(host_col).alias("host")).join(judged, ["_id", "_h", "host"])
+    return with_text(rows, _without_lines(F.col(f"_row.`{text_col}`").cast("string"), F.col("cut")), text_col)

@@ -6,14 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placelake.llm import decontamination, kneser_ney, language_model, licences, lsh_forest, packing, quality_rules, url_filter, warc
-from placelake.llm.common import Scratch, keys_of, plain_id, table
+from placelake.llm import decontamination, kneser_ney, language_model, licences, lsh_forest, packing, quality_rules, suffix_dedup, url_filter, warc
+from placelake.llm.common import Scratch, keys_of, plain_id, table, text_of
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_column_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scratch = Scratch(spark, "op2")
+    left = suffix_dedup.shortened(docs, scratch)
+    left = scratch.write(left.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept", "n_bytes"), "left")
+    text = text_of("text")
+    rows = keys_of(docs, "doc_id", "text", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("whole"))
+    none = F.lit(0).cast("long")
+    return rows.join(left, ["_id", "_h"], "left").select(
+        plain_id().alias("doc_id"), "n_bytes", F.coalesce("n_removed", none).alias("n_removed"),
+        F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+
+
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
     return kneser_ney.classify(table(spark, sf_dir, "documents"), trusted, Scratch(spark, "op3"))
@@ -49,7 +62,7 @@ def op7_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = lsh_forest.near_duplicates(docs, Scratch(spark, "op8"), shingle=3, percent=85)
+    found = lsh_forest.near_duplicates(docs, Scratch(spark, "op8"), shingle=3, percent=85, trees=16)
     rows = keys_of(docs, "doc_id", "text").join(found, ["_id", "_h"])
     return rows.select(plain_id().alias("doc_id"), "n_shingles", plain_id("component").alias("component_id"),
                        (F.col("_id") == F.col("component")).alias("kept"))
@@ -66,6 +79,7 @@ def op10_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_column_suffixes": op2_column_suffixes,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_line_frequency": op4_line_frequency,
     "op5_certified_packing": op5_certified_packing,
