@@ -138,7 +138,9 @@ def _sets(rows: DataFrame, shingle: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, trees: int = 24, least: int = 4, most: int = 8, limit: int = 32) -> DataFrame:
-    """A row per distinct (``_id``, ``_h``): n_shingles and component (smallest ``_id`` reachable by links).
+    """A row per distinct (``_id``, ``_h``): n_shingles, component (smallest ``_id`` reachable by links) and joint.
+
+    ``joint`` numbers the components, as two may have a smallest id in common where ids repeat.
 
     Documents link if 100 times their shared shingles are ``percent`` times the union or more. Candidates come
     in two turns. First neighbours in the trees' orders, and each row with the first of its region; what they
@@ -180,8 +182,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     labelled = filled.select("_id", "_h", "n_shingles", "node").join(roots.withColumnRenamed("root", "joint"), "node", "left")
     labelled = labelled.withColumn("joint", F.coalesce("joint", "node"))
     smallest = labelled.groupBy("joint").agg(F.min("_id").alias("component"))
-    linked = labelled.join(smallest, "joint").select("_id", "_h", "n_shingles", "component")
-    empty = signs.filter("n_shingles = 0").select("_id", "_h", "n_shingles", F.col("_id").alias("component"))
+    linked = labelled.join(smallest, "joint").select("_id", "_h", "n_shingles", "component", "joint")
+    empty = signs.filter("n_shingles = 0").select("_id", "_h", "n_shingles", F.col("_id").alias("component"), F.lit(None).cast("long").alias("joint"))
     return scratch.write(linked.unionByName(empty), "result")
 
 
@@ -213,7 +215,7 @@ def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col
     Documents without words are no duplicates and stay.
     """
     found = near_duplicates(docs, scratch, id_col, text_col, **options)
-    first = (found.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("_id", "_h")).alias("key"))
+    first = (found.filter("n_shingles > 0").groupBy("joint").agg(F.min(F.struct("_id", "_h")).alias("key"))
              .select("key.*", F.lit(True).alias("filled")))
     chosen = first.unionByName(found.filter("n_shingles = 0").select("_id", "_h", F.lit(False).alias("filled")))
     rows = wrapped(docs, id_col, text_col).join(chosen, ["_id", "_h"])
