@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     links = scratch.write(confirmed(pairs, sets, percent), "links-1")
     roots = scratch.write(components(links, scratch, "turn-1"), "roots-1")
 
-    rest = scratch.write(_apart(found, roots, scratch, limit), "apart")
+    rest = scratch.write(_apart(found, roots, sets, scratch, percent), "apart")
     more = scratch.write(confirmed(rest, sets, percent), "links-2")
     if more.limit(1).count():
         roots = components(links.unionByName(more), scratch, "turn-2")
@@ -187,7 +187,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     return scratch.write(linked.unionByName(empty), "result")
 
 
-def _apart(found: DataFrame, roots: DataFrame, scratch: Scratch, limit: int) -> DataFrame:
+def _apart(found: DataFrame, roots: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Pairs of a region whose rows lie in different components so far."""
     rows = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = scratch.write(rows.select("tree", "prefix", "node", "root", "dense"), "rooted")
@@ -200,12 +200,19 @@ def _apart(found: DataFrame, roots: DataFrame, scratch: Scratch, limit: int) ->
     one = small.select("rows", F.explode("rows").alias("p"))
     two = one.select("p", F.explode(F.filter("rows", lambda q: (q["node"] > F.col("p.node")) & (q["root"] != F.col("p.root")))).alias("q"))
     pairs = two.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-    dense = mixed_rows.filter("dense")
-    blocks = F.pmod(F.xxhash64("node"), F.lit(16)).alias("block")
+    dense = scratch.write(mixed_rows.filter("dense"), "dense")
+    sized = sets.select("node", (F.length("members") / 8).cast("long").alias("n"))
+    met = _met(dense.filter("root != main").select("node").distinct(), dense.select("node").distinct(), sets)
+    inside = dense.select(*region, F.pmod(F.xxhash64("node"), F.lit(16)).alias("block"), F.col("node").alias("b"),
+                          F.col("root").alias("rb")).join(sized.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
     outside = dense.filter("root != main").select(*region, F.col("node").alias("a"), F.col("root").alias("ra"))
+    outside = outside.join(sized.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(met.withColumnRenamed("node", "a"), "a")
+    # At best a shares all that it has in common with anyone: what that leaves below the bound has no link.
+    least = inside.groupBy(*region).agg(F.min("nb").alias("least"))
+    outside = outside.join(least, region).filter(_at_best(F.col("na"), F.greatest("least", "met"), F.col("met"), percent))
     outside = outside.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
-    inside = dense.select(*region, blocks, F.col("node").alias("b"), F.col("root").alias("rb"))
-    far = outside.join(inside, [*region, "block"]).filter("ra != rb").select("a", "b")
+    far = outside.join(inside, [*region, "block"]).filter(
+        (F.col("ra") != F.col("rb")) & _at_best(F.col("na"), F.col("nb"), F.least("met", "nb"), percent)).select("a", "b")
     return pairs.unionByName(far).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -221,3 +228,31 @@ def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col
     rows = wrapped(docs, id_col, text_col).join(chosen, ["_id", "_h"])
     turn = F.row_number().over(Window.partitionBy("_id", "_h").orderBy("filled"))
     return rows.withColumn("turn", turn).filter("NOT filled OR turn = 1").select("_row.*")
+
+
+def _at_best(na: Column, nb: Column, shared: Column, percent: int) -> Column:
+    """Whether sets of these sizes could link if they shared so many members."""
+    return 100 * shared >= percent * (na + nb - shared)
+
+
+def _met(nodes: DataFrame, others: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, met): how many members of each node's set also lie in the set of another one of ``others``.
+
+    The nodes are among the others. Members are tallied within batches before they are shuffled.
+    """
+
+    def tallied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            every = np.frombuffer(b"".join(batch["members"]), dtype=np.int64)
+            members, n = np.unique(every, return_counts=True)
+            yield pd.DataFrame({"member": members, "n": n})
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            members = [np.frombuffer(m, dtype=np.int64) for m in batch["members"]]
+            yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), [len(m) for m in members]), "member": np.concatenate(members)})
+
+    tally = others.join(sets, "node").select("members").mapInPandas(tallied, "member long, n long")
+    common = tally.groupBy("member").agg(F.sum("n").alias("n")).filter("n > 1").select("member")
+    own = nodes.join(sets, "node").select("node", "members").mapInPandas(listed, "node long, member long")
+    return own.join(common, "member", "left_semi").groupBy("node").agg(F.count("*").alias("met"))
