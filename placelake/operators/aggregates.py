@@ -21,16 +21,28 @@ def count_per_key(df: DataFrame, key: str, carry: Iterable[str], alias: str = "c
     return groups.groupBy(key).agg(*[F.min(c).alias(c) for c in carry], F.sum("__n").alias(alias))
 
 
+def average(column: str, decimals: int | None = None) -> Column:
+    """The average of a column; with ``decimals`` in exact arithmetic, so that it depends on no order of rows.
+
+    The values are then whole multiples of 10 ** -decimals. They are summed as integers, and divided once.
+    """
+    if decimals is None:
+        return F.avg(column)
+    units = F.sum(F.round(F.col(column) * 10**decimals).cast("decimal(28,0)"))
+    return F.try_divide(units.cast("double"), (F.count(column) * 10**decimals).cast("double"))
+
+
 def fanout_avg(facts: DataFrame, measures: DataFrame, key: str, dims: Iterable[str], fact_column: str,
-               measure_column: str, fact_alias: str, measure_alias: str) -> DataFrame:
+               measure_column: str, fact_alias: str, measure_alias: str, decimals: int | None = None) -> DataFrame:
     """Two averages by key and dimensions over the many-to-many join of facts and measures.
 
     Within a key every fact meets every measure, which leaves both averages as they are on
-    their own side. So each side is averaged first and the join is one row per group.
+    their own side. So each side is averaged first and the join is one row per group. ``decimals``
+    makes the averages exact, see ``average``.
     """
     dims = list(dims)
-    left = _keyed(facts, key).groupBy(key, *dims).agg(F.avg(fact_column).alias(fact_alias))
-    right = _keyed(measures, key).groupBy(key).agg(F.avg(measure_column).alias(measure_alias))
+    left = _keyed(facts, key).groupBy(key, *dims).agg(average(fact_column, decimals).alias(fact_alias))
+    right = _keyed(measures, key).groupBy(key).agg(average(measure_column, decimals).alias(measure_alias))
     return left.join(right, key).select(measure_alias, fact_alias, key, *dims)
 
 

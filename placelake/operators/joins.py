@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placelake.functions.columns import quoted
-from placelake.settings import stored
+from placelake.operators.aggregates import average
 
 # Largest side, in bytes of plain values, that is sent whole to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -101,9 +101,12 @@ def reconcile(df: DataFrame, lookup: DataFrame, on: Keys, on_duplicate: str = "e
     return bounded_join(df, lookup, on, "left", max_bytes)
 
 
-def group_averages(measures: DataFrame, key: str, column: str, alias: str) -> DataFrame:
-    """The average of ``column`` per non-null key, stored, so that later steps read the measures no more."""
-    return stored(measures.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(column).alias(alias)), "averages")
+def group_averages(measures: DataFrame, key: str, column: str, alias: str, decimals: int | None = None) -> DataFrame:
+    """The average of ``column`` per non-null key, persisted, so that later steps read the measures no more.
+
+    The caller may unpersist it. ``decimals`` makes the averages exact.
+    """
+    return measures.where(F.col(key).isNotNull()).groupBy(key).agg(average(column, decimals).alias(alias)).persist()
 
 
 def attach_averages(rows: DataFrame, averages: DataFrame, key: str, alias: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -112,12 +115,12 @@ def attach_averages(rows: DataFrame, averages: DataFrame, key: str, alias: str,
 
 
 def attach_group_avg(rows: DataFrame, measures: DataFrame, key: str, column: str, alias: str,
-                     max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                     max_bytes: int = BROADCAST_BYTES, decimals: int | None = None) -> DataFrame:
     """Give each row the average of ``column`` over the measures of its key, as float32.
 
     Rows whose key has no measures are dropped; a key with only null measures gives null.
     """
-    return attach_averages(rows, group_averages(measures, key, column, alias), key, alias, max_bytes)
+    return attach_averages(rows, group_averages(measures, key, column, alias, decimals), key, alias, max_bytes)
 
 
 def pending_files(listing: DataFrame, ledger: DataFrame, key: str = "file_name") -> DataFrame:

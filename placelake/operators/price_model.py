@@ -1,29 +1,24 @@
-"""A price regression on one category, as a Spark ML pipeline."""
+"""A price regression on one category: in closed form over aggregates, or as a Spark ML pipeline."""
 
 from __future__ import annotations
 
-from math import fsum, sqrt
+from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placelake.operators.joins import bounded_join
-from placelake.settings import stored
 
 # Settings of the regression.
 MAX_ITER = 10
 REG_PARAM = 0.1
 
-# Most categories of which Spark solves the regression exactly, the baseline included.
-MAX_EXACT_CATEGORIES = 4097
-
-_ROWS, _VARIANCE = "__rows", "__variance"
 _CATEGORY = "__category"
 _ENTRY_BYTES = 32
+_SETTINGS = "category string, intercept double, keeps boolean, n_bytes long"
 
 
 def category_indexer(column: str, alias: str | None = None, invalid: str = "skip") -> StringIndexer:
@@ -48,82 +43,96 @@ def price_pipeline(category: str, label: str = "price", reg: float = REG_PARAM,
     )
 
 
-def fit_price_model(rows: DataFrame, category: str, label: str = "price", reg: float = REG_PARAM,
-                    invalid: str = "skip") -> PipelineModel:
-    """The model ``price_pipeline`` fits, from one aggregate over the rows.
-
-    Rows of a category share their features, so a regression on the category means, weighted
-    by row counts, has the same solution. Only the label's spread differs, by which Spark
-    scales the penalty; the penalty is corrected for it. With more categories than Spark
-    solves exactly, the iterative solver runs on the rows instead. Rows without a label are
-    left out.
-    """
-    known = rows.where(F.col(label).isNotNull())
-    groups = stored(
-        (known.where(F.col(category).isNotNull()) if invalid == "skip" else known)
-        .groupBy(F.col(category).cast("string").alias(category))
-        .agg(F.count(F.lit(1)).alias(_ROWS), F.avg(label).alias(label), F.var_pop(label).alias(_VARIANCE)),
-        "category-groups",
-    )
-    if not 1 < groups.count() <= MAX_EXACT_CATEGORIES:
-        return price_pipeline(category, label, reg, invalid).fit(known)
-    means = groups.collect()
-    ranked = sorted((-g[_ROWS], g[category].encode("utf-16-be"), g[category]) for g in means if g[category] is not None)
-    pipeline = price_pipeline(category, label, reg * _spread_of_means(means, label), invalid)
-    indexed, encoder, regression = pipeline.getStages()
-    indexer = StringIndexerModel.from_labels([r[-1] for r in ranked], category, indexed.getOutputCol(), invalid)
-    groups = indexer.transform(groups)
-    encoded = encoder.fit(groups)
-    fitted = regression.setWeightCol(_ROWS).fit(encoded.transform(groups))
-    return PipelineModel([indexer, encoded, fitted])
-
-
-def _spread_of_means(means: list[Row], label: str) -> float:
-    """Standard deviation of the category means relative to that of all labels."""
-    n = sum(g[_ROWS] for g in means)
-    center = fsum(g[_ROWS] * g[label] for g in means) / n
-    between = fsum(g[_ROWS] * (g[label] - center) ** 2 for g in means)
-    within = fsum(g[_ROWS] * g[_VARIANCE] for g in means)
-    return sqrt(between / (between + within)) if between > 0 else 1.0
-
+@dataclass(frozen=True)
+class PriceModel:
+    """One coefficient per category, as a table (category, coefficient), and the intercept.
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add the prediction and the columns it was made from."""
-    return model.transform(df)
+    ``keeps`` says that null and unseen categories are predicted, by the intercept; else their rows are left
+    out. ``n_bytes`` is the table's size, by which a prediction chooses its join.
+    """
 
+    category: str
+    coefficients: DataFrame
+    intercept: float
+    keeps: bool
+    n_bytes: int
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add the prediction alone, by a join with the coefficients instead of vectors per row.
 
-    Rows, batch or streaming, and values are those of ``score``; the work stays in generated code.
+def fit_price_model(rows: DataFrame, category: str, label: str = "price", reg: float = REG_PARAM,
+                    invalid: str = "skip") -> PriceModel:
+    """The regression that ``price_pipeline`` fits, in closed form, for any number of categories.
+
+    With one category per row a coefficient is the distance of its mean from the intercept, shrunk by the
+    penalty and the category's share of the rows; the rarest category (or the missing one, if kept)
+    is the baseline at 0. So one aggregate over the rows gives counts and means, and the rest are
+    aggregates over those groups. Rows without a label are left out. The groups are persisted, as long as the
+    model's table is in use.
     """
-    indexer, _, regression = model.stages
-    labels, keeps = indexer.labels, indexer.getHandleInvalid() == "keep"
-    table = coefficient_table(df.sparkSession, model).select(
-        F.col("category").alias(_CATEGORY), (F.col("coefficient") + F.col("intercept")).alias("prediction")
+    if invalid not in ("skip", "keep"):
+        raise ValueError(f"invalid is 'skip' or 'keep', not {invalid!r}")
+    keeps = invalid == "keep"
+    known = rows.where(F.col(label).isNotNull())
+    groups = (
+        (known if keeps else known.where(F.col(category).isNotNull()))
+        .groupBy(F.col(category).cast("string").alias("category"))
+        .agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("mean"), F.var_pop(label).alias("spread"))
+        .persist()
+    )
+    total = groups.agg(
+        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"),
+        F.count("category").alias("categories"), F.min("n").alias("least"),
+        F.coalesce(F.sum(F.octet_length("category") + _ENTRY_BYTES), F.lit(0)).alias("n_bytes"),
+    ).first()
+    if total.categories + keeps < 2:
+        groups.unpersist()
+        raise ValueError(f"{category} needs two distinct values at least")
+    center = F.lit(total["mean"])
+    variance = groups.agg((F.sum(F.col("n") * (F.col("spread") + F.pow(F.col("mean") - center, 2))) / total.n).alias("v")).first().v
+    baseline = None if keeps else groups.where(F.col("n") == total.least).agg(F.max("category").alias("c")).first().c
+    is_base = F.col("category").isNull() if keeps else F.col("category") == F.lit(baseline)
+    weight = reg / variance ** 0.5 if variance > 0 else None  # labels that are all equal leave no effect
+    kept = F.lit(0.0) if weight is None else F.when(is_base, 0.0).otherwise(1 / (1 + weight * (1 - F.col("n") / total.n)))
+    shrunk = groups.withColumn("kept", kept)
+    free = F.col("n") * (1 - F.col("kept"))
+    base = shrunk.agg(F.try_divide(F.sum(free * F.col("mean")), F.sum(free)).alias("b")).first().b
+    intercept = float(total["mean"] if base is None else base)
+    table = shrunk.where(F.col("category").isNotNull()).select("category", (F.col("kept") * (F.col("mean") - intercept)).alias("coefficient"))
+    return PriceModel(category, table, intercept, keeps, int(total.n_bytes))
+
+
+def predict(model: PriceModel, df: DataFrame) -> DataFrame:
+    """Add the prediction to the rows, batch or streaming, by a join with the coefficients."""
+    table = model.coefficients.select(
+        F.col("category").alias(_CATEGORY), (F.col("coefficient") + model.intercept).alias("prediction")
     )
-    keyed = df.withColumn(_CATEGORY, F.col(indexer.getInputCol()).cast("string"))
-    size = sum(len(c.encode()) + _ENTRY_BYTES for c in labels)
-    joined = bounded_join(keyed, table, [_CATEGORY], "left" if keeps else "inner", side_bytes=size).drop(_CATEGORY)
-    return joined.fillna(regression.intercept, "prediction") if keeps else joined
+    keyed = df.withColumn(_CATEGORY, F.col(model.category).cast("string"))
+    joined = bounded_join(keyed, table, [_CATEGORY], "left" if model.keeps else "inner", side_bytes=model.n_bytes).drop(_CATEGORY)
+    return joined.fillna(model.intercept, "prediction") if model.keeps else joined
 
 
-def coefficient_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """One row per category with its coefficient; the last category is the baseline at 0.
+def coefficient_table(model: PriceModel) -> DataFrame:
+    """One row per category with its coefficient and the intercept; the baseline has 0.
 
     Where missing categories are kept, they are the baseline and have no row.
     """
-    labels, regression = model.stages[0].labels, model.stages[-1]
-    weights = [*regression.coefficients.toArray().tolist(), 0.0][: len(labels)]
-    columns = [pa.array(labels, pa.string()), pa.array(weights, pa.float64()), pa.repeat(regression.intercept, len(labels))]
-    return spark.createDataFrame(pa.table(columns, ["category", "coefficient", "intercept"]))
+    return model.coefficients.withColumn("intercept", F.lit(model.intercept))
 
 
-def save_model(model: PipelineModel, path: str, overwrite: bool = False) -> None:
-    """Save a fitted model; an existing one is only replaced on request."""
-    writer = model.write()
-    (writer.overwrite() if overwrite else writer).save(path)
+def save_model(model: PriceModel, path: str, overwrite: bool = False) -> None:
+    """Save a fitted model as two tables; an existing one is only replaced on request."""
+    mode = "overwrite" if overwrite else "error"
+    settings = [(model.category, model.intercept, model.keeps, model.n_bytes)]
+    model.coefficients.write.mode(mode).parquet(f"{path}/coefficients")
+    frame = model.coefficients.sparkSession.createDataFrame(settings, _SETTINGS)
+    frame.coalesce(1).write.mode(mode).parquet(f"{path}/settings")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(spark: SparkSession, path: str) -> PriceModel:
+    settings = spark.read.schema(_SETTINGS).parquet(f"{path}/settings").first()
+    table = spark.read.schema("category string, coefficient double").parquet(f"{path}/coefficients")
+    return PriceModel(settings.category, table, settings.intercept, settings.keeps, settings.n_bytes)
+
+
+def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Add the prediction of a fitted ``price_pipeline`` and the columns it was made from."""
+    return model.transform(df)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,16 +21,27 @@ from placelake.functions.columns import (
 )
 from placelake.operators.aggregates import fanout_avg, fanout_count, regression_metrics, summarize
 from placelake.operators.joins import pending_files, reconcile
-from placelake.operators.price_model import REG_PARAM, category_index, coefficient_table, fit_price_model, load_model, predict, score
-from placelake.operators.sampling import TRAIN_SHARE, in_training, random_split, train_test_split
+from placelake.operators.price_model import (
+    REG_PARAM,
+    PriceModel,
+    category_index,
+    coefficient_table,
+    fit_price_model,
+    load_model,
+    predict,
+    price_pipeline,
+    score,
+)
+from placelake.operators.sampling import TRAIN_SHARE, in_training, preview, random_split, train_test_split
 from placelake.plans import exploitation, names, sample
-from placelake.plans.formatting import format_listings, format_load
+from placelake.plans.formatting import format_listings, format_load, format_sources, format_stream
 from placelake.plans.training import train_price_model
 from placelake.settings import scratch_path
 from placelake.sources.files import read_lookup
-from placelake.sources.registry import Source
+from placelake.sources.registry import Source, read_registry
 from placelake.sources.tables import ParquetTables, read_table
 from placelake.streaming import jobs
+from placelake.streaming.messages import read_messages
 from placelake.streaming.sinks import run_available, stream_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +73,11 @@ ORDER_MESSAGE = T.StructType(
 )
 
 
+def _exact_avg(column: str) -> str:
+    """Cents summed as integers and divided once: the same number whatever the order of rows."""
+    return f"CAST(sum(CAST(round({column} * 100) AS BIGINT)) AS DOUBLE) / CAST(count({column}) * 100 AS DOUBLE)"
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query, with its SQL if it has one."""
 
@@ -192,18 +207,17 @@ def listings_per_neighborhood(spark, sf_dir):
     return exploitation.listings_per_neighborhood(sample.listings(spark, sf_dir))
 
 
-@query("avg_price_index", f"{sample.SAMPLE_SQL} SELECT round(avg(i.index_rfid), 4) AS avg_index, round(avg(l.price), 4) AS avg_price, "
+@query("avg_price_index", f"{sample.SAMPLE_SQL} SELECT {_exact_avg('i.index_rfid')} AS avg_index, {_exact_avg('l.price')} AS avg_price, "
        "l.neighborhood_id, l.neighborhood_n_reconciled, l.district_id, l.district_n_reconciled "
        "FROM listing l JOIN income i ON l.neighborhood_id = i.neighborhood_id GROUP BY 3, 4, 5, 6")
 def avg_price_index(spark, sf_dir):
-    result = exploitation.avg_price_index(sample.listings(spark, sf_dir), sample.income(spark, sf_dir))
-    return result.withColumns({c: F.round(c, 4) for c in ("avg_index", "avg_price")})
+    return exploitation.avg_price_index(sample.listings(spark, sf_dir), sample.income(spark, sf_dir), decimals=2)
 
 
 @query("price_vs_index", f"{sample.SAMPLE_SQL} SELECT CAST(avg_index AS FLOAT) AS avg_index, price, {PLACE_SQL} FROM listing JOIN "
-       "(SELECT neighborhood_id, avg(index_rfid) AS avg_index FROM income GROUP BY neighborhood_id) USING (neighborhood_id)")
+       f"(SELECT neighborhood_id, {_exact_avg('index_rfid')} AS avg_index FROM income GROUP BY neighborhood_id) USING (neighborhood_id)")
 def price_vs_index(spark, sf_dir):
-    return exploitation.price_vs_index(sample.listings(spark, sf_dir), sample.income(spark, sf_dir))
+    return exploitation.price_vs_index(sample.listings(spark, sf_dir), sample.income(spark, sf_dir), decimals=2)
 
 
 def _categories_sql(count: str) -> str:
@@ -233,44 +247,107 @@ def orders_by_segment(spark, sf_dir):
     return fanout_count(facts, customers, "c_nationkey", [], ["c_mktsegment"], "n")
 
 
-@query("fanout_avg", """
-SELECT round(avg(s_acctbal), 4) AS avg_balance, round(avg(o_totalprice), 4) AS avg_price, s_nationkey AS nation, c_mktsegment
+@query("fanout_avg", f"""
+SELECT {_exact_avg('s_acctbal')} AS avg_balance, {_exact_avg('o_totalprice')} AS avg_price, s_nationkey AS nation, c_mktsegment
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN supplier ON c_nationkey = s_nationkey GROUP BY 3, 4""")
 def averages_by_segment(spark, sf_dir):
     orders, customers = sample.table(spark, sf_dir, "orders"), sample.table(spark, sf_dir, "customer")
     facts = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumnRenamed("c_nationkey", "nation")
     suppliers = sample.table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "nation")
-    result = fanout_avg(facts, suppliers, "nation", ["c_mktsegment"], "o_totalprice", "s_acctbal", "avg_price", "avg_balance")
-    return result.withColumns({c: F.round(c, 4) for c in ("avg_balance", "avg_price")})
-
-
-@query("run_exploitation", f"""{sample.SAMPLE_SQL}
-SELECT '{names.COUNT_TABLE}' AS table_name, count(*) AS n_rows, CAST(sum(n) AS DOUBLE) AS total FROM
-  (SELECT count(*) AS n FROM listing WHERE neighborhood_id IS NOT NULL GROUP BY neighborhood_id)
-UNION ALL SELECT '{names.AVERAGES_TABLE}', count(*), round(sum(p), 4) FROM
-  (SELECT avg(l.price) AS p FROM listing l JOIN income i ON l.neighborhood_id = i.neighborhood_id GROUP BY l.neighborhood_id)
-UNION ALL SELECT '{names.PRICES_TABLE}', count(*), round(sum(l.price), 2) FROM listing l
-  WHERE l.neighborhood_id IN (SELECT neighborhood_id FROM income)
-UNION ALL SELECT '{names.CATEGORIES_TABLE}', count(*), CAST(sum(n) AS DOUBLE) FROM
-  (SELECT count(*) AS n FROM listing l JOIN commercial c ON l.neighborhood_id = c.neighborhood_id
-   GROUP BY l.neighborhood_id, c."Codi_Grup_Activitat", c."Nom_Grup_Activitat")""")
+    return fanout_avg(facts, suppliers, "nation", ["c_mktsegment"], "o_totalprice", "s_acctbal", "avg_price", "avg_balance", decimals=2)
+
+
+_RESULTS = ["neighborhood_id", "district_id", "district_n_reconciled", "neighborhood_n_reconciled", "code", "category", "n", "price", "avg_index"]
+_CATEGORY = ['"Codi_Grup_Activitat"', '"Nom_Grup_Activitat"']
+
+
+def _exploited_sql(listing: str = "listing", income: str = "income", commercial: str = "commercial") -> str:
+    """Every row of the four result tables under shared columns."""
+    code, category = _CATEGORY
+    return f"""
+SELECT '{names.COUNT_TABLE}' AS table_name, neighborhood_id, min(district_id) AS district_id, min(district_n_reconciled) AS district_n_reconciled,
+  min(neighborhood_n_reconciled) AS neighborhood_n_reconciled, NULL AS code, NULL AS category, count(*) AS n,
+  CAST(NULL AS DOUBLE) AS price, CAST(NULL AS DOUBLE) AS avg_index
+FROM {listing} WHERE neighborhood_id IS NOT NULL GROUP BY neighborhood_id
+UNION ALL SELECT '{names.AVERAGES_TABLE}', l.neighborhood_id, district_id, district_n_reconciled, neighborhood_n_reconciled, NULL, NULL, NULL,
+  {_exact_avg('l.price')}, min(i.avg_index) FROM {listing} l JOIN
+  (SELECT neighborhood_id, {_exact_avg('index_rfid')} AS avg_index FROM {income} GROUP BY 1) i ON l.neighborhood_id = i.neighborhood_id GROUP BY 2, 3, 4, 5
+UNION ALL SELECT '{names.PRICES_TABLE}', l.neighborhood_id, district_id, district_n_reconciled, neighborhood_n_reconciled, NULL, NULL, NULL,
+  l.price, CAST(CAST(i.avg_index AS FLOAT) AS DOUBLE) FROM {listing} l JOIN
+  (SELECT neighborhood_id, {_exact_avg('index_rfid')} AS avg_index FROM {income} GROUP BY 1) i ON l.neighborhood_id = i.neighborhood_id
+UNION ALL SELECT '{names.CATEGORIES_TABLE}', l.neighborhood_id, l.district_id, l.district_n_reconciled, l.neighborhood_n_reconciled,
+  CAST(c.{code} AS VARCHAR), CAST(c.{category} AS VARCHAR), count(*), NULL, NULL
+FROM {listing} l JOIN {commercial} c ON l.neighborhood_id = c.neighborhood_id GROUP BY 2, 3, 4, 5, 6, 7"""
+
+
+def _exploited(spark: SparkSession, tables: ParquetTables) -> DataFrame:
+    own = {
+        names.COUNT_TABLE: {"n": "count_list"}, names.AVERAGES_TABLE: {"price": "avg_price", "avg_index": "avg_index"},
+        names.PRICES_TABLE: {"price": "price", "avg_index": "avg_index"},
+        names.CATEGORIES_TABLE: {"n": "n_commerces", "code": "Codi_Grup_Activitat", "category": "Nom_Grup_Activitat"},
+    }
+    kinds = {"n": "long", "price": "double", "avg_index": "double"}
+    parts = []
+    for name, columns in own.items():
+        df = read_table(spark, tables, name)
+        found = columns | {c: c for c in PLACE if c in df.columns}
+        parts.append(df.select(F.lit(name).alias("table_name"), *[
+            (F.col(found[c]) if c in found else F.lit(None)).cast(kinds[c] if c in kinds else df.schema[c].dataType if c in df.columns else "string").alias(c)
+            for c in _RESULTS]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("run_exploitation", f"{sample.SAMPLE_SQL}{_exploited_sql()}")
 def run_exploitation(spark, sf_dir):
-    """All four result tables written, then read back for their row counts and column totals."""
+    """All four result tables written, then read back row by row."""
     tables = ParquetTables(scratch_path(spark, "exploitation"))
     exploitation.run_exploitation(
-        sample.listings(spark, sf_dir), sample.income(spark, sf_dir), sample.commercial(spark, sf_dir), tables
+        sample.listings(spark, sf_dir), sample.income(spark, sf_dir), sample.commercial(spark, sf_dir), tables, decimals=2
     )
-    totals = {
-        names.COUNT_TABLE: F.sum("count_list").cast("double"),
-        names.AVERAGES_TABLE: F.round(F.sum("avg_price"), 4),
-        names.PRICES_TABLE: F.round(F.sum("price"), 2),
-        names.CATEGORIES_TABLE: F.sum("n_commerces").cast("double"),
+    return _exploited(spark, tables)
+
+
+@query("whole_flow", f"{sample.SAMPLE_SQL}{_exploited_sql()}")
+def whole_flow(spark, sf_dir):
+    """Raw tables land, a registry names them, the loads format them, and the result tables follow."""
+    root = scratch_path(spark, "flow")
+    landed = {
+        names.LISTINGS_SOURCE: (sample.raw_listings, names.LISTINGS_TABLE), names.INCOME_SOURCE: (sample.raw_income, names.INCOME_TABLE),
+        names.COMMERCIAL_SOURCE: (sample.raw_commercial, names.COMMERCIAL_TABLE),
+        names.LISTINGS_LOOKUP: (sample.lookup, ""), names.OPEN_DATA_LOOKUP: (sample.lookup, ""),
     }
-    return reduce(DataFrame.unionAll, [
-        read_table(spark, tables, name).agg(F.count(F.lit(1)).alias("n_rows"), total.alias("total"))
-        .select(F.lit(name).alias("table_name"), "n_rows", "total")
-        for name, total in totals.items()
-    ])
+    schemas = {}
+    for name, (raw, _) in landed.items():
+        rows = raw(spark, sf_dir)
+        rows.write.parquet(f"{root}/landing/{name}")
+        schemas[name] = rows.schema
+    entries = [(name, f"{root}/landing/{name}", table) for name, (_, table) in landed.items()]
+    spark.createDataFrame(entries, "name string, dest_path_landing string, dest_table string").write.json(f"{root}/registry")
+    formatted, results = ParquetTables(f"{root}/formatted"), ParquetTables(f"{root}/results")
+    format_sources(spark, read_registry(spark, f"{root}/registry"), f"{root}/ledger", formatted, schemas=schemas)
+    exploitation.exploit_tables(spark, formatted, results, decimals=2)
+    return _exploited(spark, results)
+
+
+@query("read_lookup", "SELECT n_nationkey AS neighborhood_id, upper(n_name) AS neighborhood_n_reconciled FROM nation")
+def whole_lookup(spark, sf_dir):
+    """A lookup written as three part files, next to an older one."""
+    path = scratch_path(spark, "lookup")
+    sample.lookup(spark, sf_dir).where("district_id = 0").write.parquet(path)
+    sample.lookup(spark, sf_dir).repartition(3).write.mode("append").parquet(path)
+    return read_lookup(spark, path).select("neighborhood_id", "neighborhood_n_reconciled")
+
+
+@query("format_stream", "SELECT * FROM events")
+def format_stream_once(spark, sf_dir):
+    """The files of a table loaded by two runs on one checkpoint; the second finds nothing to do."""
+    root = scratch_path(spark, "format-stream")
+    events = sample.table(spark, sf_dir, "events")
+    events.write.parquet(f"{root}/landing")
+    source, tables = Source("events", f"{root}/landing", "events"), ParquetTables(f"{root}/tables")
+    for _ in range(2):
+        run_available(format_stream(spark, source, f"{root}/checkpoint", tables, events.schema))
+    return read_table(spark, tables, "events").drop(PROCESS_TIME, INPUT_FILE)
 
 
 # Model
@@ -302,13 +379,16 @@ def random_split_shares(spark, sf_dir):
 
 @query("summarize", """
 SELECT 'count' AS summary, CAST(count(o_totalprice) AS DOUBLE) AS o_totalprice FROM orders
-UNION ALL SELECT 'mean', round(avg(o_totalprice), 4) FROM orders
+UNION ALL SELECT 'mean', CAST((sum(CAST(round(o_totalprice * 100) AS HUGEINT)) * 20000 + count(o_totalprice)) // (2 * count(o_totalprice)) AS DOUBLE) / 1000000 FROM orders
 UNION ALL SELECT 'stddev', round(stddev_samp(o_totalprice), 4) FROM orders
 UNION ALL SELECT 'min', min(o_totalprice) FROM orders
 UNION ALL SELECT 'max', max(o_totalprice) FROM orders""")
 def price_summary(spark, sf_dir):
-    summary = summarize(sample.table(spark, sf_dir, "orders"), ["o_totalprice"])
-    return summary.withColumn("o_totalprice", F.round(F.col("o_totalprice").cast("double"), 4))
+    """Prices as decimals, of which Spark averages exactly; a deviation has no ties to round."""
+    prices = sample.table(spark, sf_dir, "orders").select(F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
+    value = F.col("o_totalprice").cast("double")
+    return summarize(prices, ["o_totalprice"]).withColumn(
+        "o_totalprice", F.when(F.col("summary") == "stddev", F.round(value, 4)).otherwise(value))
 
 
 # The regularised fit in closed form. With one category per row, a category's coefficient is its
@@ -340,7 +420,7 @@ def _placed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.listings(spark, sf_dir).select("listing_id", "neighborhood_id", "price")
 
 
-def _listing_model(listings: DataFrame) -> PipelineModel:
+def _listing_model(listings: DataFrame) -> PriceModel:
     train, _ = train_test_split(listings, "listing_id")
     return fit_price_model(train, "neighborhood_id")
 
@@ -352,8 +432,8 @@ def _rounded_metrics(metrics: DataFrame) -> DataFrame:
 @query("score", _TEST_SCORES_SQL)
 def score_test_listings(spark, sf_dir):
     listings = _placed_listings(spark, sf_dir)
-    _, test = train_test_split(listings, "listing_id")
-    scored = with_error(score(_listing_model(listings), test))
+    train, test = train_test_split(listings, "listing_id")
+    scored = with_error(score(price_pipeline("neighborhood_id").fit(train), test))
     return scored.select("listing_id", "price", F.round("prediction", 2).alias("prediction"), F.round("error", 2).alias("error"))
 
 
@@ -375,10 +455,29 @@ def model_metrics(spark, sf_dir):
 @query("coefficient_table", f"""{_LISTING_MODEL_SQL}
 SELECT category, round(coefficient, 2) AS coefficient, round(intercept, 2) AS intercept FROM fitted""")
 def model_coefficients(spark, sf_dir):
-    table = coefficient_table(spark, _listing_model(_placed_listings(spark, sf_dir)))
+    table = coefficient_table(_listing_model(_placed_listings(spark, sf_dir)))
     return table.withColumns({c: F.round(c, 2) for c in ("coefficient", "intercept")})
 
 
+@query("fit_many_categories", f"""
+WITH placed AS (SELECT CAST(l_orderkey AS VARCHAR) AS category, l_extendedprice AS price, true AS training FROM lineitem),{_FIT_SQL}
+SELECT category, round(coefficient, 2) AS coefficient, round(intercept, 2) AS intercept FROM fitted""")
+def fit_many_categories(spark, sf_dir):
+    """A category per order: far more than a solver that holds them all on one machine would take."""
+    lines = sample.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
+    table = coefficient_table(fit_price_model(lines, "l_orderkey", "l_extendedprice"))
+    return table.withColumns({c: F.round(c, 2) for c in ("coefficient", "intercept")})
+
+
+@query("preview", "SELECT 5 AS n_rows, true AS all_there")
+def preview_orders(spark, sf_dir):
+    """Which rows a preview shows is not fixed; how many, and that they are the table's, is."""
+    orders = sample.table(spark, sf_dir, "orders").select("o_orderkey")
+    shown = preview(orders, 5).withColumnRenamed("o_orderkey", "shown")
+    met = shown.join(orders, F.col("shown") == F.col("o_orderkey"), "left")
+    return met.agg(F.count_distinct("shown").cast("int").alias("n_rows"), (F.count("o_orderkey") == F.count(F.lit(1))).alias("all_there"))
+
+
 @query("train_price_model", _METRICS_SQL)
 def train_and_save(spark, sf_dir):
     """Train, save, load again, and measure the loaded model."""
@@ -386,7 +485,7 @@ def train_and_save(spark, sf_dir):
     listings = _placed_listings(spark, sf_dir)
     train_price_model(listings, "listing_id", path=path)
     parts = listings.withColumn("part", F.when(in_training("listing_id"), "train").otherwise("test"))
-    return _rounded_metrics(regression_metrics(predict(load_model(path), parts), by=["part"]))
+    return _rounded_metrics(regression_metrics(predict(load_model(spark, path), parts), by=["part"]))
 
 
 # Streams
@@ -421,6 +520,18 @@ def ingest_messages(spark, sf_dir):
     return read_table(spark, tables, names.MESSAGES_TABLE).drop("value")
 
 
+@query("ingest_text_messages", "SELECT ts AS date, user_id AS neighborhood_id, value AS price FROM events")
+def ingest_text_messages(spark, sf_dir):
+    """Messages that lie in text files, read by the message source and streamed into a table by two runs."""
+    root = scratch_path(spark, "messages")
+    _event_messages(sample.table(spark, sf_dir, "events")).write.text(f"{root}/messages")
+    tables = ParquetTables(f"{root}/tables")
+    for _ in range(2):
+        stream = read_messages(spark, "text", {"path": f"{root}/messages"})
+        run_available(jobs.ingest_prices(stream, tables, f"{root}/checkpoint", fields=EVENT_MESSAGE, available_now=True))
+    return read_table(spark, tables, names.MESSAGES_TABLE).drop("value")
+
+
 @query("score_stream", f"""
 WITH placed AS (SELECT o_orderdate AS date, o_orderpriority AS category, o_totalprice AS price,
   {TRAINING_SQL.format(key='o_orderkey')} AS training FROM orders),{_FIT_SQL}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import logging
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime, timezone
 from math import ceil
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,6 +22,8 @@ from placelake.sources.registry import Source, source_named, sources_of, select_
 from placelake.sources.tables import Tables, write_table
 from placelake.streaming.sinks import stream_to_table
 
+_LOG = logging.getLogger(__name__)
+
 Step = Callable[[DataFrame], DataFrame]
 
 # Files read by one write; bounds the path list the driver holds, not what a load covers.
@@ -40,7 +44,7 @@ format_commercial = format_income
 
 
 def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables, step: Step | None = None,
-                schema: T.StructType | None = None, files_per_chunk: int = FILES_PER_CHUNK, pattern: str = "*.parquet") -> int:
+                schema: T.StructType | None = None, files_per_chunk: int = FILES_PER_CHUNK, pattern: str | None = None) -> int:
     """Load the files of a source that the ledger does not hold; returns how many were logged.
 
     The landing folder is searched to any depth, so a table that landed as a folder counts by
@@ -48,7 +52,9 @@ def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables
 
     Files are claimed in chunks before they are read. Each chunk is one distributed read and
     write into its own part of the table, then its files are logged. A load that was cut off
-    is finished first, over the same chunks, so a parquet table ends up with every file once.
+    is finished first, over the same chunks, so a parquet table ends up with every file once. Claimed
+    files that have gone meanwhile are reported and logged, so that they hold up no later load. Files of any
+    name count; one that is no parquet fails the load with its name.
     """
     at = datetime.now(timezone.utc)
     done = sum(_load_chunk(spark, source, ledger, tables, step, schema, at, *c) for c in open_chunks(spark, ledger, source.name))
@@ -63,11 +69,22 @@ def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables
 def _load_chunk(spark: SparkSession, source: Source, ledger: str, tables: Tables, step: Step | None,
                 schema: T.StructType | None, at: datetime, load_id: str, chunk: int) -> int:
     files = chunk_files(spark, ledger, source.name, load_id, chunk)
-    paths = [r.file_name for r in files.toLocalIterator()]
+    part = {"load_id": f"{load_id}-{chunk}"}
+    if tables.holds(spark, source.table, part):
+        # Written before it was cut off. Writing it anew could lose files that are gone by now.
+        append_ledger(files, ledger, source.name, at)
+        return files.count()
+    there = list_files(spark, source.landing_path, recursive=True).select("file_name", F.lit(True).alias("there"))
+    rows = files.join(there, "file_name", "left").toLocalIterator()
+    paths, gone = [], []
+    for r in rows:
+        (paths if r.there else gone).append(r.file_name)
+    if gone:
+        _LOG.warning("%s: %d claimed files are gone: %s", source.name, len(gone), ", ".join(sorted(gone)))
     if paths:
         df = with_lineage(read_landing(spark, paths, schema), at)
-        write_table(df if step is None else step(df), tables, source.table, "append", {"load_id": f"{load_id}-{chunk}"})
-        append_ledger(files, ledger, source.name, at)
+        write_table(df if step is None else step(df), tables, source.table, "append", part)
+    append_ledger(files, ledger, source.name, at)
     return len(paths)
 
 
@@ -93,10 +110,14 @@ def format_steps(spark: SparkSession, registry: DataFrame) -> dict[str, Step]:
 
 
 def format_sources(spark: SparkSession, registry: DataFrame, ledger: str, tables: Tables,
-                   wanted: Iterable[str] = (names.LISTINGS_SOURCE, names.INCOME_SOURCE, names.COMMERCIAL_SOURCE)) -> dict[str, int]:
-    """Load the new files of the wanted sources; returns the number of files per source."""
+                   wanted: Iterable[str] = (names.LISTINGS_SOURCE, names.INCOME_SOURCE, names.COMMERCIAL_SOURCE),
+                   schemas: Mapping[str, T.StructType] | None = None) -> dict[str, int]:
+    """Load the new files of the wanted sources; returns the number of files per source.
+
+    ``schemas`` gives the columns of a source by its name, which saves reading the footers of all files.
+    """
     steps = format_steps(spark, registry)
     return {
-        source.name: format_load(spark, source, ledger, tables, steps.get(source.name))
+        source.name: format_load(spark, source, ledger, tables, steps.get(source.name), (schemas or {}).get(source.name))
         for source in sources_of(select_sources(registry, wanted))
     }

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placelake.operators.aggregates import regression_metrics
-from placelake.operators.price_model import REG_PARAM, coefficient_table, fit_price_model, predict, save_model
+from placelake.operators.price_model import REG_PARAM, PriceModel, coefficient_table, fit_price_model, predict, save_model
 from placelake.operators.sampling import SEED, TRAIN_SHARE, in_training
 from placelake.plans import names
 
@@ -18,7 +17,7 @@ from placelake.plans import names
 class TrainedModel:
     """A fitted model with its metrics on the "train" and "test" part and its coefficients."""
 
-    model: PipelineModel
+    model: PriceModel
     metrics: DataFrame
     coefficients: DataFrame
 
@@ -36,4 +35,4 @@ def train_price_model(rows: DataFrame, key: str, category: str = names.NEIGHBORH
     if path is not None:
         save_model(model, path, overwrite)
     metrics = regression_metrics(predict(model, parts), label, by=["part"])
-    return TrainedModel(model, metrics, coefficient_table(rows.sparkSession, model))
+    return TrainedModel(model, metrics, coefficient_table(model))

@@ -8,22 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# How Spark names the part files of one write.
+_PART = r"/part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$"
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet", recursive: bool = False) -> DataFrame:
+
+def list_files(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
     """One row per file: ``file_name`` (full URI), ``modified_at``, ``n_bytes``.
 
-    The content column is never selected, so no file is opened.
+    Every file counts but hidden ones, whatever its suffix, unless a pattern is given. The content column is
+    never selected, so no file is opened.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", recursive)
-        .load(path)
-        .select(
-            F.col("path").alias("file_name"),
-            F.col("modificationTime").alias("modified_at"),
-            F.col("length").alias("n_bytes"),
-        )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(path).select(
+        F.col("path").alias("file_name"), F.col("modificationTime").alias("modified_at"), F.col("length").alias("n_bytes")
     )
 
 
@@ -37,16 +36,17 @@ def read_landing(spark: SparkSession, paths: Iterable[str], schema: T.StructType
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Read the newest lookup table of a folder; a table may be one file or a folder of part files."""
-    newest = _newest(list_files(spark, path))
-    if newest is None:
-        part = _newest(list_files(spark, path, recursive=True))
-        if part is None:
-            raise FileNotFoundError(f"no lookup file in {path}")
-        newest = part.rsplit("/", 1)[0]
-    return spark.read.parquet(newest)
-
-
-def _newest(files: DataFrame) -> str | None:
-    row = files.orderBy(F.desc("modified_at"), F.desc("file_name")).select("file_name").first()
-    return None if row is None else row.file_name
+    """Read the newest lookup table of a folder.
+
+    A table is a single file, or the part files of one write, which share an id in their names and
+    may lie in the folder or in one below it. The table with the newest change counts, whatever its kind.
+    """
+    folder = F.regexp_extract("file_name", r"^(.*)/[^/]*$", 1)
+    write_id = F.regexp_extract("file_name", _PART, 1)
+    single = F.when(write_id == "", F.col("file_name"))
+    files = list_files(spark, path, recursive=True).withColumns({"folder": folder, "write_id": write_id, "single": single})
+    tables = files.groupBy("folder", "write_id", "single").agg(F.max("modified_at").alias("newest"))
+    found = tables.orderBy(F.desc("newest"), F.desc("folder"), F.desc("write_id"), F.desc("single")).first()
+    if found is None:
+        raise FileNotFoundError(f"no lookup file in {path}")
+    return spark.read.parquet(found.single or f"{found.folder}/part-*{found.write_id}*")

@@ -26,6 +26,14 @@ class ParquetTables:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def part_path(self, table: str, part: Mapping[str, object]) -> str:
+        return f"{self.path(table)}/{'/'.join(f'{k}={v}' for k, v in part.items())}"
+
+    def holds(self, spark: SparkSession, table: str, part: Mapping[str, object]) -> bool:
+        """Whether a part was written to its end."""
+        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{self.part_path(table, part)}/_SUCCESS")
+        return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
     def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
         reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
         return reader.option("recursiveFileLookup", True).parquet(self.path(table))
@@ -33,8 +41,7 @@ class ParquetTables:
     def write(self, df: DataFrame, table: str, mode: str, part: Mapping[str, object] | None = None,
               type_map: TypeMap = STRING_AND_BOOLEAN_TYPES) -> None:
         if part:
-            levels = "/".join(f"{k}={v}" for k, v in part.items())
-            df.write.mode("overwrite").parquet(f"{self.path(table)}/{levels}")
+            df.write.mode("overwrite").parquet(self.part_path(table, part))
         else:
             df.write.mode(mode).parquet(self.path(table))
 
@@ -87,6 +94,10 @@ class JdbcTables:
             opts["createTableColumnTypes"] = ddl
         return opts
 
+    def holds(self, spark: SparkSession, table: str, part: Mapping[str, object]) -> bool:
+        """A database table keeps no parts, so none is known to be there."""
+        return False
+
     def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
         df = spark.read.format("jdbc").options(**self.read_options(table)).load()
         return df if schema is None else df.to(schema)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from placelake.functions.columns import split_message, with_error
-from placelake.operators.price_model import predict
+from placelake.operators.price_model import PriceModel, predict
 from placelake.plans import names
 from placelake.sources.tables import Tables
 from placelake.streaming.messages import PRICE_MESSAGE, SCORED_MESSAGE
@@ -21,7 +20,7 @@ def ingest_prices(stream: DataFrame, tables: Tables, checkpoint: str, table: str
     return stream_to_table(split_message(stream, fields), tables, table, checkpoint, available_now)
 
 
-def score_stream(stream: DataFrame, model: PipelineModel, fields: T.StructType = SCORED_MESSAGE,
+def score_stream(stream: DataFrame, model: PriceModel, fields: T.StructType = SCORED_MESSAGE,
                  label: str = "price") -> DataFrame:
     """Message fields with the model's prediction and the error of it.
 

@@ -43,7 +43,8 @@ def test_list_files_gives_uris_without_opening_files(spark, tmp_path):
     (tmp_path / "in" / "notes.txt").write_text("no table")
     files = list_files(spark, str(tmp_path / "in"))
     assert [c for c in files.columns] == ["file_name", "modified_at", "n_bytes"]
-    assert files.count() == 1 and files.first().file_name.startswith("file:/")
+    assert files.count() == 2 and files.first().file_name.startswith("file:/")
+    assert list_files(spark, str(tmp_path / "in"), "*.parquet").count() == 1
 
 
 def test_read_landing_keeps_columns_of_every_file(spark, tmp_path):
@@ -75,6 +76,64 @@ def test_read_lookup_takes_all_parts_of_the_newest_folder(spark, tmp_path):
         read_lookup(spark, str(tmp_path / "none"))
 
 
+def test_read_lookup_takes_every_part_of_one_write(spark, tmp_path):
+    path = str(tmp_path / "lookup")
+    spark.range(30).repartition(3).write.parquet(path)
+    assert read_lookup(spark, path).count() == 30
+    for old in (tmp_path / "lookup").glob("*.parquet"):
+        os.utime(old, (1, 1))
+    spark.range(50, 57).repartition(2).write.mode("append").parquet(path)
+    assert sorted(r.id for r in read_lookup(spark, path).collect()) == list(range(50, 57))
+
+
+def test_read_lookup_compares_files_with_folders_by_time(spark, tmp_path):
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "made"))
+    os.makedirs(tmp_path / "lookup")
+    single = tmp_path / "lookup" / "places.parquet"
+    next((tmp_path / "made").glob("*.parquet")).rename(single)
+    os.utime(single, (1, 1))
+    spark.range(50).repartition(2).write.parquet(str(tmp_path / "lookup" / "v2"))
+    assert read_lookup(spark, str(tmp_path / "lookup")).count() == 50
+    os.utime(single)
+    for old in (tmp_path / "lookup" / "v2").glob("*.parquet"):
+        os.utime(old, (1, 1))
+    assert read_lookup(spark, str(tmp_path / "lookup")).count() == 5
+
+
+def test_files_of_any_name_are_loaded(spark, tmp_path, ledger):
+    os.makedirs(tmp_path / "in")
+    for k, name in enumerate(["2021_01.parquet", "2021_02", "2021_03.PARQUET"]):
+        spark.range(5 * k, 5 * k + 5).coalesce(1).write.parquet(str(tmp_path / f"w{k}"))
+        next((tmp_path / f"w{k}").glob("*.parquet")).rename(tmp_path / "in" / name)
+    source, tables = Source("s", str(tmp_path / "in"), "t"), ParquetTables(str(tmp_path / "tables"))
+    assert format_load(spark, source, ledger, tables) == 3
+    assert read_table(spark, tables, "t").count() == 15
+    (tmp_path / "in" / "notes.txt").write_text("no table")
+    with pytest.raises(Exception, match="notes.txt"):
+        format_load(spark, source, ledger, tables)
+
+
+@pytest.mark.parametrize("written", [True, False])
+def test_a_load_ends_whose_claimed_file_has_gone(spark, tmp_path, ledger, written, monkeypatch):
+    """The load is cut off after its write, or before; then the landing file goes, and another one comes."""
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "in" / "a"))
+    source, tables = Source("s", str(tmp_path / "in"), "t"), ParquetTables(str(tmp_path / "tables"))
+
+    def cut_off(*args, **kwargs):
+        raise RuntimeError("cut off")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(formatting, "append_ledger" if written else "write_table", cut_off)
+        with pytest.raises(RuntimeError):
+            format_load(spark, source, ledger, tables)
+    for gone in (tmp_path / "in" / "a").glob("*.parquet"):
+        gone.rename(tmp_path / gone.name)
+    spark.range(100, 103).coalesce(1).write.parquet(str(tmp_path / "in" / "b"))
+    format_load(spark, source, ledger, tables)
+    assert read_table(spark, tables, "t").count() == (8 if written else 3)
+    assert format_load(spark, source, ledger, tables) == 0
+
+
 def test_ledger_round_trip(spark, ledger):
     assert read_ledger(spark, ledger).count() == 0
     at = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
