@@ -89,4 +89,41 @@ QUERIES = {
     "op9_log_bilinear": op9_log_bilinear,
     "op10_url_regression": op10_url_regression,
 }
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
+
+def _licence_sql() -> str:
+    case = " ".join(f"WHEN '{s}' THEN '{i}'" for s, i in licences.SENTENCES.items())
+    found = ", ".join(f"CASE WHEN contains(line, '/{'/'.join(seq)}/') THEN '{name}' END" for name, seq in licences.RULES)
+    return rf"""
+WITH split AS (SELECT doc_id, list_filter(list_transform(
+    regexp_split_to_array(lower(coalesce(text, '')), '[.!?]+\s+|[.!?]+$|\n+'),
+    lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') AS sentences FROM documents),
+named AS (SELECT doc_id, len(sentences) AS n_sentences,
+    list_filter(list_transform(sentences, lambda s: CASE s {case} END), lambda i: i IS NOT NULL) AS ids FROM split),
+lines AS (SELECT *, '/' || coalesce(array_to_string(ids, '/'), '') || '/' AS line FROM named)
+SELECT doc_id, n_sentences, coalesce(array_to_string(ids, ','), '') AS identifiers,
+    coalesce(array_to_string(list_sort(list_distinct(list_filter([{found}], lambda x: x IS NOT NULL))), ','), '') AS licences FROM lines"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_licence_rules": _licence_sql(),
+    "op7_capture_index": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+groups AS (SELECT h, max(page_id) AS target FROM p WHERE strlen(h) >= 1000 GROUP BY h),
+judged AS (SELECT page_id, p.h, target, target IS NOT NULL AND page_id IS DISTINCT FROM target AS again FROM p LEFT JOIN groups ON p.h = groups.h)
+SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN again THEN target END AS refers_to FROM judged""",
+    "op8_lsh_forest": f"""
+WITH RECURSIVE split AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3
+    THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split),
+rows AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM rows a JOIN rows b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sets x ON a = x.doc_id JOIN sets y ON b = y.doc_id WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)),
+reached(doc_id, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a)
+SELECT sets.doc_id, len(s) AS n_shingles, c.component_id, sets.doc_id = c.component_id AS kept
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1) c ON sets.doc_id = c.doc_id""",
+}

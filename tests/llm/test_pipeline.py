@@ -1,0 +1,66 @@
+import random
+import subprocess
+import sys
+from pathlib import Path
+
+import corpus_pipeline
+from placelake.llm import queries
+from placelake.llm.common import Scratch
+
+ROOT = Path(__file__).resolve().parents[2]
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+
+def test_stages_catch_what_is_planted(spark, make_docs, tmp_path):
+    rng = random.Random(1)
+    item, passage, copy = words(rng, 30), words(rng, 60), words(rng, 120)
+    rows = [(k, words(rng, 100)) for k in range(1, 21)]
+    rows += [(100, copy), (101, copy), (102, copy.replace(copy[:6], "zzzzzz"))]
+    rows += [(200, f"{words(rng, 60)} {item} {words(rng, 60)}"), (300, f"{words(rng, 70)} {passage} {words(rng, 50)}"),
+             (301, f"{words(rng, 80)} {passage}"), (400, "again and again " * 40), (401, "few words"), (402, None)]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs, scratch = make_docs(rows), Scratch(spark, "stages")
+    columns, left = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = scratch.write(stage(spark, docs, str(tmp_path)), name)
+        left[name] = {r["doc_id"]: r for r in docs.collect()}
+        assert docs.columns == columns or name == "packing"
+    clean = set(range(1, 21))
+    assert set(left["quality_rules"]) == clean | {100, 101, 102, 200, 300, 301}
+    assert set(left["near_duplicates"]) == clean | {100, 200, 300, 301}
+    assert passage in left["suffix_dedup"][300]["text"] and passage not in left["suffix_dedup"][301]["text"]
+    assert left["suffix_dedup"][301]["n_chars"] == len(left["suffix_dedup"][301]["text"])
+    assert set(left["decontamination"]) == clean | {100, 300, 301} == set(left["packing"])
+
+
+def test_stages_take_edges_and_empty_tables(spark, edge_docs, no_docs):
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (edge_docs, no_docs):
+            got = stage(spark, docs, "/root/testdata/sf0.001")
+            assert (got.count() == 0) >= (docs is no_docs), name
+
+
+def test_run_equals_the_stages(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = corpus_pipeline.run(spark, sf).collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf)
+    assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_every_query_is_registered():
+    import __spark_entry__ as entry_point
+
+    assert "pipeline" in entry_point.queries()
+    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in queries.QUERIES)] == []
+
+
+def test_the_rest_works_without_this_subpackage():
+    """As if the folder were gone: its import fails, and the other queries are still there."""
+    code = ("import sys; sys.modules['placelake.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; "
+            "assert 'score' in e.queries() and not any(q.startswith('op') for q in e.queries()); e.oracle_sql()")
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
