@@ -2,11 +2,12 @@ import pytest
 
 import __spark_entry__ as entry_point
 from oracle import difference
+from placelake.plans import catalog
 
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_its_sql(spark, name):
     assert name in entry_point.oracle_sql()
     assert difference(spark, name, SF) is None
