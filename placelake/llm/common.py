@@ -40,7 +40,7 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write a frame and read it back: later jobs start from the files, whatever is lost."""
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -71,7 +71,7 @@ def _bytes(text: str) -> bytes:
 
 
 _ALONE, _SURE, _FIRST = 0, 1, 2
-_SEEN = "route long, _id long, _h long, place int, kind byte"
+_SEEN = "route long, _id long, mark long"  # mark: four times the place, plus the kind
 
 
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -82,7 +82,7 @@ def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if not sum(sizes):
             continue
         hashes, places = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-        ids, texts = np.repeat(batch["_id"].to_numpy(), sizes), np.repeat(batch["_h"].to_numpy(), sizes)
+        ids = np.repeat(batch["_id"].to_numpy(), sizes)
         order = np.argsort(hashes, kind="stable")
         new = np.diff(hashes[order], prepend=~hashes[order[:1]]) != 0
         again = ~new | ~np.append(new[1:], True)
@@ -90,29 +90,32 @@ def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kind = np.where(again[new], _FIRST, _ALONE)
         route = np.concatenate([hashes[first], mix(hashes[sure] + places[sure].astype(np.uint64) * _A[0])])
         rows = np.concatenate([first, sure])
-        yield pd.DataFrame({
-            "route": route.view(np.int64), "_id": ids[rows], "_h": texts[rows], "place": places[rows].astype(np.int32),
-            "kind": np.concatenate([kind, np.full(len(sure), _SURE)]).astype(np.int8)})
+        kinds = np.concatenate([kind, np.full(len(sure), _SURE)])
+        yield pd.DataFrame({"route": route.view(np.int64), "_id": ids[rows], "mark": 4 * places[rows] + kinds})
 
 
 def _repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of a partition that holds whole hashes: the places whose anchor repeats. Memory is the partition's."""
     held = []
     for batch in batches:
-        sure = batch["kind"] == _SURE
-        yield batch.loc[sure, ["_id", "_h", "place"]]
+        sure = batch["mark"] % 4 == _SURE
+        yield _placed(batch[sure])
         held.append(batch[~sure])
     if held:
         rows = pd.concat(held, ignore_index=True)
         route = rows["route"].to_numpy()
         order = np.argsort(route, kind="stable")
         new = np.diff(route[order], prepend=~route[order[:1]]) != 0
-        again = order[~new | ~np.append(new[1:], True)]
-        chosen = rows.iloc[again]
-        yield chosen.loc[chosen["kind"] == _ALONE, ["_id", "_h", "place"]]
+        chosen = rows.iloc[order[~new | ~np.append(new[1:], True)]]
+        yield _placed(chosen[chosen["mark"] % 4 == _ALONE])
 
 
-_CONTEXT = "anchor long, context long, _id long, _h long, place long, low long, high long"
+def _placed(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"_id": rows["_id"], "place": rows["mark"] // 4})
+
+
+#: A spot is an anchor's place, how many bytes before it its first window starts, and how many its last one.
+_CONTEXT = "anchor long, context long, _id long, _h long, spot long"
 
 
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,7 +130,7 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             keys = [xxh3_64_intdigest(data[a:b + WINDOW]) for a, b in zip(low.tolist(), high.tolist())]
             keys = mix(np.array(keys, dtype=np.uint64) + (at - low).astype(np.uint64) * _A[0])
             parts.append(pd.DataFrame({"anchor": hashes.view(np.int64), "context": keys.view(np.int64), "_id": i, "_h": h,
-                                       "place": at, "low": low, "high": high}))
+                                       "spot": (at << 16) | ((at - low) << 8) | (at - high)}))
         yield pd.concat(parts, ignore_index=True)
 
 
@@ -235,19 +238,24 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
     """
     rows = keyed(docs, id_col, text_col)
     seen = rows.filter(F.octet_length("_text") >= WINDOW).mapInPandas(_occurrences, _SEEN)
-    places = seen.repartition("route").mapInPandas(_repeated, "_id long, _h long, place int")
-    by_text = places.groupBy("_id", "_h").agg(F.collect_list("place").alias("places"))
-    texts = scratch.write(rows.join(by_text, ["_id", "_h"]), "texts")
+    # Texts that share an id share their places: some more to look at, where a text has an anchor there too.
+    places = seen.repartition("route").mapInPandas(_repeated, "_id long, place long")
+    by_text = places.groupBy("_id").agg(F.collect_list("place").alias("places"))
+    texts = scratch.write(rows.join(by_text, "_id"), "texts")
     contexts = scratch.write(texts.mapInPandas(_contexts, _CONTEXT), "contexts")
 
     key = ["anchor", "context"]
-    place = F.struct("_id", "place", "_h", "low", "high")
-    kinds = scratch.write(contexts.groupBy(*key).agg(F.min(place).alias("first"), F.count("*").alias("n")), "kinds")
-    copies = (contexts.join(kinds.filter("n > 1").select(*key, F.struct("first._id", "first.place").alias("first")), key)
-              .filter(F.struct("_id", "place") > F.col("first")).select("_id", "_h", "low", "high"))
+    place = F.shiftright("spot", 16)
+    low, high = place - F.shiftright("spot", 8).bitwiseAND(255), place - F.col("spot").bitwiseAND(255)
+    where = [place.alias("place"), low.alias("low"), high.alias("high")]
+    # Equal contexts have equal bytes before and after the anchor: their spots order as their places do.
+    kinds = contexts.groupBy(*key).agg(F.min(F.struct("_id", "spot", "_h")).alias("first"), F.count("*").alias("n"))
+    kinds = scratch.write(kinds.select(*key, "first.*", "n"), "kinds")
+    firsts = kinds.filter("n > 1").select(*key, F.struct("_id", "spot").alias("first"))
+    copies = contexts.join(firsts, key).filter(F.struct("_id", "spot") > F.col("first")).select("_id", "_h", *where[1:])
 
     per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    mixed = kinds.join(per_anchor, "anchor").select("anchor", "first.*", (F.col("kinds") > in_task).alias("hot"))
+    mixed = kinds.join(per_anchor, "anchor").select("anchor", "_id", "_h", *where, (F.col("kinds") > in_task).alias("hot"))
     mixed = scratch.write(mixed, "mixed")
 
     def bytes_of(part: DataFrame) -> DataFrame:
