@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placelake.llm.common import NO_ID, Scratch, text_of
+from placelake.llm.common import NO_ID, Scratch, id_key, plain_id, text_of
 
 #: The end of a text; no word holds a space.
 END = b" "
@@ -301,10 +301,10 @@ def score_parts(texts: DataFrame, lexicon: Lexicon, params: Mapping[str, np.ndar
                     rare[words[at]] = rare.get(words[at], 0) + 1
                 rows.append((doc, out, len(words), int(known.sum()), float(held_log.sum()),
                              float(by_class - log_mass[classes].sum() + held_log[grouped].sum()), list(rare), list(rare.values())))
-            frame = pd.DataFrame(rows, columns=[x.split()[0] for x in _SCORED.split(", ")])
-            yield frame.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in _SCORED.split(", ")])
 
-    return texts.select("doc_id", "held_out", "text").mapInPandas(run, _SCORED)
+    own = texts.select(id_key("doc_id").alias("doc_id"), "held_out", "text")
+    return own.mapInPandas(run, _SCORED).withColumn("doc_id", plain_id("doc_id"))
 
 
 def score_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelake.llm.common import Scratch, text_of
+from placelake.llm.common import Scratch, id_key, plain_id, text_of
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACES = "uid long, length long, sequence_id long, offset long, fill long, gap boolean"
@@ -96,11 +96,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                 ids = encode(text) + end
                 for k, (start, length) in enumerate(pieces_of(len(ids) // 4, capacity)):
                     rows.append((doc, k, start, length, crc32(ids[4 * start:4 * (start + length)])))
-            frame = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield frame.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInPandas(run, _PIECES)
+    rows = docs.select(id_key(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    return rows.mapInPandas(run, _PIECES).withColumn("doc_id", plain_id("doc_id"))
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -184,7 +183,8 @@ def pack(items: DataFrame, scratch: Scratch, capacity: int = 1024, group_items:
     Each group is packed by best-fit decreasing and certified if its bins reach its lower bound. Then the
     items of groups with a gap, and those of every group's unfilled bins, are exchanged: dealt
     into new groups and packed again. A turn is taken if it saves bins; the end is reached when
-    the total meets the bound of all lengths together, or a turn saves none. The bound needs the counts
+    the total meets the bound of all lengths together, or a turn saves none, not even with the items of every
+    bin that has room. The bound needs the counts
     by length alone, at most ``capacity`` numbers.
     """
     counts = items.groupBy("length").count().toPandas()
@@ -192,21 +192,23 @@ def pack(items: DataFrame, scratch: Scratch, capacity: int = 1024, group_items:
     placed = scratch.write(_packed(items, group_items, capacity, 0, n), "placed-0")
     total = _bins(placed)
     bound = _weighted_bound(counts, capacity)
+    slack = capacity // 64
     for turn in range(1, max_turns + 1):
         if total <= bound:
             break
-        loose = placed.filter(F.col("gap") | (F.col("fill") < capacity - capacity // 64))
+        open_bins = F.col("gap") | (F.col("fill") < capacity - slack)
+        loose = placed.filter(open_bins)
         old, n_loose = _bins(loose), loose.count()
-        if old < 2:
-            break
-        again = scratch.write(_packed(loose, group_items, capacity, turn, n_loose), f"again-{turn}")
-        new = _bins(again)
+        again = scratch.write(_packed(loose, group_items, capacity, turn, n_loose), f"again-{turn}") if old > 1 else None
+        new = _bins(again) if again is not None else old
         if new >= old:
             scratch.drop(f"again-{turn}")
-            break
-        kept = placed.filter(~(F.col("gap") | (F.col("fill") < capacity - capacity // 64)))
-        placed = scratch.write(kept.unionByName(again), f"placed-{turn}")
-        scratch.drop(f"again-{turn}", f"placed-{turn - 1}")
+            if not slack:
+                break
+            slack = 0  # once more, with every bin that has room
+            continue
+        placed = scratch.write(placed.filter(~open_bins).unionByName(again), f"placed-{turn}")
+        scratch.drop(f"again-{turn}")
         total += new - old
     return placed.select("uid", "sequence_id", "offset")
 
