@@ -15,10 +15,10 @@ from placelake.operators.aggregates import average
 # Largest side, in bytes of plain values, that is sent whole to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Copies of the smaller side when a session does not split hot join partitions itself.
+# Into how many parts a key with a quarter of the rows goes when a session does not split hot join partitions itself.
 SALTS = 16
 
-_SALT = "__salt"
+_SALT, _COPIES = "__salt", "__copies"
 _ROW_OVERHEAD = 16
 _WIDTHS = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
@@ -53,7 +53,7 @@ def bounded_join(rows: DataFrame, side: DataFrame, on: Keys, how: str = "inner",
     The side is measured first, unless its size is given. Within ``max_bytes`` it is broadcast and the rows are not
     shuffled. Beyond that both sides are shuffled, and the rows of a hot key are spread: by
     Spark's own splitting of skewed partitions, or, where the session has that switched off
-    or ``salts`` is given, by a salt on the rows and one copy of the side per salt.
+    or ``salts`` is given, by salts on the rows of hot keys and copies of these keys' entries.
 
     ``on`` lists shared key names (one copy kept) or maps row keys to side keys (both kept).
     """
@@ -61,12 +61,35 @@ def bounded_join(rows: DataFrame, side: DataFrame, on: Keys, how: str = "inner",
         return _join(rows, F.broadcast(side), on, how)
     if salts is None:
         salts = 1 if _splits_skew(rows) else SALTS
-    if salts == 1:
-        return _join(rows, side, on, how)
-    salted = rows.withColumn(_SALT, F.pmod(row_hash(rows), F.lit(salts)).cast("int"))
-    copies = side.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    keys = {**on, _SALT: _SALT} if isinstance(on, Mapping) else [*on, _SALT]
-    joined = _join(salted, copies, keys, how)
+    # The keys of a stream cannot be counted beforehand.
+    return _join(rows, side, on, how) if salts == 1 or rows.isStreaming else _salted_join(rows, side, on, how, salts)
+
+
+def _salted_join(rows: DataFrame, side: DataFrame, on: Keys, how: str, salts: int) -> DataFrame:
+    """A shuffled join in which hot keys alone are spread, each over salts by its share of the rows.
+
+    A key is hot if it has more than 1 / (4 * salts) of all rows; there are fewer than 4 * salts of them,
+    so their list is small whatever the tables' sizes. Only their entries of the side are copied.
+    """
+    keys = list(on) if not isinstance(on, Mapping) else list(on.keys())
+    side_keys = list(on.values()) if isinstance(on, Mapping) else keys
+    counts = rows.groupBy(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__n")).persist()
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    share = max(1, total // (4 * salts))
+    hot = counts.where(F.col("__n") > share).withColumn(_COPIES, F.ceil(F.col("__n") / share).cast("int")).drop("__n")
+    hot = rows.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    counts.unpersist()
+
+    def marked(df: DataFrame, names: list[str]) -> DataFrame:
+        same = reduce(Column.__and__, [df[k].eqNullSafe(hot[f"__hot{i}"]) for i, k in enumerate(names)])
+        return df.join(F.broadcast(hot), same, "left").drop(*[f"__hot{i}" for i in range(len(names))])
+
+    spread = F.pmod(row_hash(rows), F.coalesce(_COPIES, F.lit(1))).cast("int")
+    salted = marked(rows, keys).withColumn(_SALT, spread).drop(_COPIES)
+    last = F.coalesce(_COPIES, F.lit(1)) - 1
+    copies = marked(side, side_keys).withColumn(_SALT, F.explode(F.sequence(F.lit(0), last))).drop(_COPIES)
+    both = {**on, _SALT: _SALT} if isinstance(on, Mapping) else [*on, _SALT]
+    joined = _join(salted, copies, both, how)
     return joined.drop(salted[_SALT]).drop(copies[_SALT]) if isinstance(on, Mapping) else joined.drop(_SALT)
 
 

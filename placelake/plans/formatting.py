@@ -17,7 +17,7 @@ from placelake.functions.columns import nested_to_json, with_lineage
 from placelake.operators.joins import pending_files, reconcile
 from placelake.plans import names
 from placelake.sources.files import list_files, read_landing, read_lookup
-from placelake.sources.ledger import append_ledger, chunk_files, claim_files, open_chunks, read_ledger
+from placelake.sources.ledger import append_ledger, chunk_files, claim_files, end_load, open_chunks, read_ledger
 from placelake.sources.registry import Source, source_named, sources_of, select_sources
 from placelake.sources.tables import Tables, write_table
 from placelake.streaming.sinks import stream_to_table
@@ -57,13 +57,20 @@ def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables
     name count; one that is no parquet fails the load with its name.
     """
     at = datetime.now(timezone.utc)
-    done = sum(_load_chunk(spark, source, ledger, tables, step, schema, at, *c) for c in open_chunks(spark, ledger, source.name))
+    cut_off = open_chunks(spark, ledger, source.name)
+    done = sum(_load_chunk(spark, source, ledger, tables, step, schema, at, *c) for c in cut_off)
+    for load_id in {load for load, _ in cut_off}:
+        end_load(spark, ledger, source.name, load_id)
     listing = list_files(spark, source.landing_path, pattern, recursive=True)
-    files = pending_files(listing, read_ledger(spark, ledger)).select("file_name")
+    files = pending_files(listing, read_ledger(spark, ledger)).select("file_name").persist()
     load_id, chunks = f"load-{uuid4().hex}", ceil(files.count() / files_per_chunk)
     if chunks > 0:
         claim_files(files, ledger, source.name, load_id, chunks)
-    return done + sum(_load_chunk(spark, source, ledger, tables, step, schema, at, load_id, c) for c in range(chunks))
+    files.unpersist()
+    if chunks > 0:
+        done += sum(_load_chunk(spark, source, ledger, tables, step, schema, at, load_id, c) for c in range(chunks))
+        end_load(spark, ledger, source.name, load_id)
+    return done
 
 
 def _load_chunk(spark: SparkSession, source: Source, ledger: str, tables: Tables, step: Step | None,

@@ -1,12 +1,15 @@
 """The log of processed files, kept as a parquet table next to the claims of running loads.
 
 A load first claims its files in numbered chunks, then writes each chunk's data and logs the
-chunk's files. A claimed file that is not logged belongs to a load that was cut off.
+chunk's files. A claimed file that is not logged belongs to a load that was cut off. Claims lie in a
+folder per source and load, which goes when the load has ended, so that a later load reads
+no claims but those of loads that were cut off.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +24,8 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
-CLAIM_SCHEMA = T.StructType(
-    [
-        T.StructField("file_name", T.StringType()),
-        T.StructField("source_name", T.StringType()),
-        T.StructField("load_id", T.StringType()),
-        T.StructField("chunk", T.IntegerType()),
-    ]
-)
+CLAIM_SCHEMA = T.StructType([T.StructField("file_name", T.StringType()), T.StructField("chunk", T.IntegerType())])
+_LOAD_ID = T.StructField("load_id", T.StringType())
 
 
 def ledger_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -53,31 +50,31 @@ def append_ledger(files: DataFrame, path: str, source_name: str, at: datetime) -
 def claim_files(files: DataFrame, path: str, source_name: str, load_id: str, chunks: int) -> None:
     """Record which files a load is about to process, spread over its chunks by file name."""
     files.select(
-        F.col("file_name"),
-        F.lit(source_name).alias("source_name"),
-        F.lit(load_id).alias("load_id"),
-        F.pmod(F.xxhash64("file_name"), F.lit(chunks)).cast("int").alias("chunk"),
-    ).write.mode("append").parquet(f"{path}/claimed")
-
-
-def claimed(spark: SparkSession, path: str, source_name: str) -> DataFrame:
-    return _table(spark, f"{path}/claimed", CLAIM_SCHEMA).where(F.col("source_name") == source_name)
+        F.col("file_name"), F.pmod(F.xxhash64("file_name"), F.lit(chunks)).cast("int").alias("chunk")
+    ).write.mode("overwrite").parquet(_claims(path, source_name, load_id))
 
 
 def open_chunks(spark: SparkSession, path: str, source_name: str) -> list[tuple[str, int]]:
     """Chunks with a claimed file that is not logged yet."""
-    rows = (
-        claimed(spark, path, source_name)
-        .join(read_ledger(spark, path), "file_name", "left_anti")
-        .select("load_id", "chunk")
-        .distinct()
-    )
+    claimed = _table(spark, _claims(path, source_name), T.StructType([*CLAIM_SCHEMA.fields, _LOAD_ID]))
+    rows = claimed.join(read_ledger(spark, path), "file_name", "left_anti").select("load_id", "chunk").distinct()
     return sorted((r.load_id, r.chunk) for r in rows.toLocalIterator())
 
 
 def chunk_files(spark: SparkSession, path: str, source_name: str, load_id: str, chunk: int) -> DataFrame:
-    mine = (F.col("load_id") == load_id) & (F.col("chunk") == chunk)
-    return claimed(spark, path, source_name).where(mine).select("file_name").distinct()
+    claimed = _table(spark, _claims(path, source_name, load_id), CLAIM_SCHEMA)
+    return claimed.where(F.col("chunk") == chunk).select("file_name").distinct()
+
+
+def end_load(spark: SparkSession, path: str, source_name: str, load_id: str) -> None:
+    """Drop the claims of a load all of whose files are logged."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_claims(path, source_name, load_id))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _claims(path: str, source_name: str, load_id: str | None = None) -> str:
+    source = f"{path}/claimed/source_name={quote(source_name, safe='')}"
+    return source if load_id is None else f"{source}/load_id={load_id}"
 
 
 def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -29,11 +29,9 @@ def stream_to_table(df: DataFrame, tables: Tables, table: str, checkpoint: str,
     return query
 
 
-def stream_to_console(df: DataFrame, checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
+def stream_to_console(df: DataFrame, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Print each batch of a stream."""
-    writer = df.writeStream.outputMode("append").format("console")
-    if checkpoint is not None:
-        writer = writer.option("checkpointLocation", checkpoint)
+    writer = df.writeStream.outputMode("append").format("console").option("checkpointLocation", checkpoint)
     return _triggered(writer, available_now).start()
 
 
