@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from placelake.functions.columns import split_message, with_error
-from placelake.operators.price_model import fit_price_model, score
+from placelake.operators.price_model import fit_price_model, predict
 from placelake.plans import names
 from placelake.sources.tables import ParquetTables, read_table
 from placelake.streaming import sinks
@@ -91,7 +91,7 @@ def test_score_stream_equals_scoring_the_batch(spark, inbox, tables, tmp_path, m
     assert scored.columns == ["date", "neighborhood_id", "price", "prediction", "error"]
     run_available(stream_to_table(scored, tables, "scored", str(tmp_path / "checkpoint"), available_now=True), 120)
     got = read_table(spark, tables, "scored")
-    batch = score(model, split_message(spark.read.text(str(inbox)), SCORED_MESSAGE))
+    batch = predict(model, split_message(spark.read.text(str(inbox)), SCORED_MESSAGE))
     want = with_error(batch.select("date", "neighborhood_id", "price", "prediction"))
     assert got.count() == 3 and got.exceptAll(want).count() == 0
     assert got.where("neighborhood_id = 'Q1' AND price IS NULL AND error IS NULL").count() == 1
