@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 from xxhash import xxh3_64_intdigest
 
 from placelake.llm.common import Scratch, keyed, with_text, wrapped
-from placelake.llm.words import WORD_ENDS, mix, shingles, word_hashes
+from placelake.llm.words import WORD_ENDS, shingles, word_hashes
 
 _SYMBOLS = b"#*$%&|<>"
 _ENDS = WORD_ENDS.decode()
@@ -27,6 +27,15 @@ def line_hash(line: str) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
+def line_sketch(line: str) -> int:
+    """A hash of a line that mostly outlasts the edit of a word: of the smallest word pair from eight words on, else of all."""
+    words = line.lower().split()
+    if len(words) < 8:
+        return xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"))
+    data = [w.encode("utf-8", "surrogatepass") for w in words]
+    return min(xxh3_64_intdigest(a + b" " + b) for a, b in zip(data, data[1:]))
+
+
 def repeat_words(hashes: np.ndarray, size: int = 3) -> int:
     """Words in a window of so many words that occurs twice or more in the text."""
     if len(hashes) <= size:
@@ -43,8 +52,9 @@ def repeat_words(hashes: np.ndarray, size: int = 3) -> int:
 def measures(text: str) -> tuple:
     """Word count, characters in words, symbols, repeated lines, repeated words, shape, line hashes, their words.
 
-    The shape is a hash of the two extreme line hashes. Copies with a few edits mostly keep it, so that a
-    group of copies counts as one document when a line's documents are counted.
+    The shape is a hash of the sketches of all lines, see :func:`line_sketch`. Texts that differ in a short line,
+    or in a line with another smallest word pair, differ in shape, whatever lines they share; copies with
+    a few words edited mostly keep it, so that a group of copies counts as one document.
     """
     data = text.encode("utf-8", "surrogatepass")
     hashes = word_hashes(data)
@@ -58,8 +68,8 @@ def measures(text: str) -> tuple:
         key = line_hash(line)
         words_of[key] = words_of.get(key, 0) + times * len(line.encode("utf-8", "surrogatepass").split())
     keys = np.fromiter(words_of, dtype=np.int64, count=len(words_of))
-    ends = np.array([keys.min(), keys.max()], dtype=np.int64).view(np.uint64) if len(keys) else np.zeros(2, np.uint64)
-    shape = int(mix(ends[:1] * np.uint64(3) + ends[1:]).astype(np.int64)[0])
+    sketches = np.sort(np.fromiter({line_sketch(x) for x in by_line}, dtype=np.uint64))
+    shape = int(np.uint64(xxh3_64_intdigest(sketches.tobytes())).astype(np.int64))
     return len(hashes), word_chars, n_symbols, dup, repeat_words(hashes), shape, keys, list(words_of.values())
 
 

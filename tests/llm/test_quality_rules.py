@@ -1,4 +1,6 @@
+import random
 import re
+from collections import Counter
 
 from placelake.llm import quality_rules as q
 
@@ -54,5 +56,25 @@ def test_copies_do_not_deplete_each_other(make_docs, scratch):
     assert sum(r[-1] for r in rows.values()) == len(rows) == 60
 
 
+def test_mostly_shared_lines_equal_a_count_of_all_documents(make_docs, scratch):
+    rng = random.Random(4)
+    shared = [" ".join(f"s{n}w{k}" for k in range(12)) for n in range(20)]
+    vocabulary = ["of", "the", "and", "to", "in"] * 40 + [f"v{k}" for k in range(400)]
+    texts = {}
+    for d in range(180):  # hosts: a short own line, a long one of common words, a text of its own with a part of the shared lines
+        own = [f"own {d}"] if d < 60 else [" ".join(rng.choices(vocabulary, k=12))] if d < 120 else [" ".join(rng.choices(vocabulary, k=400))]
+        lines = (shared if d < 120 else rng.sample(shared, 8)) + own
+        rng.shuffle(lines)
+        texts[d] = (f"h{d // 60}", lines)
+    docs = make_docs([(d, "\n".join(lines), "en", host) for d, (host, lines) in texts.items()])
+    count = Counter((host, line) for host, lines in texts.values() for line in set(lines))
+    got = {r["_id"]: (set(r["cut"] or ()), r["kept"]) for r in q.judge(docs, scratch, max_docs=10).collect()}
+    for d, (host, lines) in texts.items():
+        cut = [x for x in lines if count[host, x] > 10]
+        left = sum(len(x.split()) for x in lines if x not in cut)
+        assert got[d][0] == {q.line_hash(x) for x in cut} and len(cut) >= 8
+        assert got[d][1] == (left >= 0.2 * sum(len(x.split()) for x in lines)) == (d >= 120)
+
+
 def test_lower_case_and_spaces_do_not_matter():
     assert q.line_hash("A  b\tC") == q.line_hash("a b c") != q.line_hash("a bc")
