@@ -89,18 +89,19 @@ def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def regions(forest: DataFrame, scratch: Scratch, least: int, most: int, limit: int) -> DataFrame:
-    """Rows of regions with company: the shortest prefix, from ``least`` to ``most`` deep, that ``limit`` rows share.
+    """Rows of regions with company: those of the prefixes ``least`` deep, and of the regions inside the larger ones.
 
-    Level by level: regions of one row end, those up to the limit are taken, larger ones go deeper. At the
-    last level larger ones stay as they are (``dense``).
+    Level by level: regions of one row end, those up to the limit are taken, larger ones go deeper, down to
+    ``most``. Regions over the limit that are ``least`` deep are taken as well (``dense``), so that rows that part
+    further down can still be compared; regions further down are ``deep``.
     """
     rows, taken = forest, None
     for depth in range(least, most + 1):
         counts = rows.groupBy("tree", _prefix(depth).alias("prefix")).agg(F.count("*").alias("n")).filter("n > 1")
         joined = rows.withColumn("prefix", _prefix(depth)).join(counts, ["tree", "prefix"])
         joined = scratch.write(joined, f"level-{depth}")
-        done = joined if depth == most else joined.filter(F.col("n") <= limit)
-        done = done.select("tree", "prefix", "label", "node", (F.col("n") > limit).alias("dense"))
+        done = joined if depth in (least, most) else joined.filter(F.col("n") <= limit)
+        done = done.select("tree", "prefix", "label", "node", (F.col("n") > limit).alias("dense"), F.lit(depth > least).alias("deep"))
         taken = done if taken is None else taken.unionByName(done)
         rows = joined.filter(F.col("n") > limit).select("tree", "label", "node")
     return taken
@@ -144,9 +145,10 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
 
     Documents link if 100 times their shared shingles are ``percent`` times the union or more. Candidates come
     in two turns. First neighbours in the trees' orders, and each row with the first of its region; what they
-    link is joined to components. Then every region again, for the pairs that lie in different components:
-    all of them in regions up to ``limit`` rows, and in denser ones each row outside the region's largest
-    component with every row, in blocks. So no bound on a region drops a pair of it.
+    link is joined to components. Then every region ``least`` deep again, for the pairs that lie in different
+    components: all of them in regions up to ``limit`` rows, and in denser ones each row outside the region's
+    largest component with every row, in blocks. So no bound on a region drops a pair of it, and rows that part
+    at a depth between ``least`` and ``most`` are compared as well: more depth only serves the first turn.
 
     A pair of similarity s shares a region of depth d in a tree with chance s**d; with 24 trees, depth 4 and
     s = 0.8 a pair is missed in all trees with a chance below 1e-5, as with 16 trees and s = 0.85. Empty sets link with nothing. Null ids
@@ -188,8 +190,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
 
 
 def _apart(found: DataFrame, roots: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Pairs of a region whose rows lie in different components so far."""
-    rows = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    """Pairs of a region that isn't deep whose rows lie in different components so far."""
+    rows = found.filter("NOT deep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = scratch.write(rows.select("tree", "prefix", "node", "root", "dense"), "rooted")
     region = ["tree", "prefix"]
     parts = rows.groupBy(*region, "dense", "root").agg(F.count("*").alias("n"))

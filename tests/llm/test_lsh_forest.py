@@ -52,6 +52,20 @@ def test_dense_region_equals_all_pairs(make_docs, scratch):
     assert found(make_docs(rows), scratch, shingle=3, percent=85, trees=16, limit=4, most=5) == brute(rows, 3, 85)
 
 
+def test_lone_pairs_among_similar_documents_equal_all_pairs(make_docs, scratch):
+    """A region of hundreds goes deeper, where a pair of similarity 0.85 parts in most trees."""
+    rng, passage, rows = random.Random(8), " ".join(f"p{k}" for k in range(170)), []
+    for d in range(120):
+        own = [f"d{d}w{k}" for k in range(30)]
+        rows.append((2 * d, f"{passage} {' '.join(own)}"))
+        for at in (5, 12, 19, 26):
+            own[at] = f"e{rng.randrange(10**9)}"
+        rows.append((2 * d + 1, f"{passage} {' '.join(own)}"))
+    want = brute(rows, 3, 85)
+    assert len({root for _, root in want.values()}) == 120
+    assert found(make_docs(rows), scratch, shingle=3, percent=85, trees=6, least=1, limit=8) == want
+
+
 def test_edges(edge_docs, no_docs, scratch):
     kept = lsh_forest.keep_one(edge_docs, scratch)
     assert kept.columns == edge_docs.columns
