@@ -40,6 +40,39 @@ SENTENCES = {
     " following disclaimer": "bsd-source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the"
     " following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general"
+    " public license as published by the free software foundation either version 2 of the license or at your"
+    " option any later version": "gpl2-grant",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general"
+    " public license as published by the free software foundation either version 2 1 of the license or at your"
+    " option any later version": "lgpl21-grant",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general"
+    " public license as published by the free software foundation either version 3 of the license or at your"
+    " option any later version": "lgpl3-grant",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general"
+    " public license as published by the free software foundation either version 3 of the license or at your"
+    " option any later version": "lgpl3-grant",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general"
+    " public license as published by the free software foundation either version 3 of the license or at your"
+    " option any later version": "agpl3-grant",
+    "this library is distributed in the hope that it will be useful but without any warranty without even the"
+    " implied warranty of merchantability or fitness for a particular purpose": "gpl-warranty",
+    "see the gnu lesser general public license for more details": "lgpl-see",
+    "see the gnu affero general public license for more details": "agpl-see",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the"
+    " license": "apache-head-comply",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+    " products derived from this software without specific prior written permission": "bsd3-names",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl-head",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl2-copy",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
+    " granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby"
+    " granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "licensed under cc0 1 0": "cc0-ref",
+    "licensed under cc by sa 4 0": "cc-by-sa-ref",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "cc-by-sa-ref",
     "all rights reserved": "reserved",
 }
 #: Licences and the identifier sequences that show them, in order and next to each other among the known sentences.
@@ -48,7 +81,11 @@ RULES = [
     ("Apache-2.0", ("apache-comply", "apache-copy", "apache-warranty")), ("BSD-2-Clause", ("bsd-source", "bsd-binary")),
     ("CC-BY-4.0", ("cc-by-ref",)), ("CC-BY-NC-4.0", ("cc-by-nc-ref",)), ("GPL-3.0", ("gpl3-ref",)),
     ("GPL-3.0", ("gpl3-grant", "gpl-warranty", "gpl-see")), ("MIT", ("mit-ref",)),
-    ("MIT", ("mit-grant", "mit-notice", "mit-warranty")),
+    ("MIT", ("mit-grant", "mit-notice", "mit-warranty")), ("Apache-2.0", ("apache-head-comply", "apache-copy")),
+    ("BSD-3-Clause", ("bsd-source", "bsd-binary", "bsd3-names")), ("GPL-2.0", ("gpl2-grant", "gpl-warranty", "gpl-see")),
+    ("LGPL-2.1", ("lgpl21-grant", "gpl-warranty", "lgpl-see")), ("LGPL-3.0", ("lgpl3-grant", "gpl-warranty", "lgpl-see")),
+    ("AGPL-3.0", ("agpl3-grant", "gpl-warranty", "agpl-see")), ("MPL-2.0", ("mpl-head", "mpl2-copy")),
+    ("ISC", ("isc-grant",)), ("CC0-1.0", ("cc0-ref",)), ("CC-BY-SA-4.0", ("cc-by-sa-ref",)),
 ]
 _SENTENCE_END = r"[.!?]+\s+|[.!?]+$|\n+"
 
@@ -63,17 +100,35 @@ def sentences_of(text: Column) -> Column:
     return F.filter(clean, lambda s: s != "")
 
 
-def identifiers_of(sentences: Column, known: Mapping[str, str]) -> Column:
-    """The identifiers of the known sentences, in the text's order."""
+def identifiers_of(text: Column, known: Mapping[str, str]) -> Column:
+    """The identifiers of the known sentences, in the text's order.
+
+    A known sentence starts and ends where a sentence or a line does, and may run over single line breaks with
+    whatever marks of a comment stand there. Blank lines end it, as do sentences.
+    """
+    # A bar ends a sentence, a slash a line; those of the text itself count as other marks.
+    marked = F.translate(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "|/", ",,")
+    for pattern, to in ((r"[.!?]+\s+|[.!?]+$|\n(?:[^a-z0-9|\n]*\n)+", "|"), (r"\n", "/"), ("[^a-z0-9|/]+", " "), (" ?([|/]) ?", "$1")):
+        marked = F.regexp_replace(marked, pattern, to)
+    marked = F.concat(F.lit("|"), F.trim(marked), F.lit("|"))
+    some = "|".join(x.replace(" ", "[ /]+") for x in sorted(known, key=len, reverse=True))
     ids = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    hits = F.filter(sentences, lambda s: s.isin(*known))
-    return F.transform(hits, lambda s: F.element_at(ids, s))
+    hits = F.regexp_extract_all(marked, F.lit(f"(?<=[|/])(?:{some})(?=[|/])"), 0)
+    return F.transform(hits, lambda s: F.element_at(ids, F.regexp_replace(s, "/+", " ")))
 
 
 def licences_of(identifiers: Column, rules: Sequence[tuple[str, tuple[str, ...]]]) -> Column:
-    """Names of the licences of which a rule's sequence occurs, sorted, without repetition."""
+    """Names of the licences of which a rule's sequence occurs, sorted, without repetition.
+
+    Where a longer rule goes on from a sequence, as BSD-3-Clause does from BSD-2-Clause, the longer one counts alone.
+    """
     line = F.concat(F.lit("/"), F.concat_ws("/", identifiers), F.lit("/"))
-    found = [F.when(line.contains(f"/{'/'.join(seq)}/"), F.lit(name)) for name, seq in rules]
+
+    def pattern(seq: tuple[str, ...]) -> str:
+        longer = ["/".join(x[len(seq):]) for _, x in rules if len(x) > len(seq) and x[:len(seq)] == seq]
+        return f"/{'/'.join(seq)}/" + (f"(?!(?:{'|'.join(longer)})/)" if longer else "")
+
+    found = [F.when(line.rlike(pattern(seq)), F.lit(name)) for name, seq in rules]
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
 
 
@@ -85,7 +140,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     One pass without a shuffle. A null or empty text has no sentence, no identifier and no licence (empty
     arrays). Repeated rows give a row each; an empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), sentences_of(F.col(f"`{text_col}`")).alias("sentences"))
-    rows = rows.withColumn("identifiers", identifiers_of(F.col("sentences"), known))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), sentences_of(F.col(f"`{text_col}`")).alias("sentences"),
+                       identifiers_of(F.col(f"`{text_col}`"), known).alias("identifiers"))
     return rows.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), "identifiers",
                        licences_of(F.col("identifiers"), rules).alias("licences"))

@@ -1,3 +1,5 @@
+import textwrap
+
 from placelake.llm import licences
 
 MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated\n"
@@ -24,6 +26,22 @@ def test_references_and_ordered_sequences(make_docs):
     assert rows[7][2] == ["BSD-2-Clause", "MIT"] and rows[8] == (1, [], [])
 
 
+def test_wrapped_texts(make_docs):
+    known = {v: k for k, v in licences.SENTENCES.items()}
+
+    def wrapped(ids, prefix="", gap="\n\n"):
+        return gap.join("\n".join(prefix + x for x in textwrap.wrap(known[i].capitalize() + ".", 60)) for i in ids)
+
+    rules = {name: seq for name, seq in licences.RULES}
+    rows = [(k, "Copyright 2020\n\n" + wrapped(seq, p, g)) for k, (seq, p, g) in enumerate(
+        [(seq, p, g) for seq in rules.values() for p, g in (("", "\n\n"), (" * ", "\n *\n"), ("# ", "\n"))])]
+    got = found(make_docs([*rows, (900, MIT + "\nand so on"), (901, wrapped(["bsd-source", "bsd-binary"])),
+                           (902, known["mit-grant"].replace(" to deal", "\n\nto deal"))]))
+    for k, name in enumerate(name for name in rules for _ in range(3)):
+        assert got[k][2] == [name], (name, rows[k], got[k])
+    assert got[900][1:] == ([], []) and got[901][2] == ["BSD-2-Clause"] and got[902][1] == []
+
+
 def test_edges(edge_docs, no_docs):
     rows = licences.scan_licences(edge_docs).collect()
     assert len(rows) == edge_docs.count() and all(r["licences"] == [] for r in rows)
