@@ -81,7 +81,7 @@ class Lexicon:
         return self.singles + crc32(word[-3:]) % self.endings
 
 
-def build_lexicon(counts: DataFrame, singles: int = 160, endings: int = 32, held: int = 200_000) -> Lexicon:
+def build_lexicon(counts: DataFrame, singles: int = 224, endings: int = 32, held: int = 200_000) -> Lexicon:
     """Read the most frequent words, ``held`` at most, a bound on what tasks hold; all words count in class figures."""
     # Words by the size of their counts, in at most some hundred steps: whole steps are held, largest first.
     step = F.floor(8 * F.log2("c"))
@@ -181,8 +181,8 @@ def nce_step(p: dict, state: dict, contexts: np.ndarray, targets: np.ndarray, no
     return float(-np.log(np.maximum(1 - true_wrong, 1e-30)).mean())
 
 
-def train(texts: DataFrame, lexicon: Lexicon, rounds: int = 2, context: int = 3, size: int = 16, batch: int = 2048,
-          noise_words: int = 32, rate: float = 0.1) -> dict[str, np.ndarray]:
+def train(texts: DataFrame, lexicon: Lexicon, rounds: int = 2, context: int = 3, size: int = 16, batch: int = 1024,
+          noise_words: int = 64, rate: float = 0.1) -> dict[str, np.ndarray]:
     """Fit on all rows of ``texts`` (key, text): each round takes its own share of them.
 
     In a round every task trains a copy of the model on its rows; copies are then averaged by their
@@ -222,7 +222,7 @@ def train(texts: DataFrame, lexicon: Lexicon, rounds: int = 2, context: int = 3,
                     classes = _classes(text, coder, class_at)[1]
                     waiting.append((contexts_of(classes, context, lex.classes), classes))
                     n_waiting += len(classes)
-                    if n_waiting >= 64 * batch:
+                    if n_waiting >= 128 * batch:
                         learn(False)
             if n_waiting:
                 learn(True)

@@ -93,3 +93,10 @@ def test_word_probabilities_of_a_class_sum_to_one(spark):
         if bytes(r["word"]) not in single:
             mass[lexicon.ending(bytes(r["word"]))] += r["c"] + 0.5
     assert len(lexicon.words) <= 20 and np.allclose(mass[8:], lexicon.class_mass[8:])
+
+
+def test_frequent_words_have_a_class_of_their_own(spark):
+    counts = spark.createDataFrame([(bytearray(f"w{k}".encode()), 1000 - k) for k in range(400)], "word binary, c long")
+    lexicon = lm.build_lexicon(counts)
+    assert (lexicon.singles, lexicon.classes) == (224, 256)
+    assert list(lexicon.class_counts[:224]) == [1000 - k for k in range(224)]
