@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placelake.llm import decontamination, kneser_ney, language_model, licences, lsh_forest, packing, quality_rules, suffix_dedup, url_filter, warc
+from placelake.llm import (
+    conversations, decontamination, fill_in_middle, kneser_ney, language_id, language_model, licences, lsh_forest, packing,
+    quality_rules, suffix_dedup, url_filter, warc,
+)
 from placelake.llm.common import Scratch, keys_of, plain_id, table, text_of
 
 
@@ -77,6 +80,33 @@ def op10_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), model)
 
 
+def op11_streamed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(conversations.damaged(turns), Scratch(spark, "op11"), ids=turns)
+    return conversations.digests(repaired).select(
+        conversations.plain_conv(dict(turns.dtypes)["conv_id"]).alias("conv_id"), "gaps", "blank", "duplicate", "truncated",
+        "illegal", "cost", "audit", "repaired_sha256")
+
+
+def op12_mixture_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    model = language_id.fit_languages(docs.filter(~held_out))
+    found = language_id.identify(docs, model, mark=held_out)
+    first = F.try_element_at("languages", F.lit(1))
+    return found.select(
+        plain_id().alias("doc_id"), F.col("_mark").alias("held_out"), F.coalesce(first, F.lit(language_id.UNKNOWN)).alias("lang_pred"),
+        F.coalesce(F.try_element_at("shares", F.lit(1)), F.lit(0.0)).alias("score"), F.array_join("languages", ",").alias("languages"))
+
+
+def op13_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    again = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        plain_id().alias("doc_id"), "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(again.cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_column_suffixes": op2_column_suffixes,
@@ -88,6 +118,9 @@ QUERIES = {
     "op8_lsh_forest": op8_lsh_forest,
     "op9_log_bilinear": op9_log_bilinear,
     "op10_url_regression": op10_url_regression,
+    "op11_streamed_repair": op11_streamed_repair,
+    "op12_mixture_languages": op12_mixture_languages,
+    "op13_rank_index": op13_rank_index,
 }
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
@@ -126,4 +159,14 @@ links AS (SELECT a, b FROM shared JOIN sets x ON a = x.doc_id JOIN sets y ON b =
 reached(doc_id, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a)
 SELECT sets.doc_id, len(s) AS n_shingles, c.component_id, sets.doc_id = c.component_id AS kept
 FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1) c ON sets.doc_id = c.doc_id""",
+    "op13_rank_index": """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+numbers AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM texts),
+formed AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+parts AS (SELECT *, '<P>' || substring(t, 1, a) AS p, '<M>' || substring(t, a + 1, b - a) AS m, '<S>' || substring(t, b + 1) AS s FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN p || s || m ELSE s || p || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts""",
 }
