@@ -87,7 +87,10 @@ RULES = [
     ("AGPL-3.0", ("agpl3-grant", "gpl-warranty", "agpl-see")), ("MPL-2.0", ("mpl-head", "mpl2-copy")),
     ("ISC", ("isc-grant",)), ("CC0-1.0", ("cc0-ref",)), ("CC-BY-SA-4.0", ("cc-by-sa-ref",)),
 ]
-_SENTENCE_END = r"[.!?]+\s+|[.!?]+$|\n+"
+# Every pattern here is flat: a repeated group would go a stack frame deeper for each line of a text. The marks are looked for
+# from their first one only, as a long run of them would be read anew from each.
+_STOP = r"(?<![.!?])[.!?]++(?:\s++|$)"
+_SENTENCE_END = rf"{_STOP}|\n+"
 
 
 def sentences_of(text: Column) -> Column:
@@ -108,7 +111,8 @@ def identifiers_of(text: Column, known: Mapping[str, str]) -> Column:
     """
     # A bar ends a sentence, a slash a line; those of the text itself count as other marks.
     marked = F.translate(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "|/", ",,")
-    for pattern, to in ((r"[.!?]+\s+|[.!?]+$|\n(?:[^a-z0-9|\n]*\n)+", "|"), (r"\n", "/"), ("[^a-z0-9|/]+", " "), (" ?([|/]) ?", "$1")):
+    steps = ((r"(?md)^[^a-z0-9|\n]++$", ""), (rf"{_STOP}|\n{{2,}}", "|"), (r"\n", "/"), ("[^a-z0-9|/]+", " "), (" ?([|/]) ?", "$1"))
+    for pattern, to in steps:
         marked = F.regexp_replace(marked, pattern, to)
     marked = F.concat(F.lit("|"), F.trim(marked), F.lit("|"))
     some = "|".join(x.replace(" ", "[ /]+") for x in sorted(known, key=len, reverse=True))

@@ -47,3 +47,17 @@ def test_edges(edge_docs, no_docs):
     assert len(rows) == edge_docs.count() and all(r["licences"] == [] for r in rows)
     assert {r["doc_id"]: r["n_sentences"] for r in rows}[1] == 0
     assert licences.scan_licences(no_docs).count() == 0
+
+
+def test_very_many_lines_and_a_very_long_one(make_docs):
+    end = "\nLicensed under CC0 1.0.\n"
+    rows = found(make_docs([(1, "a" + "\n" * 1_000_000 + end), (2, "a\n" + "// \n" * 300_000 + end), (3, "word " * 2_000_000 + end),
+                            (4, "." * 3_000_000 + "x" + end), (5, "a\n" + "#.!\n" * 200_000 + end), (6, "x." * 1_000_000 + "\n" * 3 + end)]))
+    assert all(r[2] == ["CC0-1.0"] for r in rows.values()) and len(rows) == 6
+    assert rows[1][0] == 2 and rows[2][0] == 2
+
+
+def test_one_line_of_50_mb(spark):
+    docs = spark.range(1).selectExpr("id AS doc_id", "concat(repeat('many words! ', 4500000), '\\n', 'licensed under cc by 4.0') AS text")
+    row = licences.scan_licences(docs).first()
+    assert row["licences"] == ["CC-BY-4.0"] and row["n_sentences"] == 4_500_001
