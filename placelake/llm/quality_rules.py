@@ -27,15 +27,6 @@ def line_hash(line: str) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
-def line_sketch(line: str) -> int:
-    """A hash of a line that mostly outlasts the edit of a word: of the smallest word pair from eight words on, else of all."""
-    words = line.lower().split()
-    if len(words) < 8:
-        return xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"))
-    data = [w.encode("utf-8", "surrogatepass") for w in words]
-    return min(xxh3_64_intdigest(a + b" " + b) for a, b in zip(data, data[1:]))
-
-
 def repeat_words(hashes: np.ndarray, size: int = 3) -> int:
     """Words in a window of so many words that occurs twice or more in the text."""
     if len(hashes) <= size:
@@ -52,9 +43,7 @@ def repeat_words(hashes: np.ndarray, size: int = 3) -> int:
 def measures(text: str) -> tuple:
     """Word count, characters in words, symbols, repeated lines, repeated words, shape, line hashes, their words.
 
-    The shape is a hash of the sketches of all lines, see :func:`line_sketch`. Texts that differ in a short line,
-    or in a line with another smallest word pair, differ in shape, whatever lines they share; copies with
-    a few words edited mostly keep it, so that a group of copies counts as one document.
+    The shape is a hash of the hashes of all distinct lines: only texts of the same normalised lines have the same.
     """
     data = text.encode("utf-8", "surrogatepass")
     hashes = word_hashes(data)
@@ -68,8 +57,7 @@ def measures(text: str) -> tuple:
         key = line_hash(line)
         words_of[key] = words_of.get(key, 0) + times * len(line.encode("utf-8", "surrogatepass").split())
     keys = np.fromiter(words_of, dtype=np.int64, count=len(words_of))
-    sketches = np.sort(np.fromiter({line_sketch(x) for x in by_line}, dtype=np.uint64))
-    shape = int(np.uint64(xxh3_64_intdigest(sketches.tobytes())).astype(np.int64))
+    shape = int(np.uint64(xxh3_64_intdigest(np.sort(keys).tobytes())).astype(np.int64))
     return len(hashes), word_chars, n_symbols, dup, repeat_words(hashes), shape, keys, list(words_of.values())
 
 
@@ -85,15 +73,15 @@ def host_of(host_col: str) -> Column:
 
 
 def frequent_lines(measured: DataFrame, max_docs: int) -> DataFrame:
-    """(host, line) of the lines in more than ``max_docs`` distinct documents of a host.
+    """(host, line, first) of the lines in more than ``max_docs`` distinct documents of a host, and the first of these (``_id``, ``_h``).
 
     Counted in two partial aggregates, first by document shape: a line in a third of all documents is
     combined before each shuffle.
     """
-    lines = measured.select("host", "shape", F.explode("lines").alias("line"))
-    shapes = lines.groupBy("host", "line", "shape").agg(F.lit(1).alias("one"))
-    counted = shapes.groupBy("host", "line").agg(F.count("*").alias("docs"))
-    return counted.filter(F.col("docs") > max_docs)
+    lines = measured.select("host", "shape", F.struct("_id", "_h").alias("doc"), F.explode("lines").alias("line"))
+    shapes = lines.groupBy("host", "line", "shape").agg(F.min("doc").alias("first"))
+    counted = shapes.groupBy("host", "line").agg(F.count("*").alias("docs"), F.min("first").alias("first"))
+    return counted.filter(F.col("docs") > max_docs).drop("docs")
 
 
 def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -102,9 +90,8 @@ def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat`` percent of the words in
     repeated windows of three. Lines of more than ``max_docs`` distinct documents of their host are
-    removed (``cut``: their hashes), and a document is depleted if less than ``min_left`` of its words is
-    left. Documents count as distinct by their shape, see :func:`measures`: copies do not make each
-    other's lines frequent, which is the near-duplicate stage's work.
+    removed from all but the first of them (``cut``: their hashes), so that nothing a host says is lost altogether, and a document is depleted if less than ``min_left`` of its words is
+    left. Documents are distinct unless their normalised lines are the same, so exact copies count once.
 
     Null text: no words, hence base_failed. A null host is a host of its own. Repeated rows get equal
     rows. An empty table gives none. Other columns are ignored.
@@ -113,7 +100,7 @@ def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     measured = scratch.write(rows.mapInPandas(_measured, _MEASURES).dropDuplicates(["_id", "_h", "host"]), "measures")
     each = measured.select("_id", "_h", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("z"))
     each = each.select("_id", "_h", "host", F.col("z.lines").alias("line"), F.col("z.line_words").alias("words"))
-    hit = each.join(frequent_lines(measured, max_docs).select("host", "line"), ["host", "line"], "left_semi")
+    hit = each.join(frequent_lines(measured, max_docs), ["host", "line"]).filter(F.struct("_id", "_h") != F.col("first"))
     cut = hit.groupBy("_id", "_h", "host").agg(F.sum("words").alias("n_cut_words"), F.collect_set("line").alias("cut"))
     judged = measured.drop("shape", "lines", "line_words").join(cut, ["_id", "_h", "host"], "left")
     n_cut = F.coalesce("n_cut_words", F.lit(0).cast("long"))

@@ -44,16 +44,28 @@ def test_frequent_lines_go_and_depleted_documents_too(make_docs, scratch):
     docs = make_docs([(d, f"{own[d]}\nCommon  line\n{own[d][::-1]}", "en", "h") for d in range(6)]
                      + [(10 + d, f"{shared}\nd{d}", "en", "h") for d in range(6)] + [(20, own[0] + "\ncommon line", "en", "other")])
     kept = {r["doc_id"]: r["text"] for r in q.keep_good(docs, scratch, max_docs=4).collect()}
-    assert sorted(kept) == [0, 1, 2, 3, 4, 5, 20]
-    assert all("Common" not in kept[d] and own[d] in kept[d] for d in range(6))
+    assert sorted(kept) == [0, 1, 2, 3, 4, 5, 10, 20]
+    assert all(("Common" in kept[d]) == (d == 0) and own[d] in kept[d] for d in range(6))  # the first document keeps it
     assert "common line" in kept[20]  # another host
 
 
-def test_copies_do_not_deplete_each_other(make_docs, scratch):
+def test_exact_copies_count_once_and_edited_ones_apart(make_docs, scratch, spark):
     text = "\n".join(" ".join(f"l{n}w{k}" for k in range(12)) for n in range(8))
-    docs = make_docs([(d, text.replace("l3w4", f"edit{d}")) for d in range(30)] + [(100 + d, text) for d in range(30)])
-    rows = judged(docs, scratch, max_docs=10)
-    assert sum(r[-1] for r in rows.values()) == len(rows) == 60
+    few = [(d, text.replace("l3w4", f"edit{d}")) for d in range(5)] + [(100 + d, text) for d in range(60)]
+    rows = judged(make_docs(few), scratch, max_docs=10)
+    assert sum(r[-1] for r in rows.values()) == len(rows) == 65
+    many = [(d, text.replace("l3w4", f"edit{d}")) for d in range(30)]
+    rows = judged(make_docs(many), q.Scratch(spark, "many"), max_docs=10)
+    assert [i for (i, _), r in rows.items() if r[-1]] == [0]  # of a template, the first document is left
+
+
+def test_one_own_line_makes_a_document(make_docs, scratch):
+    shared = [" ".join(f"s{n}w{k}" for k in range(12)) for n in range(20)]
+    own = {"a": "this article was last changed by editor number {} of the desk", "b": "{}"}
+    docs = make_docs([(100 * k + d, "\n".join([*shared, line.format(d)]), "en", host) for k, (host, line) in enumerate(own.items()) for d in range(60)])
+    got = {r["_id"]: set(r["cut"] or ()) for r in q.judge(docs, scratch, max_docs=10).collect()}
+    lines = {q.line_hash(x) for x in shared}
+    assert all(cut == (set() if i in (0, 100) else lines) for i, cut in got.items()) and len(got) == 120
 
 
 def test_mostly_shared_lines_equal_a_count_of_all_documents(make_docs, scratch):
@@ -68,12 +80,13 @@ def test_mostly_shared_lines_equal_a_count_of_all_documents(make_docs, scratch):
         texts[d] = (f"h{d // 60}", lines)
     docs = make_docs([(d, "\n".join(lines), "en", host) for d, (host, lines) in texts.items()])
     count = Counter((host, line) for host, lines in texts.values() for line in set(lines))
+    first = {(host, line): d for d, (host, lines) in sorted(texts.items(), reverse=True) for line in lines}
     got = {r["_id"]: (set(r["cut"] or ()), r["kept"]) for r in q.judge(docs, scratch, max_docs=10).collect()}
     for d, (host, lines) in texts.items():
-        cut = [x for x in lines if count[host, x] > 10]
+        cut = [x for x in lines if count[host, x] > 10 and d > first[host, x]]
         left = sum(len(x.split()) for x in lines if x not in cut)
-        assert got[d][0] == {q.line_hash(x) for x in cut} and len(cut) >= 8
-        assert got[d][1] == (left >= 0.2 * sum(len(x.split()) for x in lines)) == (d >= 120)
+        assert got[d][0] == {q.line_hash(x) for x in cut}
+        assert got[d][1] == (left >= 0.2 * sum(len(x.split()) for x in lines))
 
 
 def test_lower_case_and_spaces_do_not_matter():
