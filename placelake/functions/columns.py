@@ -24,13 +24,16 @@ _WHOLE_NUMBER = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
 NESTED_TYPES = (T.StructType, T.ArrayType, T.MapType)
 
 
-def with_lineage(df: DataFrame, at: datetime | None = None) -> DataFrame:
+def with_lineage(df: DataFrame, at: datetime | None = None, has_file: bool = False) -> DataFrame:
     """Add the processing time and the source file to a file-backed frame.
 
     ``at`` pins one instant over several reads of the same load; without it every row of the
-    query carries the query's own start time.
+    query carries the query's own start time. A frame that has the file's column already keeps it if ``has_file``.
     """
     when = F.current_timestamp() if at is None else F.timestamp_micros(F.lit(_epoch_micros(at)))
+    if has_file:
+        rest = [F.col(quoted(c)) for c in df.columns if c != INPUT_FILE]
+        return df.select(*rest, when.alias(PROCESS_TIME), INPUT_FILE)
     return df.withColumn(PROCESS_TIME, when).withColumn(INPUT_FILE, F.col("_metadata.file_path"))
 
 
@@ -73,10 +76,14 @@ def _read(text: Column, t: T.DataType) -> Column:
     return text.try_cast(t)
 
 
+def is_bad(fields: T.StructType, column: str = "value") -> Column:
+    """Whether at least one part of a message was missing or could not be read."""
+    return reduce(Column.__or__, [F.col(f.name).isNull() for f in fields.fields], F.col(column).isNull())
+
+
 def bad_rows(df: DataFrame, fields: T.StructType, column: str = "value") -> DataFrame:
     """Messages of which at least one part was missing or could not be read."""
-    lost = reduce(Column.__or__, [F.col(f.name).isNull() for f in fields.fields])
-    return df.where(F.col(column).isNull() | lost)
+    return df.where(is_bad(fields, column))
 
 
 def with_error(df: DataFrame, label: str = "price", prediction: str = "prediction", alias: str = "error") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from placelake.functions.columns import quoted
 from placelake.operators.aggregates import average
+from placelake.settings import stored
 
 # Largest side, in bytes of plain values, that is sent whole to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -141,9 +142,12 @@ def attach_group_avg(rows: DataFrame, measures: DataFrame, key: str, column: str
                      max_bytes: int = BROADCAST_BYTES, decimals: int | None = None) -> DataFrame:
     """Give each row the average of ``column`` over the measures of its key, as float32.
 
-    Rows whose key has no measures are dropped; a key with only null measures gives null.
+    Rows whose key has no measures are dropped; a key with only null measures gives null. The averages are kept in the
+    shared folder: the measures are read once, and nothing is left persisted.
     """
-    return attach_averages(rows, group_averages(measures, key, column, alias, decimals), key, alias, max_bytes)
+    known = measures.where(F.col(key).isNotNull())
+    averages = stored(known.groupBy(key).agg(average(column, decimals).alias(alias)), "averages")
+    return attach_averages(rows, averages, key, alias, max_bytes)
 
 
 def pending_files(listing: DataFrame, ledger: DataFrame, key: str = "file_name") -> DataFrame:

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placelake.operators.joins import bounded_join
+from placelake.settings import stored
 
 # Settings of the regression.
 MAX_ITER = 10
@@ -27,8 +28,44 @@ def category_indexer(column: str, alias: str | None = None, invalid: str = "skip
 
 
 def category_index(df: DataFrame, column: str, alias: str | None = None, invalid: str = "skip") -> DataFrame:
-    """Add the index of each row's category; equally frequent categories rank by name."""
-    return category_indexer(column, alias, invalid).fit(df).transform(df)
+    """Add the index of each row's category; equally frequent categories rank by name.
+
+    As ``category_indexer`` does, but by a join with :func:`category_ranks`, so that no machine holds all categories. Null is
+    left out ("skip"), pooled under the next index ("keep"), or refused ("error").
+    """
+    if invalid not in ("skip", "keep", "error"):
+        raise ValueError(f"invalid is 'skip', 'keep' or 'error', not {invalid!r}")
+    ranks = category_ranks(df, column)
+    return index_by_ranks(df, ranks, column, alias, invalid)
+
+
+def category_ranks(df: DataFrame, column: str) -> DataFrame:
+    """The categories (as text) with their ranks by falling frequency, then name: (category, rank).
+
+    Ranges of (count, name) are sorted apart from each other; a rank is a place in a range plus the sizes of the ranges before.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    order = [F.desc("n"), F.asc("category")]
+    ranged = counts.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    placed = stored(ranged, "ranges")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range, however many categories there are.
+    offsets = placed.groupBy("range").count().select("range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
+    return placed.withColumn("place", place).join(F.broadcast(offsets), "range").select("category", (F.col("offset") + F.col("place")).alias("rank"))
+
+
+def index_by_ranks(df: DataFrame, ranks: DataFrame, column: str, alias: str | None = None, invalid: str = "skip") -> DataFrame:
+    """Add the index of each row's category by a table of ranks; null and unseen categories are skipped, kept or refused."""
+    name = alias or f"{column}_index"
+    table = stored(ranks.select(F.col("category").alias(_CATEGORY), F.col("rank").cast("double").alias(name)), "ranks")
+    joined = bounded_join(df.withColumn(_CATEGORY, F.col(column).cast("string")), table, [_CATEGORY], "inner" if invalid == "skip" else "left").drop(_CATEGORY)
+    if invalid == "skip":
+        return joined
+    if invalid == "keep":
+        return joined.withColumn(name, F.coalesce(name, F.lit(float(table.count()))))
+    unknown = F.raise_error(F.concat(F.lit(f"{column} has an unknown category: "), F.coalesce(F.col(column).cast("string"), F.lit("null"))))
+    return joined.withColumn(name, F.coalesce(F.col(name), unknown.cast("double")))
 
 
 def price_pipeline(category: str, label: str = "price", reg: float = REG_PARAM, invalid: str = "skip") -> Pipeline:

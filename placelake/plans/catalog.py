@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +37,12 @@ from placelake.operators.sampling import TRAIN_SHARE, in_training, preview, rand
 from placelake.plans import exploitation, names, sample
 from placelake.plans.formatting import format_listings, format_load, format_sources, format_stream
 from placelake.plans.training import train_price_model
-from placelake.settings import scratch_path
-from placelake.sources.files import read_lookup
+from placelake.settings import scratch_path, stored
+from placelake.sources.compaction import compact
+from placelake.sources.files import read_landing, read_lookup
 from placelake.sources.registry import Source, read_registry
-from placelake.sources.tables import ParquetTables, read_table
+from placelake.sources.snapshots import SnapshotTables
+from placelake.sources.tables import ParquetTables, read_table, write_table
 from placelake.streaming import jobs
 from placelake.streaming.messages import read_messages
 from placelake.streaming.sinks import run_available, stream_to_table
@@ -329,6 +332,57 @@ def whole_flow(spark, sf_dir):
     return _exploited(spark, results)
 
 
+@query("registry_entries", """
+SELECT s_name AS name, '/landing/' || CAST(s_suppkey AS VARCHAR) AS dest_path_landing, 'nation_' || CAST(s_nationkey AS VARCHAR) AS dest_table
+FROM supplier""")
+def registry_entries(spark, sf_dir):
+    """A registry of an entry per supplier: one half as lines in part files, the other as a list per nation."""
+    root = scratch_path(spark, "registry")
+    supplier = sample.table(spark, sf_dir, "supplier")
+    key, nation = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
+    entries = supplier.select("s_suppkey", "s_nationkey", F.to_json(F.struct(
+        F.col("s_name").alias("name"), F.concat(F.lit("/landing/"), key).alias("dest_path_landing"), F.concat(F.lit("nation_"), nation).alias("dest_table"))).alias("value"))
+    entries.where("s_suppkey % 2 = 0").select("value").repartition(4).write.text(f"{root}/lines")
+    lists = entries.where("s_suppkey % 2 = 1").groupBy("s_nationkey").agg(F.concat(F.lit("["), F.concat_ws(",\n", F.collect_list("value")), F.lit("]")).alias("value"))
+    # A file may hold one list, so each is written by its own task of a folder of its own.
+    lists.write.partitionBy("s_nationkey").text(f"{root}/lists")
+    found = read_registry(spark, f"{root}/lines").unionByName(read_registry(spark, f"{root}/lists/*"))
+    return found.select("name", "dest_path_landing", "dest_table")
+
+
+@query("read_drifted_files", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 <> 1 THEN o_orderstatus END AS o_orderstatus, o_totalprice FROM orders""")
+def read_drifted_files(spark, sf_dir):
+    """Orders landed in three writes with keys of two lengths, prices of three types, and a column that one of them lacks."""
+    root = scratch_path(spark, "drifted")
+    orders = sample.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    kinds = [{"o_custkey": "int"}, {"o_orderkey": "int"}, {}]
+    for k, kind in enumerate(kinds):
+        rows = orders.where(F.col("o_orderkey") % 3 == k).withColumns({c: F.col(c).cast(t) for c, t in kind.items()})
+        whole = F.col("o_totalprice") == F.floor("o_totalprice")
+        rows = rows.drop("o_orderstatus") if k == 1 else rows
+        if k == 2:  # whole prices as integers, as tools do that guess types by file
+            rows.where(whole).withColumn("o_totalprice", F.col("o_totalprice").cast("long")).write.parquet(f"{root}/whole")
+            rows = rows.where(~whole)
+        rows.write.parquet(f"{root}/{k}")
+    return read_landing(spark, [f"{root}/{name}" for name in ("0", "1", "2", "whole")]).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query("snapshot_swap", f"{sample.SAMPLE_SQL}{_exploited_sql()}")
+def snapshot_swap(spark, sf_dir):
+    """The four result tables committed over half of the listings, then over all, then by a run that fails: all of the second are read."""
+    tables = SnapshotTables(scratch_path(spark, "snapshots"))
+    listings, income, commercial = (f(spark, sf_dir) for f in (sample.listings, sample.income, sample.commercial))
+    for rows in (listings.where("listing_id % 2 = 0"), listings):
+        exploitation.run_exploitation(rows, income, commercial, tables, decimals=2)
+    lost = commercial.withColumn("Nom_Grup_Activitat", F.raise_error(F.lit("lost")).cast("string"))
+    try:
+        exploitation.run_exploitation(listings.where("listing_id % 2 = 1"), income, lost, tables, decimals=2)
+    except SparkRuntimeException:
+        pass
+    return _exploited(spark, tables)
+
+
 @query("read_lookup", "SELECT n_nationkey AS neighborhood_id, upper(n_name) AS neighborhood_n_reconciled FROM nation")
 def whole_lookup(spark, sf_dir):
     """A lookup written as three part files, next to an older one."""
@@ -532,6 +586,37 @@ def ingest_text_messages(spark, sf_dir):
     return read_table(spark, tables, names.MESSAGES_TABLE).drop("value")
 
 
+@query("compact_batches", "SELECT ts AS date, user_id AS neighborhood_id, value AS price FROM events")
+def compact_batches(spark, sf_dir):
+    """Messages streamed in eight batches, folded twice, with a folded batch repeated in between."""
+    root = scratch_path(spark, "compact")
+    tables, table = ParquetTables(f"{root}/tables"), names.MESSAGES_TABLE
+    _event_messages(sample.table(spark, sf_dir, "events")).repartition(8, "value").write.text(f"{root}/messages")
+    stream = read_messages(spark, "text", {"path": f"{root}/messages", "maxFilesPerTrigger": "1"})
+    done = run_available(jobs.ingest_prices(stream, tables, f"{root}/checkpoint", fields=EVENT_MESSAGE, available_now=True))
+    part = {"stream_id": done.id, "batch_id": 0}
+    first = stored(spark.read.parquet(tables.part_path(table, part)), "first")
+    compact(spark, tables.root, table)
+    write_table(first, tables, table, part=part)
+    compact(spark, tables.root, table)
+    return read_table(spark, tables, table).drop("value")
+
+
+@query("dead_letters", """
+SELECT event_id, CASE WHEN event_type IN ('error', 'signup') THEN 'bad' ELSE 'good' END AS table_name FROM events""")
+def dead_letters(spark, sf_dir):
+    """Messages of which some end in a word or early, streamed into one table of good and one of bad ones."""
+    root = scratch_path(spark, "letters")
+    last = F.when(F.col("event_type") == "error", "error").when(F.col("event_type") != "signup", F.col("event_id").cast("string"))
+    events = sample.table_stream(spark, sf_dir, "events")
+    stream = events.select(F.concat_ws(",", F.col("ts").cast("string"), F.col("user_id").cast("string"), last, F.concat(F.lit("id "), F.col("event_id").cast("string"))).alias("value"))
+    stream = stream.withColumn("value", F.when(F.size(F.split("value", ",")) == 3, F.regexp_replace("value", ",id", ",,id")).otherwise(F.col("value")))
+    tables = ParquetTables(f"{root}/tables")
+    run_available(jobs.ingest_prices(stream, tables, f"{root}/checkpoint", "good", COUNTED_MESSAGE, available_now=True, bad_table="bad"))
+    event = F.regexp_extract("value", r"id (\d+)$", 1).cast("long").alias("event_id")
+    return reduce(DataFrame.unionByName, [read_table(spark, tables, t).select(event, F.lit(t).alias("table_name")) for t in ("good", "bad")])
+
+
 @query("score_stream", f"""
 WITH placed AS (SELECT o_orderdate AS date, o_orderpriority AS category, o_totalprice AS price,
   {TRAINING_SQL.format(key='o_orderkey')} AS training FROM orders),{_FIT_SQL}

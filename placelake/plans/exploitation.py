@@ -12,6 +12,7 @@ from placelake.functions.ddl import STRING_TYPES
 from placelake.operators.aggregates import average, count_per_key, fanout_avg, fanout_count
 from placelake.operators.joins import attach_averages, attach_group_avg, group_averages
 from placelake.plans import names
+from placelake.sources.snapshots import SnapshotTables
 from placelake.sources.tables import JdbcTables, Tables, read_table, write_table
 
 KEY, PLACE_NAMES = names.NEIGHBORHOOD, names.PLACE_NAMES
@@ -43,7 +44,7 @@ def listing_groups(listings: DataFrame, decimals: int | None = None) -> DataFram
     return listings.groupBy(KEY, *PLACE_NAMES).agg(F.count(F.lit(1)).alias(_WEIGHT), average("price", decimals).alias("avg_price"))
 
 
-def exploit_tables(spark: SparkSession, formatted: Tables, results: Tables,
+def exploit_tables(spark: SparkSession, formatted: Tables, results: Tables | SnapshotTables,
                    partition_columns: Mapping[str, str | None] | None = None,
                    schemas: Mapping[str, T.StructType] | None = None, decimals: int | None = None) -> None:
     """``run_exploitation`` over the formatted tables.
@@ -62,9 +63,9 @@ def exploit_tables(spark: SparkSession, formatted: Tables, results: Tables,
     run_exploitation(listings, income, commercial, results, decimals)
 
 
-def run_exploitation(listings: DataFrame, income: DataFrame, commercial: DataFrame, tables: Tables,
+def run_exploitation(listings: DataFrame, income: DataFrame, commercial: DataFrame, tables: Tables | SnapshotTables,
                      decimals: int | None = None) -> None:
-    """Overwrite the four result tables.
+    """Overwrite the four result tables; in :class:`SnapshotTables` all at once, in others one after another.
 
     The listings are scanned twice, once in groups and once in rows, the other tables once: a group's
     average stands in for its rows wherever an average is taken. Groups and averages are held for the
@@ -81,8 +82,11 @@ def run_exploitation(listings: DataFrame, income: DataFrame, commercial: DataFra
         names.CATEGORIES_TABLE: commerce_categories(groups, commercial, weight=_WEIGHT),
     }
     try:
-        for table, df in results.items():
-            write_table(df, tables, table, "overwrite", type_map=STRING_TYPES)
+        if isinstance(tables, SnapshotTables):
+            tables.commit(results)
+        else:
+            for table, df in results.items():
+                write_table(df, tables, table, "overwrite", type_map=STRING_TYPES)
     finally:
         groups.unpersist()
         averages.unpersist()

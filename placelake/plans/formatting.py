@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime, timezone
+from functools import partial
 from math import ceil
 from uuid import uuid4
 
@@ -13,11 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from placelake.functions.columns import nested_to_json, with_lineage
+from placelake.functions.columns import INPUT_FILE, nested_to_json, with_lineage
 from placelake.operators.joins import pending_files, reconcile
 from placelake.plans import names
+from placelake.settings import stored
 from placelake.sources.files import list_files, read_landing, read_lookup
-from placelake.sources.ledger import append_ledger, chunk_files, claim_files, end_load, open_chunks, read_ledger
+from placelake.sources.ledger import append_ledger, chunk_files, claim_files, end_load, lease_path, open_chunks, read_ledger
+from placelake.sources.leases import Lease
 from placelake.sources.registry import Source, source_named, sources_of, select_sources
 from placelake.sources.tables import Tables, write_table
 from placelake.streaming.sinks import stream_to_table
@@ -28,6 +31,8 @@ Step = Callable[[DataFrame], DataFrame]
 
 # Files read by one write; bounds the path list the driver holds, not what a load covers.
 FILES_PER_CHUNK = 10_000
+# How long a load may take over one chunk before another load may take over from it.
+LEASE_SECONDS = 2 * 3600
 
 
 def format_listings(df: DataFrame, lookup: DataFrame, json_columns: Iterable[str] | None = None) -> DataFrame:
@@ -44,7 +49,8 @@ format_commercial = format_income
 
 
 def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables, step: Step | None = None,
-                schema: T.StructType | None = None, files_per_chunk: int = FILES_PER_CHUNK, pattern: str | None = None) -> int:
+                schema: T.StructType | None = None, files_per_chunk: int = FILES_PER_CHUNK, pattern: str | None = None,
+                lease_seconds: float = LEASE_SECONDS) -> int:
     """Load the files of a source that the ledger does not hold; returns how many were logged.
 
     The landing folder is searched to any depth, so a table that landed as a folder counts by
@@ -55,41 +61,52 @@ def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables
     is finished first, over the same chunks, so a parquet table ends up with every file once. Claimed
     files that have gone meanwhile are reported and logged, so that they hold up no later load. Files of any
     name count; one that is no parquet fails the load with its name.
+
+    A source has one load at a time: a second one raises LeaseHeld. The lease of a load that died runs out ``lease_seconds`` after
+    its last chunk, which a chunk must not outlast.
     """
-    at = datetime.now(timezone.utc)
-    cut_off = open_chunks(spark, ledger, source.name)
-    done = sum(_load_chunk(spark, source, ledger, tables, step, schema, at, *c) for c in cut_off)
-    for load_id in {load for load, _ in cut_off}:
-        end_load(spark, ledger, source.name, load_id)
-    listing = list_files(spark, source.landing_path, pattern, recursive=True)
-    files = pending_files(listing, read_ledger(spark, ledger)).select("file_name").persist()
-    load_id, chunks = f"load-{uuid4().hex}", ceil(files.count() / files_per_chunk)
-    if chunks > 0:
-        claim_files(files, ledger, source.name, load_id, chunks)
-    files.unpersist()
-    if chunks > 0:
-        done += sum(_load_chunk(spark, source, ledger, tables, step, schema, at, load_id, c) for c in range(chunks))
-        end_load(spark, ledger, source.name, load_id)
-    return done
-
-
-def _load_chunk(spark: SparkSession, source: Source, ledger: str, tables: Tables, step: Step | None,
-                schema: T.StructType | None, at: datetime, load_id: str, chunk: int) -> int:
+    with Lease(spark, lease_path(ledger, source.name), lease_seconds) as lease:
+        at = datetime.now(timezone.utc)
+        load = partial(_load_chunk, spark, source, ledger, tables, step, schema, at, lease)
+        listing = stored(list_files(spark, source.landing_path, pattern, recursive=True).select("file_name"), "listing")
+        cut_off = open_chunks(spark, ledger, source.name)
+        done = 0
+        if cut_off:
+            there = listing if pattern is None else list_files(spark, source.landing_path, recursive=True).select("file_name")
+            done = sum(load(*c, there) for c in cut_off)
+        for load_id in {load for load, _ in cut_off}:
+            end_load(spark, ledger, source.name, load_id)
+        files = pending_files(listing, read_ledger(spark, ledger)).select("file_name").persist()
+        load_id, chunks = f"load-{uuid4().hex}", ceil(files.count() / files_per_chunk)
+        if chunks > 0:
+            claim_files(files, ledger, source.name, load_id, chunks)
+        files.unpersist()
+        if chunks > 0:
+            done += sum(load(load_id, c, None) for c in range(chunks))
+            end_load(spark, ledger, source.name, load_id)
+        return done
+
+
+def _load_chunk(spark: SparkSession, source: Source, ledger: str, tables: Tables, step: Step | None, schema: T.StructType | None,
+                at: datetime, lease: Lease, load_id: str, chunk: int, listing: DataFrame | None) -> int:
+    """One chunk; claims of this load are on its own listing, those of one that was cut off are looked up in ``listing``."""
+    lease.renew()
     files = chunk_files(spark, ledger, source.name, load_id, chunk)
     part = {"load_id": f"{load_id}-{chunk}"}
     if tables.holds(spark, source.table, part):
         # Written before it was cut off. Writing it anew could lose files that are gone by now.
         append_ledger(files, ledger, source.name, at)
         return files.count()
-    there = list_files(spark, source.landing_path, recursive=True).select("file_name", F.lit(True).alias("there"))
-    rows = files.join(there, "file_name", "left").toLocalIterator()
+    there = F.lit(True).alias("there")
+    claimed = files.select("file_name", there) if listing is None else files.join(listing.select("file_name", there), "file_name", "left")
     paths, gone = [], []
-    for r in rows:
+    for r in claimed.toLocalIterator():
         (paths if r.there else gone).append(r.file_name)
     if gone:
         _LOG.warning("%s: %d claimed files are gone: %s", source.name, len(gone), ", ".join(sorted(gone)))
     if paths:
-        df = with_lineage(read_landing(spark, paths, schema), at)
+        df = with_lineage(read_landing(spark, paths, schema, INPUT_FILE), at, has_file=True)
+        lease.renew()
         write_table(df if step is None else step(df), tables, source.table, "append", part)
     append_ledger(files, ledger, source.name, at)
     return len(paths)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placelake.sources.schemas import as_schema, schema_groups, widest_schema, with_values
+
 # How Spark names the part files of one write.
 _PART = r"/part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$"
 
@@ -26,13 +29,28 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None, recur
     )
 
 
-def read_landing(spark: SparkSession, paths: Iterable[str], schema: T.StructType | None = None) -> DataFrame:
+def read_landing(spark: SparkSession, paths: Iterable[str], schema: T.StructType | None = None, file_column: str | None = None) -> DataFrame:
     """Read many parquet files as one table, keeping columns that only some of them have.
 
-    Passing ``schema`` saves the job that merges the footers of all files.
+    Files are read by the schema they have and cast to the widest common type of each column, see
+    :func:`widest_schema`; types without one are refused with file and column. Passing ``schema`` saves the pass over the
+    footers. ``file_column`` adds each row's file.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
-    return reader.parquet(*paths)
+    groups = [(schema, list(paths))] if schema is not None else schema_groups(spark, list(paths))
+    if not groups:
+        raise FileNotFoundError("no parquet file in the given paths")
+    sensitive = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
+    wide = widest_schema([(own, files[0]) for own, files in groups], sensitive) if schema is None else schema
+    parts = []
+    for own, files in groups:
+        rows = spark.read.schema(with_values(own) if len(groups) > 1 else wide).parquet(*files)
+        where = [] if file_column is None else [F.col("_metadata.file_path").alias(file_column)]
+        if len(groups) == 1:
+            parts.append(rows.select("*", *where))
+            continue
+        target = T.StructType([*wide.fields, *([T.StructField(file_column, T.StringType())] if where else [])])
+        parts.append(as_schema(rows.select("*", *where), target))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:

@@ -72,6 +72,11 @@ def end_load(spark: SparkSession, path: str, source_name: str, load_id: str) ->
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def lease_path(path: str, source_name: str) -> str:
+    """Where the lease of a source's load lies."""
+    return f"{path}/leases/source_name={quote(source_name, safe='')}"
+
+
 def _claims(path: str, source_name: str, load_id: str | None = None) -> str:
     source = f"{path}/claimed/source_name={quote(source_name, safe='')}"
     return source if load_id is None else f"{source}/load_id={load_id}"

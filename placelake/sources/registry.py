@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,9 @@ REGISTRY_SCHEMA = T.StructType(
     ]
 )
 
+_JSON_SPACE = " \t\r\n"
+_BYTE_ORDER_MARK = "\ufeff"
+
 
 @dataclass(frozen=True)
 class Source:
@@ -33,8 +36,28 @@ class Source:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Read the registry from JSON text holding one list of documents."""
-    return spark.read.schema(REGISTRY_SCHEMA).option("multiLine", True).json(path)
+    """Every document of the registry's JSON files, each of which holds a list, a document, or documents line by line.
+
+    A file that is neither, or a document that is no object, fails the read with the file's name. Files are read whole.
+    """
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x, F.lit(_JSON_SPACE)) != "")
+    found = F.coalesce(_documents(F.ltrim("value", F.lit(_BYTE_ORDER_MARK))), _documents(F.concat_ws(",", lines)))
+    listed = F.coalesce(found, F.raise_error(F.concat(F.lit("no JSON documents: "), "file")).cast("array<variant>"))
+    each = files.select("file", F.explode(listed).alias("document"))
+    kind = F.schema_of_variant("document")
+    flat = F.when(kind.startswith("ARRAY"), F.try_variant_get("document", "$", "array<variant>")).otherwise(F.array("document"))
+    documents = each.select("file", F.explode(flat).alias("document"))
+    is_object = F.schema_of_variant("document").startswith("OBJECT")
+    wrong = F.raise_error(F.concat(F.lit("a registry entry is no object: "), "file"))
+    checked = documents.select(F.when(is_object, F.col("document")).otherwise(wrong.cast("variant")).alias("document"))
+    return checked.select(*[F.variant_get("document", f"$.{f.name}", "string").alias(f.name) for f in REGISTRY_SCHEMA.fields])
+
+
+def _documents(text: Column) -> Column:
+    """The documents of comma-separated JSON; null if it is malformed. The parser stops after one value, so a last field shows that all was read."""
+    whole = F.try_parse_json(F.concat(F.lit('{"documents":['), text, F.lit('],"end":true}')))
+    return F.when(F.try_variant_get(whole, "$.end", "boolean"), F.try_variant_get(whole, "$.documents", "array<variant>"))
 
 
 def select_sources(registry: DataFrame, names: Iterable[str]) -> DataFrame:

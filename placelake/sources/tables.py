@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from placelake.functions.ddl import STRING_AND_BOOLEAN_TYPES, column_types_ddl
+from placelake.sources.compaction import live_paths
 
 TypeMap = Mapping[type[T.DataType], str]
 
@@ -18,7 +19,8 @@ class ParquetTables:
     """Tables as folders below ``root``.
 
     A write that names its part replaces just that part, so repeating it adds nothing. Parts
-    are folders of the table; reads take all files below it, whatever parts they came in.
+    are folders of the table; reads take all files below it, whatever parts they came in. Batches of streams that
+    :func:`placelake.sources.compaction.compact` has folded are read from where it put them.
     """
 
     root: str
@@ -36,7 +38,7 @@ class ParquetTables:
 
     def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
         reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
-        return reader.option("recursiveFileLookup", True).parquet(self.path(table))
+        return reader.option("recursiveFileLookup", True).parquet(*live_paths(spark, self.root, table))
 
     def write(self, df: DataFrame, table: str, mode: str, part: Mapping[str, object] | None = None,
               type_map: TypeMap = STRING_AND_BOOLEAN_TYPES) -> None:

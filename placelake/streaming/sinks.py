@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from concurrent.futures import Future
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from placelake.sources.tables import Tables, write_table
 
+Route = Callable[[DataFrame], DataFrame]
+
 
 def stream_to_table(df: DataFrame, tables: Tables, table: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Append a stream to a table, batch by batch.
@@ -18,10 +22,27 @@ def stream_to_table(df: DataFrame, tables: Tables, table: str, checkpoint: str,
     a new checkpoint never touches the parts of an older one. A database gets each batch at
     least once.
     """
+    return stream_to_routes(df, tables, {table: lambda batch: batch}, checkpoint, available_now)
+
+
+def stream_to_routes(df: DataFrame, tables: Tables, routes: Mapping[str, Route], checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Append a stream to several tables: each batch is read once and goes, as each route picks, to all tables under one batch number.
+
+    A batch counts as done when its last table is written. One that was cut off between two tables is repeated
+    from the checkpoint and replaces what it has written, see :func:`stream_to_table`.
+    """
     started: Future[str] = Future()
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_table(batch, tables, table, "append", {"stream_id": started.result(), "batch_id": batch_id})
+        part = {"stream_id": started.result(), "batch_id": batch_id}
+        if len(routes) > 1:
+            batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            for table, pick in routes.items():
+                write_table(pick(batch), tables, table, "append", part)
+        finally:
+            if len(routes) > 1:
+                batch.unpersist()
 
     writer = df.writeStream.outputMode("append").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     query = _triggered(writer, available_now).start()

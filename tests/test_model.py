@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 from placelake.operators.aggregates import regression_metrics
 from placelake.operators.price_model import (
     category_index,
+    category_indexer,
+    category_ranks,
     coefficient_table,
     fit_price_model,
+    index_by_ranks,
     load_model,
     predict,
     price_pipeline,
@@ -35,6 +38,35 @@ def test_category_index_ranks_by_frequency_then_name(spark):
     assert kept[None] == 3.0
 
 
+def test_category_index_equals_the_indexer(spark):
+    names = F.concat(F.lit("c"), F.floor(F.sqrt(F.pmod(F.xxhash64("id"), F.lit(40_000)))).cast("string"))
+    df = spark.range(6000).select("id", F.when(F.col("id") % 50 != 0, names).alias("c"))
+    for invalid in ("skip", "keep"):
+        want = category_indexer("c", "i", invalid).fit(df).transform(df)
+        got = category_index(df, "c", "i", invalid)
+        assert got.dtypes == want.dtypes and got.count() == want.count() and got.exceptAll(want).count() == 0
+    with pytest.raises(Exception, match="unknown category: null"):
+        category_index(df, "c", invalid="error").collect()
+
+
+def test_unseen_categories(spark):
+    ranks = category_ranks(spark.createDataFrame([("a",), ("a",), ("b",)], "c string"), "c")
+    df = spark.createDataFrame([("b",), ("z",), (None,)], "c string")
+    assert [r.c_index for r in index_by_ranks(df, ranks, "c").collect()] == [1.0]
+    assert {r.c: r.c_index for r in index_by_ranks(df, ranks, "c", invalid="keep").collect()} == {"b": 1.0, "z": 2.0, None: 2.0}
+    assert category_ranks(df.limit(0), "c").count() == 0
+
+
+def test_two_million_categories(spark):
+    """Name k occurs once, but every tenth twice: ranks are places in the two sorted lists."""
+    df = spark.range(2_000_000).select(F.lpad(F.col("id").cast("string"), 7, "0").alias("c"), F.when(F.col("id") % 10 == 0, 2).otherwise(1).alias("n"))
+    ranks = category_ranks(df.select(F.explode(F.array_repeat("c", "n").alias("c")).alias("c")), "c")
+    k = F.col("category").cast("long")
+    want = F.when(k % 10 == 0, k / 10).otherwise(200_000 + k - F.floor(k / 10) - 1)
+    row = ranks.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("rank") != want).alias("wrong")).first()
+    assert (row.n, row.wrong) == (2_000_000, 0)
+
+
 @pytest.mark.parametrize("invalid", ["skip", "keep"])
 @pytest.mark.parametrize("reg", [0.0, 0.1, 500.0])
 def test_the_closed_form_equals_the_pipeline(rows, reg, invalid):

@@ -1,0 +1,96 @@
+import datetime
+from decimal import Decimal
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import types as T
+
+from placelake.sources.files import read_landing
+from placelake.sources.ledger import ledger_rows
+from placelake.sources.registry import Source
+from placelake.sources.schemas import schema_groups, widest_schema
+from placelake.sources.tables import ParquetTables, read_table
+from placelake.plans.formatting import format_load
+
+
+def land(path, *tables):
+    path.mkdir(exist_ok=True)
+    for k, table in enumerate(tables):
+        pq.write_table(table if isinstance(table, pa.Table) else pa.table(table), path / f"f{k}.parquet")
+    return [str(path)]
+
+
+def rows(df, *order):
+    return sorted(tuple(r) for r in df.select(*order).collect())
+
+
+def test_int_then_long_and_missing_columns(spark, tmp_path):
+    paths = land(tmp_path / "a", {"id": pa.array([1, 2], pa.int32()), "x": ["a", "b"]}, {"id": pa.array([2**40], pa.int64()), "y": [1.5]},
+                 {"id": pa.array([3], pa.int32()), "x": pa.array([None], pa.null())})
+    df = read_landing(spark, paths)
+    assert df.dtypes == [("id", "bigint"), ("x", "string"), ("y", "double")]
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, [(1, "a", None), (2, "b", None), (2**40, None, 1.5), (3, None, None)]))
+
+
+def test_files_of_one_schema_are_one_group(spark, tmp_path):
+    paths = land(tmp_path / "a", *[{"id": [k], "x": ["a"]} for k in range(5)], {"id": [1.5]})
+    assert [len(files) for _, files in schema_groups(spark, paths)] == [5, 1]
+
+
+def test_whole_numbers_then_doubles(spark, tmp_path):
+    paths = land(tmp_path / "a", {"v": pa.array([1, 2**53, None], pa.int64())}, {"v": [0.5]}, {"v": pa.array([7], pa.int32())}, {"v": pa.array([0.25], pa.float32())})
+    df = read_landing(spark, paths)
+    assert df.dtypes == [("v", "double")]
+    assert sorted(r.v for r in df.collect() if r.v is not None) == [0.25, 0.5, 1.0, 7.0, 2.0**53] and df.count() == 6
+
+
+def test_a_number_that_no_double_holds_fails(spark, tmp_path):
+    paths = land(tmp_path / "a", {"v": pa.array([2**53 + 1], pa.int64())}, {"v": [0.5]})
+    with pytest.raises(Exception, match="9007199254740993"):
+        read_landing(spark, paths).collect()
+
+
+def test_decimals_dates_and_nested_parts(spark, tmp_path):
+    inner = [pa.struct([("n", pa.int32())]), pa.struct([("n", pa.int64()), ("s", pa.string())])]
+    paths = land(
+        tmp_path / "a",
+        {"d": pa.array([Decimal("1.5")], pa.decimal128(5, 1)), "t": pa.array([datetime.date(2020, 1, 2)]), "p": pa.array([{"n": 1}], inner[0]), "a": pa.array([[1]], pa.list_(pa.int32()))},
+        {"d": pa.array([12345], pa.int32()), "t": pa.array([datetime.datetime(2020, 1, 3)], pa.timestamp("us")), "p": pa.array([{"n": 2, "s": "x"}], inner[1]), "a": pa.array([[2**40]], pa.list_(pa.int64()))})
+    df = read_landing(spark, paths)
+    assert df.dtypes == [("d", "decimal(11,1)"), ("t", "timestamp_ntz"), ("p", "struct<n:bigint,s:string>"), ("a", "array<bigint>")]
+    assert rows(df, "d", "t", "p.n", "p.s", "a") == [
+        (Decimal("1.5"), datetime.datetime(2020, 1, 2), 1, None, [1]), (Decimal("12345.0"), datetime.datetime(2020, 1, 3), 2, "x", [2**40])]
+
+
+def test_text_next_to_numbers_is_refused_with_file_and_column(spark, tmp_path):
+    paths = land(tmp_path / "a", {"id": [1], "price": ["12"]}, {"id": [2], "price": pa.array([12], pa.int32())})
+    with pytest.raises(ValueError, match=r"column price: string in \S*f0.parquet and int in \S*f1.parquet"):
+        read_landing(spark, paths)
+
+
+@pytest.mark.parametrize("a, b", [("decimal(38,0)", "decimal(38,10)"), ("decimal(5,1)", "double"), ("boolean", "int"), ("struct<x:int>", "int"), ("struct<x:bigint>", "struct<x:double>")])
+def test_types_without_a_common_one(a, b):
+    for x, y in ((a, b), (b, a)):
+        with pytest.raises(ValueError, match="column c"):
+            widest_schema([(T.StructType.fromDDL(f"c {x}"), "one"), (T.StructType.fromDDL(f"c {y}"), "two")])
+
+
+def test_case_of_names(spark):
+    groups = [(T.StructType.fromDDL("Price int"), "one"), (T.StructType.fromDDL("price bigint"), "two")]
+    assert widest_schema(groups).simpleString() == "struct<Price:bigint>"
+    assert widest_schema(groups, case_sensitive=True).simpleString() == "struct<Price:int,price:bigint>"
+
+
+def test_a_load_over_drifted_files(spark, tmp_path):
+    land(tmp_path / "landing", {"id": pa.array([1], pa.int32())}, {"id": pa.array([2**40], pa.int64()), "more": ["x"]})
+    source, tables, ledger = Source("s", str(tmp_path / "landing"), "t"), ParquetTables(str(tmp_path / "tables")), str(tmp_path / "ledger")
+    assert format_load(spark, source, ledger, tables) == 2
+    df = read_table(spark, tables, "t")
+    assert df.columns == ["id", "more", "_process_time", "_input_file_name"]
+    assert rows(df, "id") == [(1,), (2**40,)]
+    assert {r[0].rsplit("/", 1)[1] for r in df.select("_input_file_name").collect()} == {"f0.parquet", "f1.parquet"}
+    land(tmp_path / "other", {"id": [1]}, {"id": ["x"]})
+    with pytest.raises(ValueError, match="column id"):
+        format_load(spark, Source("o", str(tmp_path / "other"), "o"), ledger, tables)
+    assert ledger_rows(spark, ledger).where("source_name = 'o'").count() == 0

@@ -1,0 +1,101 @@
+import pytest
+from pyspark.sql import functions as F
+
+from placelake.plans import exploitation, names, sample
+from placelake.sources.commits import CommitConflict, CommitLog
+from placelake.sources.snapshots import SnapshotTables
+from placelake.sources.tables import read_table, write_table
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def tables(tmp_path):
+    return SnapshotTables(str(tmp_path / "tables"))
+
+
+def values(spark, tables, table, **at):
+    return sorted(r[0] for r in tables.read(spark, table, **at).collect())
+
+
+def numbers(spark, *n):
+    return spark.createDataFrame([(x,) for x in n], "n long")
+
+
+def fails(spark):
+    return spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("n"))
+
+
+def test_several_tables_change_together_or_not_at_all(spark, tables):
+    assert tables.commit({"a": numbers(spark, 1), "b": numbers(spark, 2), "c": numbers(spark, 3)}) == 1
+    with pytest.raises(Exception, match="no"):
+        tables.commit({"a": numbers(spark, 10), "b": numbers(spark, 20), "c": fails(spark)})
+    assert [values(spark, tables, t) for t in "abc"] == [[1], [2], [3]] and tables.version(spark) == 1
+    assert tables.commit({"a": numbers(spark, 10, 11), "b": numbers(spark)}) == 2
+    assert [values(spark, tables, t) for t in "abc"] == [[10, 11], [], [3]]
+    assert values(spark, tables, "a", version=1) == [1]
+    with pytest.raises(KeyError):
+        tables.read(spark, "d")
+
+
+def test_a_reader_keeps_its_version_until_it_expires(spark, tables):
+    for k in range(4):
+        tables.commit({"a": numbers(spark, k)})
+    before = tables.read(spark, "a")
+    tables.commit({"a": numbers(spark, 4)})
+    assert [r.n for r in before.collect()] == [3]
+    assert tables.expire(spark, keep=2) == 3 and tables.expire(spark, keep=2) == 0
+    assert [r.n for r in before.collect()] == [3] and values(spark, tables, "a") == [4]
+    with pytest.raises(Exception):
+        tables.read(spark, "a", version=1)
+
+
+def test_appends_parts_and_new_columns(spark, tables):
+    write_table(numbers(spark, 1), tables, "a")
+    write_table(numbers(spark, 2), tables, "a")
+    for n in (3, 4):
+        write_table(numbers(spark, n), tables, "a", part={"load_id": "x"})
+    assert values(spark, tables, "a") == [1, 2, 4] and tables.holds(spark, "a", {"load_id": "x"}) and not tables.holds(spark, "a", {"load_id": "y"})
+    write_table(numbers(spark, 5).withColumn("more", F.lit("m")), tables, "a")
+    assert sorted(r.n for r in read_table(spark, tables, "a").where("more IS NULL").collect()) == [1, 2, 4]
+
+
+def test_a_commit_taken_by_another_writer_is_made_anew(spark, tables, monkeypatch):
+    tables.commit({"a": numbers(spark, 1)})
+    taken, commit = [], CommitLog.commit
+
+    def late(self, number, entry):
+        if not taken:
+            taken.append(number)
+            commit(self, number, self.latest()[1] | {"other": {}})
+        commit(self, number, entry)
+
+    monkeypatch.setattr(CommitLog, "commit", late)
+    assert tables.commit({"a": numbers(spark, 2)}) == 3 and taken == [2]
+    assert values(spark, tables, "a") == [2] and "other" in CommitLog(spark, f"{tables.root}/versions").latest()[1]
+
+
+def test_log(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    assert log.latest() == (0, {})
+    log.commit(1, {"x": "ü"})
+    with pytest.raises(CommitConflict):
+        log.commit(1, {"x": 2})
+    assert log.latest() == (1, {"x": "ü"}) and [p.suffix for p in (tmp_path / "log").iterdir() if p.name[0] != "."] == [".json"]
+    log.commit(2, {})
+    log.prune()
+    assert log.numbers() == [1, 2]
+    log.prune(keep_seconds=-1)
+    assert log.numbers() == [2]
+
+
+def test_result_tables_change_together(spark, tables, monkeypatch):
+    inputs = sample.listings(spark, SF), sample.income(spark, SF), sample.commercial(spark, SF)
+    exploitation.run_exploitation(*inputs, tables, decimals=2)
+    wanted = (names.COUNT_TABLE, names.AVERAGES_TABLE, names.PRICES_TABLE, names.CATEGORIES_TABLE)
+    before = {t: tables.read(spark, t).count() for t in wanted}
+    assert all(before.values()) and tables.version(spark) == 1
+    monkeypatch.setattr(exploitation, "commerce_categories", lambda *_, **__: fails(spark))
+    with pytest.raises(Exception, match="no"):
+        exploitation.run_exploitation(inputs[0].limit(1), *inputs[1:], tables, decimals=2)
+    assert {t: tables.read(spark, t).count() for t in wanted} == before

@@ -1,11 +1,15 @@
+import time
+
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from placelake.functions.columns import split_message, with_error
 from placelake.operators.price_model import fit_price_model, predict
 from placelake.plans import names
 from placelake.sources.tables import ParquetTables, read_table
 from placelake.streaming import sinks
+from placelake.streaming.history import StreamHistory
 from placelake.streaming.jobs import ingest_prices, score_stream
 from placelake.streaming.messages import PRICE_MESSAGE, SCORED_MESSAGE, read_messages
 from placelake.streaming.sinks import run_available, stream_to_console, stream_to_memory, stream_to_table
@@ -123,3 +127,81 @@ def test_other_sources_need_a_value_column(spark, inbox):
     assert rates.dtypes == [("value", "string")]
     with pytest.raises(AnalysisException):
         read_messages(spark, "kafka", {"kafka.bootstrap.servers": "h:1", "subscribe": "t"})
+
+
+def both(spark, tables):
+    return [sorted(r.value for r in read_table(spark, tables, t).collect()) for t in ("good", "bad")]
+
+
+def run_routes(spark, inbox, tables, checkpoint):
+    stream = ingest_prices(messages(spark, inbox), tables, str(checkpoint), "good", available_now=True, bad_table="bad")
+    return run_available(stream, 120)
+
+
+def test_bad_messages_go_to_a_table_of_their_own(spark, inbox, tables, tmp_path):
+    run_routes(spark, inbox, tables, tmp_path / "checkpoint")
+    flat = [x for lines in FILES for x in lines]
+    assert both(spark, tables) == [sorted(x for x in flat if x not in FILES[1]), sorted(FILES[1])]
+    assert read_table(spark, tables, "bad").columns == ["value", "date", "neighborhood", "price"]
+
+
+def test_a_restart_between_the_two_tables_adds_nothing(spark, inbox, tables, tmp_path, monkeypatch):
+    real, calls = sinks.write_table, []
+
+    def fails_before_the_second_table(*args):
+        calls.append((args[2], args[4]["batch_id"]))
+        if len(calls) == 4:
+            raise RuntimeError("lost")
+        real(*args)
+
+    monkeypatch.setattr(sinks, "write_table", fails_before_the_second_table)
+    with pytest.raises(Exception, match="lost"):
+        run_routes(spark, inbox, tables, tmp_path / "checkpoint")
+    assert calls[2:4] == [("good", 1), ("bad", 1)]
+    run_routes(spark, inbox, tables, tmp_path / "checkpoint")
+    assert calls[4] == ("good", 1) and [len(x) for x in both(spark, tables)] == [3, 2]
+
+
+def test_history_has_a_row_per_batch(spark, inbox, tables, tmp_path):
+    history = StreamHistory(spark, tables)
+    spark.streams.addListener(history)
+    try:
+        query = run(spark, inbox, tables, tmp_path / "checkpoint")
+        wait_for(lambda: ended(spark, tables, 1))
+    finally:
+        spark.streams.removeListener(history)
+    rows = read_table(spark, tables, "stream_history").collect()
+    batches = {r.batch_id: r.input_rows for r in rows if r.batch_id is not None}
+    counted = {int(r.b): r["count"] for r in read_table(spark, tables, names.MESSAGES_TABLE).groupBy(
+        F.regexp_extract(F.col("_metadata.file_path"), r"batch_id=(\d+)", 1).alias("b")).count().collect()}
+    assert batches == counted and sum(batches.values()) == 5 and {r.stream_id for r in rows} == {str(query.id)}
+
+
+def test_history_tells_of_a_failure(spark, inbox, tables, tmp_path, monkeypatch):
+    def fails(*_):
+        raise RuntimeError("disk is gone")
+
+    history = StreamHistory(spark, tables)
+    spark.streams.addListener(history)
+    try:
+        monkeypatch.setattr(sinks, "write_table", fails)
+        with pytest.raises(Exception, match="disk is gone"):
+            run(spark, inbox, tables, tmp_path / "checkpoint")
+        wait_for(lambda: ended(spark, tables, 1))
+    finally:
+        spark.streams.removeListener(history)
+    assert any("disk is gone" in (r.failure or "") for r in read_table(spark, tables, "stream_history").collect())
+
+
+def ended(spark, tables, n):
+    try:
+        return read_table(spark, tables, "stream_history").where("batch_id IS NULL").count() == n
+    except AnalysisException:
+        return False
+
+
+def wait_for(done, seconds=60):
+    end = time.monotonic() + seconds
+    while not done():
+        assert time.monotonic() < end, "not in time"
+        time.sleep(0.2)
