@@ -73,13 +73,13 @@ def host_of(host_col: str) -> Column:
 
 
 def frequent_lines(measured: DataFrame, max_docs: int) -> DataFrame:
-    """(host, line, first) of the lines in more than ``max_docs`` distinct documents of a host, and the first of these (``_id``, ``_h``).
+    """(host, line, first) of the lines in more than ``max_docs`` distinct documents of a host, and the smallest id among these.
 
     Counted in two partial aggregates, first by document shape: a line in a third of all documents is
     combined before each shuffle.
     """
-    lines = measured.select("host", "shape", F.struct("_id", "_h").alias("doc"), F.explode("lines").alias("line"))
-    shapes = lines.groupBy("host", "line", "shape").agg(F.min("doc").alias("first"))
+    lines = measured.select("host", "shape", "_id", F.explode("lines").alias("line"))
+    shapes = lines.groupBy("host", "line", "shape").agg(F.min("_id").alias("first"))
     counted = shapes.groupBy("host", "line").agg(F.count("*").alias("docs"), F.min("first").alias("first"))
     return counted.filter(F.col("docs") > max_docs).drop("docs")
 
@@ -90,7 +90,7 @@ def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat`` percent of the words in
     repeated windows of three. Lines of more than ``max_docs`` distinct documents of their host are
-    removed from all but the first of them (``cut``: their hashes), so that nothing a host says is lost altogether, and a document is depleted if less than ``min_left`` of its words is
+    removed from all but the one of smallest id (``cut``: their hashes), so that nothing a host says is lost altogether, and a document is depleted if less than ``min_left`` of its words is
     left. Documents are distinct unless their normalised lines are the same, so exact copies count once.
 
     Null text: no words, hence base_failed. A null host is a host of its own. Repeated rows get equal
@@ -100,7 +100,7 @@ def judge(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     measured = scratch.write(rows.mapInPandas(_measured, _MEASURES).dropDuplicates(["_id", "_h", "host"]), "measures")
     each = measured.select("_id", "_h", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("z"))
     each = each.select("_id", "_h", "host", F.col("z.lines").alias("line"), F.col("z.line_words").alias("words"))
-    hit = each.join(frequent_lines(measured, max_docs), ["host", "line"]).filter(F.struct("_id", "_h") != F.col("first"))
+    hit = each.join(frequent_lines(measured, max_docs), ["host", "line"]).filter("_id != first")
     cut = hit.groupBy("_id", "_h", "host").agg(F.sum("words").alias("n_cut_words"), F.collect_set("line").alias("cut"))
     judged = measured.drop("shape", "lines", "line_words").join(cut, ["_id", "_h", "host"], "left")
     n_cut = F.coalesce("n_cut_words", F.lit(0).cast("long"))
