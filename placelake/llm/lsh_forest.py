@@ -71,21 +71,48 @@ def _prefix(depth: int | Column) -> Column:
     return F.substring("label", 1, 4 * depth)
 
 
-def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows in order: each with the one before it, and with the first of its region."""
-    last = head = None
-    for batch in batches:
-        a, b = [], []
-        for tree, prefix, node in zip(batch["tree"], batch["prefix"], batch["node"]):
-            region = (tree, prefix)
-            if last is not None and last[0] == region:
-                a.append(last[1]); b.append(node)
-                if head != last[1]:
-                    a.append(head); b.append(node)
-            else:
-                head = node
-            last = (region, node)
-        yield pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+def _neighbours(heads: bool):
+    """Rows in order: each with the one before it, and if wanted with the first of its region, unless their roots are the same."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = head = None
+        for batch in batches:
+            a, b = [], []
+            for tree, prefix, node, root in zip(batch["tree"], batch["prefix"], batch["node"], batch["root"]):
+                if last is None or last[:2] != (tree, prefix):
+                    head = (node, root)
+                else:
+                    near = {last[2:], head} if heads else {last[2:]}
+                    for other, its_root in sorted(near):
+                        if its_root != root:
+                            a.append(other); b.append(node)
+                last = (tree, prefix, node, root)
+            yield pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+
+    return run
+
+
+def _near_pairs(rooted: DataFrame, heads: bool) -> DataFrame:
+    order = ["tree", "prefix", "label", "node"]
+    near = (rooted.select(*order, "root").repartitionByRange(*order).sortWithinPartitions(*order)
+            .mapInPandas(_neighbours(heads), "a long, b long"))
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _merged(roots: DataFrame, links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """The roots after further links, from the components of the roots that these join."""
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}")), end, "left")
+    ends = ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()
+    over = scratch.write(components(ends, scratch, label), f"{label}-over")
+    moved = roots.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    moved = moved.select("node", F.coalesce("top", "root").alias("root"))
+    return scratch.write(moved.unionByName(over.join(roots, "node", "left_anti")), f"{label}-roots")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def regions(forest: DataFrame, scratch: Scratch, least: int, most: int, limit: int) -> DataFrame:
@@ -144,11 +171,11 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     ``joint`` numbers the components, as two may have a smallest id in common where ids repeat.
 
     Documents link if 100 times their shared shingles are ``percent`` times the union or more. Candidates come
-    in two turns. First neighbours in the trees' orders, and each row with the first of its region; what they
-    link is joined to components. Then every region ``least`` deep again, for the pairs that lie in different
-    components: all of them in regions up to ``limit`` rows, and in denser ones each row outside the region's
-    largest component with every row, in blocks. So no bound on a region drops a pair of it, and rows that part
-    at a depth between ``least`` and ``most`` are compared as well: more depth only serves the first turn.
+    in turns. First neighbours in three trees' orders; then, in all trees, neighbours and the first of each region, unless what was
+    linked so far has joined them already. Then every region ``least`` deep again, for the pairs that lie in different
+    components: all of them in regions up to ``limit`` rows, and in denser ones those that share a rare member, which every pair
+    that links does (see ``_by_rare_members``). So no bound on a region drops a pair of it, and rows that part
+    at a depth between ``least`` and ``most`` are compared as well: more depth only serves the first turns.
 
     A pair of similarity s shares a region of depth d in a tree with chance s**d; with 24 trees, depth 4 and
     s = 0.8 a pair is missed in all trees with a chance below 1e-5, as with 16 trees and s = 0.85. Empty sets link with nothing. Null ids
@@ -170,17 +197,17 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     texts = rows.join(wanted, ["_id", "_h"]).dropDuplicates(["node"])
     sets = scratch.write(_sets(texts, shingle), "sets")
 
-    order = ["tree", "prefix", "label", "node"]
-    near = (found.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-            .mapInPandas(_neighbours, "a long, b long"))
-    pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = scratch.write(confirmed(pairs, sets, percent), "links-1")
-    roots = scratch.write(components(links, scratch, "turn-1"), "roots-1")
+    # A few orders' neighbours first: rows of large groups then share a root, and only pairs of other roots go on.
+    chains = found.filter(~F.col("deep") & (F.col("tree") < 3)).withColumn("root", F.col("node"))
+    links = scratch.write(confirmed(_near_pairs(chains, heads=False), sets, percent), "links-0")
+    roots = scratch.write(components(links, scratch, "turn-0"), "roots-0")
+    near = scratch.write(_near_pairs(_rooted(found, roots), heads=True), "near")
+    roots = _merged(roots, scratch.write(confirmed(near, sets, percent), "links-1"), scratch, "turn-1")
 
     rest = scratch.write(_apart(found, roots, sets, scratch, percent), "apart")
     more = scratch.write(confirmed(rest, sets, percent), "links-2")
     if more.limit(1).count():
-        roots = components(links.unionByName(more), scratch, "turn-2")
+        roots = _merged(roots, more, scratch, "turn-2")
     labelled = filled.select("_id", "_h", "n_shingles", "node").join(roots.withColumnRenamed("root", "joint"), "node", "left")
     labelled = labelled.withColumn("joint", F.coalesce("joint", "node"))
     smallest = labelled.groupBy("joint").agg(F.min("_id").alias("component"))
@@ -191,7 +218,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
 
 def _apart(found: DataFrame, roots: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Pairs of a region that isn't deep whose rows lie in different components so far."""
-    rows = found.filter("NOT deep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = _rooted(found.filter("NOT deep"), roots)
     rows = scratch.write(rows.select("tree", "prefix", "node", "root", "dense"), "rooted")
     region = ["tree", "prefix"]
     parts = rows.groupBy(*region, "dense", "root").agg(F.count("*").alias("n"))
@@ -202,20 +229,72 @@ def _apart(found: DataFrame, roots: DataFrame, sets: DataFrame, scratch: Scratch
     one = small.select("rows", F.explode("rows").alias("p"))
     two = one.select("p", F.explode(F.filter("rows", lambda q: (q["node"] > F.col("p.node")) & (q["root"] != F.col("p.root")))).alias("q"))
     pairs = two.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-    dense = scratch.write(mixed_rows.filter("dense"), "dense")
-    sized = sets.select("node", (F.length("members") / 8).cast("long").alias("n"))
-    met = _met(dense.filter("root != main").select("node").distinct(), dense.select("node").distinct(), sets)
-    inside = dense.select(*region, F.pmod(F.xxhash64("node"), F.lit(16)).alias("block"), F.col("node").alias("b"),
-                          F.col("root").alias("rb")).join(sized.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
-    outside = dense.filter("root != main").select(*region, F.col("node").alias("a"), F.col("root").alias("ra"))
-    outside = outside.join(sized.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(met.withColumnRenamed("node", "a"), "a")
-    # At best a shares all that it has in common with anyone: what that leaves below the bound has no link.
-    least = inside.groupBy(*region).agg(F.min("nb").alias("least"))
-    outside = outside.join(least, region).filter(_at_best(F.col("na"), F.greatest("least", "met"), F.col("met"), percent))
-    outside = outside.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
-    far = outside.join(inside, [*region, "block"]).filter(
-        (F.col("ra") != F.col("rb")) & _at_best(F.col("na"), F.col("nb"), F.least("met", "nb"), percent)).select("a", "b")
-    return pairs.unionByName(far).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    dense = mixed_rows.filter("dense").groupBy("node").agg(F.min("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("outside"))
+    far = _by_rare_members(scratch.write(dense, "dense"), sets, scratch, percent)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(far).distinct()
+
+
+def _by_rare_members(nodes: DataFrame, sets: DataFrame, scratch: Scratch, percent: int, held: int = 1 << 17) -> DataFrame:
+    """Pairs (a, b) of nodes with other roots, one of them outside, that may link: those that share a rare member.
+
+    In any one order of all members, two sets that link have a member in common among the first n - ceil(percent * n / 100) + 1
+    of each, as one shares ``percent`` of its members at least. The order here puts members that many sets hold last, so sets that have no
+    more than a template in common do not meet. ``held`` most frequent members are known by their counts, all others stand before them;
+    this bounds what the tasks hold and decides costs only, as any order gives every link. A member of many rows is met in blocks.
+    """
+    full = nodes.join(sets, "node").select("node", "root", "outside", "members")
+    tally = full.select("members").mapInPandas(_tallied, "member long, n long").groupBy("member").agg(F.sum("n").alias("n")).filter("n > 1")
+    common = tally.orderBy(F.desc("n"), "member").limit(held).toPandas().sort_values("member")
+    known = nodes.sparkSession.sparkContext.broadcast((common["member"].to_numpy(np.int64), common["n"].to_numpy(np.int64)))
+
+    def first_ones(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hot, times = known.value
+        for batch in batches:
+            out, size = [], 0
+            for node, root, outside, members in zip(batch["node"], batch["root"], batch["outside"], batch["members"]):
+                members = np.frombuffer(members, dtype=np.int64)
+                n = len(members)
+                often = np.zeros(n, dtype=np.int64)
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, members), len(hot) - 1)
+                    often = np.where(hot[at] == members, times[at], 0)
+                first = np.lexsort((members, often))[:n + percent * -n // 100 + 1]
+                out.append((node, root, outside, n, members[first]))
+                size += len(first)
+                if size > 1 << 19:
+                    yield _unfolded(out)
+                    out, size = [], 0
+            if out:
+                yield _unfolded(out)
+
+    rare = scratch.write(full.mapInPandas(first_ones, "node long, root long, outside boolean, n long, at long, member long"), "rare")
+    live = (rare.groupBy("member").agg(F.count("*").alias("rows"), F.max("outside").alias("out"), F.min("root").alias("r"), F.max("root").alias("s"))
+            .filter("out AND r != s").select("member", F.ceil(F.col("rows") / 2048).alias("blocks")))
+    rows = rare.join(scratch.write(live, "live"), "member")
+    left = rows.filter("outside").select("member", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "n", "at")],
+                                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    right = rows.select("member", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "n", "at")],
+                        F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    # Before their first common member neither set has any of the other; what follows bounds what they share.
+    most = 1 + F.least(F.col("n_a") - 1 - F.col("at_a"), F.col("n_b") - 1 - F.col("at_b"))
+    met = left.join(right, ["member", "block"]).filter(
+        (F.col("root_a") != F.col("root_b")) & ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))))
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def _unfolded(rows: list[tuple]) -> pd.DataFrame:
+    """A row per member, with its place, of rows (node, root, outside, n, members)."""
+    nodes, roots, outsides, sizes, members = zip(*rows)
+    lengths = [len(m) for m in members]
+    whole = {"node": nodes, "root": roots, "outside": outsides, "n": sizes}
+    return pd.DataFrame({k: np.repeat(np.array(v), lengths) for k, v in whole.items()} | {
+        "at": np.concatenate([np.arange(k) for k in lengths]), "member": np.concatenate(members)})
+
+
+def _tallied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        members, n = np.unique(np.frombuffer(b"".join(batch["members"]), dtype=np.int64), return_counts=True)
+        yield pd.DataFrame({"member": members, "n": n})
 
 
 def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -230,31 +309,3 @@ def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col
     rows = wrapped(docs, id_col, text_col).join(chosen, ["_id", "_h"])
     turn = F.row_number().over(Window.partitionBy("_id", "_h").orderBy("filled"))
     return rows.withColumn("turn", turn).filter("NOT filled OR turn = 1").select("_row.*")
-
-
-def _at_best(na: Column, nb: Column, shared: Column, percent: int) -> Column:
-    """Whether sets of these sizes could link if they shared so many members."""
-    return 100 * shared >= percent * (na + nb - shared)
-
-
-def _met(nodes: DataFrame, others: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, met): how many members of each node's set also lie in the set of another one of ``others``.
-
-    The nodes are among the others. Members are tallied within batches before they are shuffled.
-    """
-
-    def tallied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            every = np.frombuffer(b"".join(batch["members"]), dtype=np.int64)
-            members, n = np.unique(every, return_counts=True)
-            yield pd.DataFrame({"member": members, "n": n})
-
-    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            members = [np.frombuffer(m, dtype=np.int64) for m in batch["members"]]
-            yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), [len(m) for m in members]), "member": np.concatenate(members)})
-
-    tally = others.join(sets, "node").select("members").mapInPandas(tallied, "member long, n long")
-    common = tally.groupBy("member").agg(F.sum("n").alias("n")).filter("n > 1").select("member")
-    own = nodes.join(sets, "node").select("node", "members").mapInPandas(listed, "node long, member long")
-    return own.join(common, "member", "left_semi").groupBy("node").agg(F.count("*").alias("met"))
