@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import SparkRuntimeException
@@ -40,6 +41,7 @@ from placelake.plans.training import train_price_model
 from placelake.settings import scratch_path, stored
 from placelake.sources.compaction import compact
 from placelake.sources.files import read_landing, read_lookup
+from placelake.sources.ledger import append_ledger, fold_ledger, unlogged
 from placelake.sources.registry import Source, read_registry
 from placelake.sources.snapshots import SnapshotTables
 from placelake.sources.tables import ParquetTables, read_table, write_table
@@ -176,6 +178,18 @@ def pending_events(spark, sf_dir):
     return pending_files(events.select("event_id"), logged, "event_id")
 
 
+@query("bucketed_ledger", "SELECT concat('landing/', event_id) AS file_name FROM events WHERE event_type IN ('click', 'signup')")
+def bucketed_ledger(spark, sf_dir):
+    """Events stand for files. Some are logged and folded, others logged and folded later, or not folded; the rest is pending."""
+    root, at = scratch_path(spark, "bucketed-ledger"), datetime(2024, 1, 1, tzinfo=timezone.utc)
+    files = sample.table(spark, sf_dir, "events").select(F.format_string("landing/%d", "event_id").alias("file_name"), "event_type")
+    for kind in ("view", "error", "purchase"):
+        append_ledger(files.where(F.col("event_type") == kind), root, kind, at)
+        if kind != "purchase":
+            fold_ledger(spark, root, at_least=1)
+    return unlogged(files.select("file_name"), root)
+
+
 @query("format_load", "SELECT * FROM events")
 def format_load_once(spark, sf_dir):
     """The files of a table loaded twice over one ledger; the second load finds nothing to do."""

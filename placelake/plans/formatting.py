@@ -15,11 +15,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from placelake.functions.columns import INPUT_FILE, nested_to_json, with_lineage
-from placelake.operators.joins import pending_files, reconcile
+from placelake.operators.joins import reconcile
 from placelake.plans import names
 from placelake.settings import stored
 from placelake.sources.files import list_files, read_landing, read_lookup
-from placelake.sources.ledger import append_ledger, chunk_files, claim_files, end_load, lease_path, open_chunks, read_ledger
+from placelake.sources.ledger import append_ledger, chunk_files, claim_files, end_load, fold_ledger, lease_path, open_chunks, unlogged
 from placelake.sources.leases import Lease
 from placelake.sources.registry import Source, source_named, sources_of, select_sources
 from placelake.sources.tables import Tables, write_table
@@ -76,7 +76,7 @@ def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables
             done = sum(load(*c, there) for c in cut_off)
         for load_id in {load for load, _ in cut_off}:
             end_load(spark, ledger, source.name, load_id)
-        files = pending_files(listing, read_ledger(spark, ledger)).select("file_name").persist()
+        files = unlogged(listing, ledger).select("file_name").persist()
         load_id, chunks = f"load-{uuid4().hex}", ceil(files.count() / files_per_chunk)
         if chunks > 0:
             claim_files(files, ledger, source.name, load_id, chunks)
@@ -84,6 +84,7 @@ def format_load(spark: SparkSession, source: Source, ledger: str, tables: Tables
         if chunks > 0:
             done += sum(load(load_id, c, None) for c in range(chunks))
             end_load(spark, ledger, source.name, load_id)
+        fold_ledger(spark, ledger)
         return done
 
 

@@ -1,0 +1,115 @@
+import os
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from placelake.sources import ledger as ledger_module
+from placelake.sources.buckets import Buckets, write_buckets
+from placelake.sources.commits import CommitConflict, CommitLog
+from placelake.sources.ledger import LEDGER_SCHEMA, append_ledger, fold_ledger, ledger_rows, read_ledger, unlogged
+
+AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def named(spark, start, stop):
+    return spark.range(start, stop).select(F.format_string("file:/landing/%d.parquet", "id").alias("file_name"))
+
+
+def names(df):
+    return sorted(r.file_name for r in df.collect())
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path)
+
+
+def test_folds_leave_the_plain_anti_join(spark, path):
+    for k in range(4):
+        append_ledger(named(spark, 100 * k, 100 * k + 150), path, f"s{k % 2}", AT)
+        fold_ledger(spark, path, at_least=2, names_per_bucket=40)
+    append_ledger(named(spark, 900, 950), path, "s0", AT)
+    asked = named(spark, 0, 1000).union(spark.createDataFrame([(None,), ("other",), ("other",)], "file_name string"))
+    plain = asked.join(read_ledger(spark, path), "file_name", "left_anti")
+    assert unlogged(asked, path).count() == plain.count() == 550 - 50 + 3
+    assert unlogged(asked, path).exceptAll(plain).isEmpty()
+    assert ledger_rows(spark, path).count() == 4 * 150 + 50 and read_ledger(spark, path).count() == 500
+
+
+def test_only_buckets_that_may_hold_a_name_are_read(spark, path):
+    made = write_buckets(named(spark, 0, 20_000), "file_name", f"{path}/t", names_per_bucket=500)
+    schema = named(spark, 0, 1).schema
+    assert made.buckets == 40 == len([n for n in os.listdir(f"{path}/t/rows") if n.startswith("bucket=")])
+    few = named(spark, 7, 10)
+    assert 1 <= len(made.may_hold(few, "file_name")) <= 3
+    read = made.rows_for(few, "file_name", schema).select(F.input_file_name()).distinct().count()
+    assert read <= 3 and names(few.join(made.rows_for(few, "file_name", schema), "file_name")) == names(few)
+    # No name that is held is ever missed, and few others look as if they were.
+    assert len(made.may_hold(named(spark, 0, 20_000), "file_name")) == 40
+    strangers = sum(len(made.may_hold(named(spark, k, k + 10), "file_name")) for k in range(30_000, 30_080, 10))
+    assert strangers <= 8
+    assert made.may_hold(few.where("false"), "file_name") == [] == made.may_hold(spark.createDataFrame([(None,)], "file_name string"), "file_name")
+
+
+def test_tables_of_a_like_size_are_merged(spark, path):
+    log = CommitLog(spark, f"{path}/live")
+    sizes = []
+    for k in range(6):
+        append_ledger(named(spark, 10 * k, 10 * k + 10), path, "s", AT)
+        assert fold_ledger(spark, path, at_least=1) == 1
+        sizes.append([t["names"] for t in log.latest()[1]["tables"]])
+    assert all(len(s) <= 2 for s in sizes) and sum(sizes[-1]) == 60
+    append_ledger(named(spark, 1000, 3000), path, "s", AT)
+    append_ledger(named(spark, 5000, 5001), path, "s", AT)
+    fold_ledger(spark, path, at_least=2)
+    append_ledger(named(spark, 6000, 6001), path, "s", AT)
+    fold_ledger(spark, path, at_least=1)
+    assert [t["names"] for t in log.latest()[1]["tables"]] == [2061, 1]
+
+
+def test_folds_wait_for_running_writes_and_for_enough_of_them(spark, path):
+    assert fold_ledger(spark, path) == 0
+    append_ledger(named(spark, 0, 3), path, "s", AT)
+    assert fold_ledger(spark, path) == 0
+    running = f"{path}/processed/running"
+    os.makedirs(f"{running}/_temporary/0")
+    assert fold_ledger(spark, path, at_least=1) == 1
+    named(spark, 3, 5).select("file_name", F.lit(AT).alias("processed_at"), F.lit("s").alias("source_name")).write.mode("overwrite").parquet(running)
+    assert read_ledger(spark, path).count() == 5
+
+
+def test_replaced_folders_stay_for_readers_and_then_go(spark, path):
+    append_ledger(named(spark, 0, 3), path, "s", AT)
+    before = ledger_rows(spark, path)
+    fold_ledger(spark, path, at_least=1, keep_seconds=0)
+    assert before.count() == 3
+    append_ledger(named(spark, 3, 5), path, "s", AT)
+    fold_ledger(spark, path, at_least=1, keep_seconds=0)
+    assert len(os.listdir(f"{path}/processed")) == 1
+    assert read_ledger(spark, path).count() == 5 == ledger_rows(spark, path).count()
+
+
+def test_a_fold_that_comes_second_leaves_the_log_as_it_was(spark, path, monkeypatch):
+    append_ledger(named(spark, 0, 3), path, "s", AT)
+
+    def taken(self, number, entry):
+        raise CommitConflict("taken")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(CommitLog, "commit", taken)
+        assert fold_ledger(spark, path, at_least=1) == 0
+    assert os.listdir(f"{path}/folded") == [] and read_ledger(spark, path).count() == 3
+
+
+def test_entries_of_a_log_without_folders_count(spark, path):
+    named(spark, 0, 3).select("file_name", F.lit(AT).alias("processed_at"), F.lit("s").alias("source_name")).write.parquet(f"{path}/processed")
+    append_ledger(named(spark, 3, 4), path, "s", AT)
+    assert read_ledger(spark, path).count() == 4 and names(unlogged(named(spark, 0, 6), path)) == names(named(spark, 4, 6))
+    assert fold_ledger(spark, path, at_least=1) == 1 and read_ledger(spark, path).count() == 4
+
+
+def test_an_entry_round_trips():
+    made = Buckets("p", 3, 1, 2)
+    assert Buckets(**made.entry()) == made and LEDGER_SCHEMA.names == ["file_name", "processed_at", "source_name"]
+    assert ledger_module.FOLD_AFTER > 1
