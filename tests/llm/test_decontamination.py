@@ -48,6 +48,45 @@ def test_recall_of_edited_items(ratio):
     assert found >= 0.98 * 60
 
 
+@pytest.mark.parametrize("alphabet", ["\u6c34\u706b\u6728\u91d1\u571f\u65e5\u6708\u5c71\u5ddd\u7530", "\u0e01\u0e02\u0e04\u0e07\u0e08\u0e0a\u0e0d\u0e14", "abcdefghij"])
+def test_items_inside_unspaced_runs(alphabet):
+    rng = random.Random(5)
+    run = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    items = [run(rng.randrange(40, 90)) for _ in range(20)]
+    index = d.Index(list(range(20)), items)
+    for k, item in enumerate(items):
+        changed = item[:20] + ("x" if item[20] != "x" else "y") + item[21:]
+        for text in (run(70) + item + run(50), run(7) + changed + run(31)):
+            assert [i for i, _, _ in index.matches([text])[0]] == [k]
+    assert index.matches([run(500)]) == [[]]
+
+
+def test_short_items_are_found_as_whole_words():
+    index = d.Index([1, 2, 3, None, 5], ["Grey owl!", "\u6c34\u706b", "grey", "grey owl", " ?"])
+    held = lambda text: [(i, n) for i, distance, n in index.matches([text])[0]]
+    assert held("a grey OWL, here") == [(1, 8), (3, 4), (None, 8)] and held("greyowl grey-owls") == [(3, 4)]
+    assert held("\u6728\u6c34\u706b\u6728") == [(2, 6)] and held("greying") == [] == held("")
+
+
+def test_keys_get_shorter_where_long_ones_miss(monkeypatch):
+    rng = random.Random(6)
+    items = [sentence(rng, 30) for _ in range(10)]
+    monkeypatch.setattr(d, "_MOST_KEYS", 24)
+    index = d.Index(list(range(10)), items)
+    assert all(len(keys[0]) < 5 for part in index.classes for keys in part.samples)
+    assert all(sum(map(len, part.samples)) >= 6 for part in index.classes)
+    monkeypatch.setattr(d, "_MOST_KEYS", 1)
+    with pytest.raises(ValueError, match="recall"):
+        d.Index(list(range(10)), items)
+
+
+def test_a_very_long_item_needs_no_table():
+    rng = random.Random(7)
+    item = sentence(rng, 6000)
+    index = d.Index([1, 2], [item, sentence(rng, 12)])
+    assert [m[:2] for m in index.matches([f"{sentence(rng, 9)} {item} {sentence(rng, 9)}"])[0]] == [(1, 0)]
+
+
 def test_clean_texts_hold_nothing():
     rng = random.Random(3)
     index = d.Index(list(range(30)), [sentence(rng, 20) for _ in range(30)])
@@ -75,6 +114,28 @@ def test_edges(spark, edge_docs, no_docs):
     assert d.contaminated(edge_docs, empty).count() == 0 and d.clean(edge_docs, empty).count() == edge_docs.count()
 
 
+def test_edited_passages_equal_a_full_scan(spark, make_docs):
+    rng = random.Random(8)
+    items = [sentence(rng, rng.randrange(3, 9)) for _ in range(8)] + ["short one", "x"]
+    texts = []
+    for k in range(24):
+        chars = list(items[k % 8])
+        for _ in range(k // 8 * 2):
+            chars[rng.randrange(1, len(chars))] = rng.choice("etaoinshr")
+        texts.append(f"{sentence(rng, 6)} {''.join(chars)} {sentence(rng, 6)}")
+    texts += ["a short one here", "shorty ones", "x", sentence(rng, 20), "", None]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["distance"]) for r in d.contaminated(make_docs(list(enumerate(texts))), bench).collect()}
+    want = set()
+    for t, text in enumerate(texts):
+        raw = d.normalised(text or "")
+        for k, item in enumerate(map(d.normalised, items)):
+            distance = plain_distance(item, raw) if len(item) >= 20 else 0 if b" " + item + b" " in b" " + raw + b" " else 99
+            if distance <= d.allowed_edits(len(item), 0.08):
+                want.add((t, k, distance))
+    assert got == want and len(got) >= 18
+
+
 def test_query_finds_every_exact_passage(spark):
     from placelake.llm import queries
 
