@@ -155,14 +155,65 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets, np.array(fills, dtype=np.int64)
 
 
-def _packed(items: DataFrame, group_items: int, capacity: int, turn: int, n: int) -> DataFrame:
+def least_slack(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same as :func:`best_fit_decreasing`, but bin by bin: the longest left, then those that fill it best.
+
+    Which sums the shorter ones reach are a number's bits; they are taken in, longest first, until the free space is met.
+    """
+    bins, offsets = np.empty(len(lengths), dtype=np.int64), np.empty(len(lengths), dtype=np.int64)
+    left: dict[int, list[int]] = {}
+    for i in np.argsort(lengths, kind="stable")[::-1]:
+        left.setdefault(int(lengths[i]), []).append(int(i))
+    fills = []
+    while left:
+        longest = next(iter(left))
+        free = capacity - longest
+        chosen = [longest, *_best_sum([(x, len(own) - (x == longest)) for x, own in left.items() if x <= free], free)]
+        at = 0
+        for x in chosen:
+            i = left[x].pop()
+            if not left[x]:
+                del left[x]
+            bins[i], offsets[i] = len(fills), at
+            at += x
+        fills.append(at)
+    return bins, offsets, np.array(fills, dtype=np.int64)
+
+
+def fewest_bins(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The better of both fits."""
+    return min((fit(lengths, capacity) for fit in (best_fit_decreasing, least_slack)), key=lambda made: len(made[2]))
+
+
+def _best_sum(counts: list[tuple[int, int]], free: int) -> list[int]:
+    """Lengths, at most so many of each, whose sum is the largest that fits."""
+    reached, within = 1, (1 << (free + 1)) - 1
+    steps = []  # each length taken in, and the sums before it
+    for x, n in counts:
+        for _ in range(min(n, free // x)):
+            more = (reached | reached << x) & within
+            if more == reached:
+                break
+            steps.append((x, reached))
+            reached = more
+        if reached >> free:
+            break
+    total, chosen = reached.bit_length() - 1, []
+    for x, before in reversed(steps):
+        if not before >> total & 1:
+            chosen.append(x)
+            total -= x
+    return chosen
+
+
+def _packed(items: DataFrame, group_items: int, capacity: int, turn: int, n: int, fit=best_fit_decreasing) -> DataFrame:
     """Pack items (uid, length) in groups dealt by a hash, each about ``group_items`` large."""
     groups = max(1, -(-n // group_items))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("uid", ignore_index=True)
         lengths = frame["length"].to_numpy()
-        bins, offsets, fills = best_fit_decreasing(lengths, capacity)
+        bins, offsets, fills = fit(lengths, capacity)
         base = (turn << 56) | (int(frame["grp"].iloc[0]) << 24)
         return pd.DataFrame({
             "uid": frame["uid"], "length": lengths, "sequence_id": -1 - (base + bins), "offset": offsets,
@@ -182,30 +233,36 @@ def pack(items: DataFrame, scratch: Scratch, capacity: int = 1024, group_items:
 
     Each group is packed by best-fit decreasing and certified if its bins reach its lower bound. Then the
     items of groups with a gap, and those of every group's unfilled bins, are exchanged: dealt
-    into new groups and packed again. A turn is taken if it saves bins; the end is reached when
-    the total meets the bound of all lengths together, or a turn saves none, not even with the items of every
-    bin that has room. The bound needs the counts
-    by length alone, at most ``capacity`` numbers.
+    into new groups and packed again. A turn is taken if it saves bins. Where one saves none, the next deals out the items of
+    every bin that has room, and those after it also pack them by least slack; so does a single group, which has nothing to
+    exchange. The end is reached when the total meets the bound of all lengths together, or least slack saves none. The bound
+    needs the counts by length alone, at most ``capacity`` numbers.
     """
     counts = items.groupBy("length").count().toPandas()
     n = int(counts["count"].sum())
     placed = scratch.write(_packed(items, group_items, capacity, 0, n), "placed-0")
     total = _bins(placed)
     bound = _weighted_bound(counts, capacity)
-    slack = capacity // 64
+    slack, fit = capacity // 64, best_fit_decreasing
+    if n <= group_items:
+        slack, fit = 0, fewest_bins
     for turn in range(1, max_turns + 1):
         if total <= bound:
             break
-        open_bins = F.col("gap") | (F.col("fill") < capacity - slack)
+        open_bins = F.col("fill") < capacity - slack
+        if slack:
+            open_bins |= F.col("gap")
         loose = placed.filter(open_bins)
         old, n_loose = _bins(loose), loose.count()
-        again = scratch.write(_packed(loose, group_items, capacity, turn, n_loose), f"again-{turn}") if old > 1 else None
+        again = scratch.write(_packed(loose, group_items, capacity, turn, n_loose, fit), f"again-{turn}") if old > 1 else None
         new = _bins(again) if again is not None else old
         if new >= old:
             scratch.drop(f"again-{turn}")
-            if not slack:
+            if fit is fewest_bins:
                 break
-            slack = 0  # once more, with every bin that has room
+            if not slack or n_loose <= group_items:
+                fit = fewest_bins
+            slack = 0
             continue
         placed = scratch.write(placed.filter(~open_bins).unionByName(again), f"placed-{turn}")
         scratch.drop(f"again-{turn}")

@@ -1,5 +1,6 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import combinations
 from zlib import crc32
 
 import numpy as np
@@ -57,11 +58,41 @@ def test_bounds_hold_and_fits_are_valid():
     for _ in range(60):
         capacity = rng.choice([10, 24, 60])
         lengths = np.array(sorted((rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 9))), reverse=True))
-        bins, offsets, fills = packing.best_fit_decreasing(lengths, capacity)
-        assert packing.lower_bound(lengths, capacity) <= exact_bins(lengths.tolist(), capacity) <= len(fills)
-        for b in range(len(fills)):
-            own = sorted(zip(offsets[bins == b], lengths[bins == b]))
-            assert [o for o, _ in own] == [sum(x for _, x in own[:k]) for k in range(len(own))] and fills[b] <= capacity
+        for fit in (packing.best_fit_decreasing, packing.least_slack, packing.fewest_bins):
+            bins, offsets, fills = fit(lengths, capacity)
+            assert packing.lower_bound(lengths, capacity) <= exact_bins(lengths.tolist(), capacity) <= len(fills)
+            for b in range(len(fills)):
+                own = sorted(zip(offsets[bins == b], lengths[bins == b]))
+                assert [o for o, _ in own] == [sum(x for _, x in own[:k]) for k in range(len(own))] and fills[b] <= capacity
+
+
+def test_least_slack_finds_the_best_sum():
+    rng = random.Random(4)
+    for _ in range(200):
+        items = [rng.randrange(1, 30) for _ in range(rng.randrange(0, 9))]
+        free = rng.randrange(0, 60)
+        counts = sorted(Counter(items).items(), reverse=True)
+        chosen = packing._best_sum([(x, n) for x, n in counts if x <= free], free)
+        sums = {sum(own) for k in range(len(items) + 1) for own in combinations(items, k)}
+        assert sum(chosen) == max(s for s in sums if s <= free) and not Counter(chosen) - Counter(items)
+
+
+def test_a_gap_within_one_group_is_closed(spark, scratch):
+    lengths = [7, 7, 5, 5, 4, 4, 3, 3, 2, 2] * 6 + [6, 3, 1] * 3  # best-fit decreasing may leave room here
+    rng = np.random.default_rng(1)
+    mixed = rng.integers(200, 500, 400)
+    items = spark.createDataFrame([(k, int(x)) for k, x in enumerate(mixed)], "uid long, length long")
+    n = items.join(packing.pack(items, scratch, capacity=1024), "uid").select("sequence_id").distinct().count()
+    assert n < len(packing.best_fit_decreasing(mixed, 1024)[2]) and n >= packing.lower_bound(mixed, 1024)
+    assert len(packing.fewest_bins(np.array(lengths), 10)[2]) == packing.lower_bound(np.array(lengths), 10)
+
+
+def test_query_is_within_one_of_its_bound(spark):
+    from placelake.llm import queries
+
+    rows = queries.op5_certified_packing(spark, "/root/testdata/sf0.001").toPandas()
+    assert rows.groupby("sequence_id")["length"].sum().max() <= 1024
+    assert rows["sequence_id"].nunique() <= packing.lower_bound(rows["length"].to_numpy(), 1024) + 1
 
 
 def test_bound_beats_the_plain_sum():
