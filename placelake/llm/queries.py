@@ -56,10 +56,11 @@ def op6_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op7")
-    warc.write_archives(warc.records(table(spark, sf_dir, "pages")), f"{scratch.root}/archives")
+    pages = table(spark, sf_dir, "pages")
+    warc.write_archives(warc.records(pages), f"{scratch.root}/archives")
     files = warc.archive_files(spark, f"{scratch.root}/archives")
     blocks = scratch.write(warc.index_blocks(warc.capture_entries(files)), "index")
-    found = warc.read_ranges(warc.read_entries(blocks), files)
+    found = warc.read_ranges(warc.find(blocks, pages))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -1,25 +1,31 @@
 """WARC archives of pages, and a two-level capture index over them.
 
-Archives are written and read by Spark's own file sources, so they may lie in any store Spark reaches.
-A record is one row of a text file whose line separator is the blank line that ends a record; read
-back, a file is one binary row, of which the index names byte ranges after unpacking.
+A record is a gzip member of its own, as web archives have it, so that its byte range alone gives it. Archives are written by
+Spark's text source: a member is a row without its last byte, which the line separator supplies. They are scanned
+for the index as whole files of a bounded size; captures are then read by their ranges alone.
 """
 
 from __future__ import annotations
 
 import gzip
 import hashlib
+import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placelake.llm.common import BROADCAST_BYTES
 from placelake.llm.url_filter import lower_ascii
 
 _END = "\r\n\r\n"
+#: The last byte of a member: of its unpacked size, whose highest byte is zero below 16 MB.
+_LAST = "\0"
+_SCANNED, _SALTS = 1 << 16, 16
+#: Ranges no further apart are read at once, in reads of about this size at most.
+_READ_GAP, _READ_BYTES = 4096, 4 << 20
 # Ids pass through Python as text: as numbers with nulls among them they would become inexact.
 _ENTRY = ("key string, page_id string, record_type string, digest string, payload_bytes long, refers_to string, "
           "file string, offset long, length long")
@@ -38,9 +44,14 @@ def reversed_host_key(url: Column) -> Column:
     return F.coalesce(F.url_encode(turned), F.lit(""))
 
 
+def header_uri(url: Column) -> Column:
+    """The URL as a record's header holds it, in one line; null is empty."""
+    return F.coalesce(F.replace(F.replace(url.cast("string"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")), F.lit(""))
+
+
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
             least: int = 1000) -> DataFrame:
-    """A row per page: key, page_id, payload, its size and digest, record type and what it refers to.
+    """A row per page: uri, page_id, payload, its size and digest, record type and what it refers to.
 
     Of pages with equal payloads of at least ``least`` bytes, the one with the largest id is the response
     and the others revisit it; rows that share this id are all responses. Smaller payloads are all
@@ -56,39 +67,51 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     rows = rows.join(first.filter("n > 1 AND target IS NOT NULL").select("digest", "target"), "digest", "left")
     again = F.coalesce((F.col("target").isNotNull()) & ~F.col("page_id").eqNullSafe(F.col("target")), F.lit(False))
     return rows.select(
-        reversed_host_key(F.col("url")).alias("key"), "page_id", "payload", "payload_bytes", "digest",
+        header_uri(F.col("url")).alias("uri"), "page_id", "payload", "payload_bytes", "digest",
         F.when(again, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
         F.when(again, F.col("target")).alias("refers_to"),
     )
 
 
 def record_text(date: str) -> Column:
-    """A record without the blank line that ends it. Revisits have no payload of their own."""
+    """A record. Revisits have no payload of their own."""
     body = F.when(F.col("record_type") == "revisit", F.lit("")).otherwise(F.col("payload"))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
     lines = [
         F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.col("record_type")),
         F.concat(F.lit("WARC-Record-ID: <urn:page:"), page, F.lit(">")),
-        F.concat(F.lit("WARC-Target-URI: "), F.col("key")), F.lit(f"WARC-Date: {date}"),
+        F.concat(F.lit("WARC-Target-URI: "), F.col("uri")), F.lit(f"WARC-Date: {date}"),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
         F.concat(F.lit("WARC-Payload-Bytes: "), F.col("payload_bytes").cast("string")),
         F.when(F.col("record_type") == "revisit", F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
         F.lit("Content-Type: text/html; charset=utf-8"),
         F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string")),
     ]
-    return F.concat(F.concat_ws("\r\n", *lines), F.lit(_END), body)
+    return F.concat(F.concat_ws("\r\n", *lines), F.lit(_END), body, F.lit(_END))
+
+
+def _member(record: bytes) -> bytes:
+    """A record as a gzip member whose last byte is zero; for a very large one, an empty member follows that has it."""
+    packed = gzip.compress(record, 6, mtime=0)
+    return packed if packed[-1] == 0 else packed + gzip.compress(b"", 6, mtime=0)
+
+
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"member": [_member(r.encode("utf-8", "surrogatepass"))[:-1] for r in batch["value"]]})
 
 
 def write_archives(rows: DataFrame, path: str, file_bytes: int = 16 << 20, date: str = "2024-01-01T00:00:00Z") -> None:
     """Write records as WARC files of about ``file_bytes`` before compression.
 
     The partitions of the records are kept, and cut into files by a number of records that comes from their
-    mean size. A file is one gzip stream, as Spark's text files are; ranges are in what it unpacks to.
+    mean size. Every record is a gzip member, and a file is what any reader of such archives takes.
     """
     mean = rows.agg(F.avg("payload_bytes")).first()[0] or 0
     records_per_file = max(1, int(file_bytes // (mean + 500)))
-    (rows.select(record_text(date).alias("value")).write.option("lineSep", _END)
-     .option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path))
+    members = rows.select(record_text(date).alias("value")).mapInPandas(_members, "member binary")
+    (members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", _LAST)
+     .option("maxRecordsPerFile", records_per_file).text(path))
 
 
 def archive_files(spark: SparkSession, path: str) -> DataFrame:
@@ -113,17 +136,32 @@ def _page(urn: str | None) -> str | None:
     return None if page == "none" else page
 
 
+def members(data: memoryview) -> Iterator[tuple[int, int, bytes]]:
+    """Start, length and what it unpacks to, of each member of an archive; empty members are passed over."""
+    at = 0
+    while at < len(data):
+        unpack, out, end = zlib.decompressobj(wbits=31), [], at
+        while not unpack.eof:
+            chunk = data[end:end + _SCANNED]
+            if not len(chunk):
+                raise ValueError(f"an archive's member at {at} is cut off")
+            out.append(unpack.decompress(chunk))
+            end += len(chunk) - len(unpack.unused_data)
+        record = b"".join(out)
+        if record:
+            yield at, end - at, record
+        at = end
+
+
 def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for file, content in zip(batch["path"], batch["content"]):
-            data, at, rows = memoryview(gzip.decompress(content)), 0, []
-            while at < len(data):
-                fields, body = parse_header(data[at:])
-                length = body + int(fields["Content-Length"])
+            rows = []
+            for at, length, record in members(memoryview(content)):
+                fields, _ = parse_header(record)
                 rows.append((fields["WARC-Target-URI"], _page(fields["WARC-Record-ID"]), fields["WARC-Type"],
                              fields["WARC-Payload-Digest"].removeprefix("sha1:"), int(fields["WARC-Payload-Bytes"]),
                              _page(fields.get("WARC-Refers-To")), file, at, length))
-                at += length + len(_END)
             yield _frame(rows)
 
 
@@ -137,7 +175,8 @@ def _with_numbers(df: DataFrame) -> DataFrame:
 
 def capture_entries(files: DataFrame) -> DataFrame:
     """A row per record of the archives: what its header says and its byte range."""
-    return _with_numbers(files.select("path", "content").mapInPandas(_entries, _ENTRY))
+    found = _with_numbers(files.select("path", "content").mapInPandas(_entries, _ENTRY))
+    return found.withColumn("key", reversed_host_key(F.col("key")))  # made of the URL that the header gives
 
 
 def _blocks(block_lines: int):
@@ -197,60 +236,92 @@ def read_entries(blocks: DataFrame) -> DataFrame:
     return _with_numbers(blocks.select("lines").mapInPandas(_unpacked, _ENTRY))
 
 
-def find(blocks: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """The entries of wanted URLs: a binary search in the directory, then in the blocks it names.
+def named_blocks(blocks: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """The blocks (part, block) that may hold captures of wanted URLs, by binary search in two steps.
 
-    The directory has a row per few thousand captures. It is searched on the executors as a broadcast
-    list if it lies within a measured bound, else joined by key range prefixes of the wanted keys.
+    Of each range partition of the index, the executors hold the key range, and find the parts of each wanted key. Then keys
+    and directory meet part by part, keys of a part spread over a few tasks, and are searched in the directory's rows.
     """
-    wanted = urls.select(reversed_host_key(F.col(f"`{url_col}`")).alias("key")).distinct()
-    rows = directory(blocks)
-    size = rows.agg(F.sum(F.length("first_key") + F.length("last_key") + 24)).first()[0] or 0
-    if size > BROADCAST_BYTES:
-        return read_entries(blocks).join(wanted, "key", "left_semi")
-    known = sorted((r["first_key"], r["last_key"], r["part"], r["block"]) for r in rows.toLocalIterator())
-    held = urls.sparkSession.sparkContext.broadcast(known)
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        top = held.value
+    wanted, rows = wanted_keys(urls, url_col), directory(blocks)
+    edges = rows.groupBy("part").agg(F.min("first_key").alias("first"), F.max("last_key").alias("last"))
+    top = sorted((r["first"], r["last"], r["part"]) for r in edges.collect())  # a row per partition of the index's sort
+    held = urls.sparkSession.sparkContext.broadcast(top)
+
+    def parts_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hits = []
-            for key in batch["key"]:
-                # Blocks are disjoint but for shared edge keys: those starting at or before the key, backwards.
-                k = bisect_right(top, (key, "\U0010ffff")) - 1
-                while k >= 0 and top[k][1] >= key:
-                    hits.append((key, top[k][2], top[k][3]))
-                    k -= 1
-            yield pd.DataFrame(hits, columns=["key", "part", "block"])
+            hits = [(key, part) for key in batch["key"] for part in _around(held.value, key)]
+            yield pd.DataFrame(hits, columns=["key", "part"])
+
+    def blocks_of(keys: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        order = sorted(zip(own["first_key"], own["last_key"], own["block"]))
+        hits = {block for key in keys["key"] for block in _around(order, key)} if len(keys) else set()
+        return pd.DataFrame({"part": [int(own["part"].iloc[0])] * len(hits), "block": sorted(hits)}, columns=["part", "block"])
+
+    salted = wanted.mapInPandas(parts_of, "key string, part int").withColumn("salt", F.pmod(F.hash("key"), F.lit(_SALTS)))
+    copies = rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    met = salted.groupBy("part", "salt").cogroup(copies.groupBy("part", "salt")).applyInPandas(blocks_of, "part int, block int")
+    return met.distinct()
+
+
+def _around(order: list[tuple], key: str) -> Iterator[int]:
+    """The third of each (first, last, number) whose range has the key. Ranges are disjoint but for shared edge keys."""
+    k = bisect_right(order, key, key=lambda r: r[0]) - 1
+    while k >= 0 and order[k][1] >= key:
+        yield order[k][2]
+        k -= 1
+
+
+def wanted_keys(urls: DataFrame, url_col: str = "url") -> DataFrame:
+    return urls.select(reversed_host_key(header_uri(F.col(f"`{url_col}`"))).alias("key")).distinct()
+
+
+def find(blocks: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """The entries of wanted URLs: only the blocks that the directory names are unpacked, at any size. Null URL: the empty one."""
+    chosen = blocks.join(named_blocks(blocks, urls, url_col), ["part", "block"], "left_semi")
+    return read_entries(chosen).join(wanted_keys(urls, url_col), "key", "left_semi")
+
 
-    named = wanted.mapInPandas(search, "key string, part int, block int")
-    chosen = blocks.join(named.select("part", "block").distinct(), ["part", "block"], "left_semi")
-    return read_entries(chosen).join(wanted, "key", "left_semi")
+def runs_of(offsets: list[int], lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """First and last places of ranges, in order of their offsets, that one read takes."""
+    first = 0
+    for k in range(1, len(offsets) + 1):
+        if (k == len(offsets) or offsets[k] > offsets[k - 1] + lengths[k - 1] + _READ_GAP
+                or offsets[k] + lengths[k] - offsets[first] > _READ_BYTES):
+            yield first, k - 1
+            first = k
 
 
 def _fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for file, content, ranges in zip(batch["path"], batch["content"], batch["ranges"]):
-            data, rows = memoryview(gzip.decompress(content)), []
-            for r in ranges:
-                record = data[r["offset"]:r["offset"] + r["length"]]
-                fields, body = parse_header(record)
-                if fields["WARC-Type"] != r["record_type"] or _page(fields["WARC-Record-ID"]) != r["page_id"]:
-                    raise ValueError(f"the index names another record at {file}:{r['offset']}")
-                payload = bytes(record[body:])
-                if r["record_type"] == "response" and hashlib.sha1(payload).hexdigest() != r["digest"]:
-                    raise ValueError(f"payload of {file}:{r['offset']} differs from its digest")
-                rows.append((_page(fields["WARC-Record-ID"]), fields["WARC-Type"], r["digest"], int(fields["WARC-Payload-Bytes"]),
-                             _page(fields.get("WARC-Refers-To")), payload))
-            yield pd.DataFrame(rows, columns=["page_id", "record_type", "payload_digest", "payload_bytes", "refers_to", "payload"])
-
-
-def read_ranges(entries: DataFrame, files: DataFrame) -> DataFrame:
+        for file, own in batch.groupby("file", sort=False):
+            store, path = FileSystem.from_uri(file)
+            rows = own.to_dict("records")
+            with store.open_input_file(path) as archive:
+                for a, b in runs_of(own["offset"].tolist(), own["length"].tolist()):
+                    start = rows[a]["offset"]
+                    data = archive.read_at(rows[b]["offset"] + rows[b]["length"] - start, start)
+                    yield pd.DataFrame([_record(r, data[r["offset"] - start:r["offset"] - start + r["length"]]) for r in rows[a:b + 1]],
+                                       columns=["page_id", "record_type", "payload_digest", "payload_bytes", "refers_to", "payload"])
+
+
+def _record(entry: dict, member: bytes) -> tuple:
+    record = gzip.decompress(member)
+    fields, body = parse_header(record)
+    payload = record[body:body + int(fields["Content-Length"])]
+    page = None if pd.isna(entry["page_id"]) else entry["page_id"]
+    if fields["WARC-Type"] != entry["record_type"] or _page(fields["WARC-Record-ID"]) != page:
+        raise ValueError(f"the index names another record at {entry['file']}:{entry['offset']}")
+    if entry["record_type"] == "response" and hashlib.sha1(payload).hexdigest() != entry["digest"]:
+        raise ValueError(f"payload of {entry['file']}:{entry['offset']} differs from its digest")
+    return (page, fields["WARC-Type"], entry["digest"], int(fields["WARC-Payload-Bytes"]), _page(fields.get("WARC-Refers-To")), payload)
+
+
+def read_ranges(entries: DataFrame) -> DataFrame:
     """The records that index entries name, read by byte range and checked against their digests.
 
-    A task holds one archive file and the entries of that file, both bounded by the file's size.
+    The archives must lie in a store that Arrow's file systems reach, as local paths, HDFS and the common object stores are. A task
+    goes through a file's ranges in order; it holds one read of neighbouring ranges.
     """
-    fields = F.struct("offset", "length", "record_type", F.col("page_id").cast("string").alias("page_id"), "digest")
-    ranges = entries.groupBy(F.col("file").alias("path")).agg(F.collect_list(fields).alias("ranges"))
-    return _with_numbers(files.select("path", "content").join(ranges, "path").mapInPandas(
+    ranges = entries.select("file", "offset", "length", "record_type", F.col("page_id").cast("string").alias("page_id"), "digest")
+    return _with_numbers(ranges.repartition("file").sortWithinPartitions("file", "offset").mapInPandas(
         _fetched, "page_id string, record_type string, payload_digest string, payload_bytes long, refers_to string, payload binary"))

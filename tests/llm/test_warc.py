@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 
 import pytest
@@ -39,7 +40,7 @@ def written(pages, scratch, file_bytes=4000):
 def test_round_trip_through_the_index(pages, scratch):
     files, blocks = written(pages, scratch)
     assert files.count() > 3 and blocks.count() > 3
-    rows = warc.read_ranges(warc.read_entries(blocks), files).collect()
+    rows = warc.read_ranges(warc.read_entries(blocks)).collect()
     got = sorted(((-1 if r["page_id"] is None else r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])
                   for r in rows), key=repr)
     assert got == brute([(r["page_id"], r["html"]) for r in pages.collect()])
@@ -47,12 +48,45 @@ def test_round_trip_through_the_index(pages, scratch):
     assert all(bytes(r["payload"]).decode() == texts[r["page_id"]] for r in rows if r["record_type"] == "response" and r["page_id"] is not None)
 
 
-@pytest.mark.parametrize("bound", [warc.BROADCAST_BYTES, 0])
-def test_find_by_url(spark, pages, scratch, bound, monkeypatch):
-    monkeypatch.setattr(warc, "BROADCAST_BYTES", bound)
-    _, blocks = written(pages, scratch)
+def test_find_reads_named_blocks_and_bytes_only(spark, pages, scratch):
+    files, blocks = written(pages, scratch)
     wanted = spark.createDataFrame([("http://A.example.com/x",), ("http://c.net/",), ("http://none.net/",)], "url string")
-    assert sorted(r["page_id"] for r in warc.find(blocks, wanted).collect()) == [1, 7, 8, 9, 10]
+    found = warc.find(blocks, wanted)
+    entries = found.collect()
+    assert sorted(r["page_id"] for r in entries) == [1, 7, 8, 9, 10]
+    named = {(r["part"], r["block"]) for r in warc.named_blocks(blocks, wanted).collect()}
+    keys = [r["key"] for r in warc.wanted_keys(wanted).collect()]
+    assert named == {(r["part"], r["block"]) for r in blocks.collect() if any(r["first_key"] <= k <= r["last_key"] for k in keys)}
+    assert 0 < len(named) < blocks.count()
+    assert sorted(r["page_id"] for r in warc.read_ranges(found).collect()) == [1, 7, 8, 9, 10]
+    by_file = {}
+    for r in sorted(entries, key=lambda r: r["offset"]):
+        by_file.setdefault(r["file"], []).append((r["offset"], r["length"]))
+    read = sum(own[b][0] + own[b][1] - own[a][0] for own in by_file.values() for a, b in warc.runs_of([o for o, _ in own], [n for _, n in own]))
+    assert read < sum(r["length"] for r in files.select("length").collect()) + 1
+    assert all(r["key"] in keys for r in entries)
+
+
+def test_reads_join_near_ranges():
+    assert list(warc.runs_of([0, 10, 9000, 9010], [10, 5, 5, 5])) == [(0, 1), (2, 3)]
+    assert list(warc.runs_of([0, 3 << 20], [3 << 20, 3 << 20])) == [(0, 0), (1, 1)] and list(warc.runs_of([], [])) == []
+
+
+def test_archives_are_plain_gzip_with_urls(pages, scratch):
+    files, _ = written(pages, scratch)
+    text = b"".join(gzip.decompress(bytes(r["content"])) for r in files.collect()).decode()
+    assert text.count("WARC/1.1\r\n") == pages.count() and "WARC-Target-URI: http://b.example.com/x\r\n" in text
+    assert "WARC-Target-URI: https://Z.org/\u00e4?q=1%0A2\r\n" in text and "WARC-Target-URI: \r\n" in text
+
+
+def test_a_very_large_record_ends_in_an_empty_member():
+    large = bytes(17 << 20)
+    packed = warc._member(large)
+    assert packed[-1] == 0 and gzip.decompress(packed) == large
+    found = list(warc.members(memoryview(packed + warc._member(b"next"))))
+    assert [len(r) for _, _, r in found] == [17 << 20, 4] and gzip.decompress(packed[:found[0][1]]) == large
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.members(memoryview(packed[:50])))
 
 
 def test_keys_of_a_domain_are_neighbours(spark):
@@ -63,7 +97,8 @@ def test_keys_of_a_domain_are_neighbours(spark):
 
 def test_no_pages(spark, pages, scratch):
     files, blocks = written(pages.filter("false"), scratch)
-    assert warc.read_ranges(warc.read_entries(blocks), files).count() == 0
+    assert files.count() == 0 or warc.read_ranges(warc.read_entries(blocks)).count() == 0
+    assert warc.read_ranges(warc.find(blocks, pages)).count() == 0
 
 
 def test_query_equals_brute_force(spark):
