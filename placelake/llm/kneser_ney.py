@@ -1,8 +1,9 @@
 """Quality classifier: perplexity under a modified Kneser-Ney model of trusted text.
 
-The model is interpolated, of three words, and fitted on a bounded sample of trusted documents. All
-documents are scored; a document is kept if its perplexity lies within a quantile of the trusted
-documents of its language that the model has not seen.
+The model is interpolated, of three words, and counts every trusted document of three quarters, by a
+hash of the id. It stays a table, and scoring is a join of n-grams with it. All documents are scored; a
+document is kept if its perplexity lies within a quantile of the trusted documents of its language that
+the model has not seen.
 """
 
 from __future__ import annotations
@@ -12,15 +13,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placelake.llm.common import NO_ID, Scratch, plain_id, text_of
+from placelake.llm.common import BROADCAST_BYTES, NO_ID, Scratch, plain_id, text_of
 from placelake.llm.words import mix, word_hashes
 
 #: Salts of the n-gram hashes of each order, and the marks around a text.
 _SALTS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F, 0xD1342543DE82EF95], dtype=np.uint64)
 _START, _STOP = np.uint64(1), np.uint64(2)
+#: N-grams that a task counts before it passes them on.
+_BLOCK = 500_000
 
 
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -36,17 +39,37 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(mix(a + _SALTS[1]) * _SALTS[0] + b)
 
 
+def _start_keys() -> tuple[int, int]:
+    """The hashes of the one and the two marks before a text."""
+    start = np.array([_START])
+    return tuple(int(x.view(np.int64)[0]) for x in (mix(start + _SALTS[0]), pair(start, start)))
+
+
+_GRAMS = "w long, v long, vw long, uv long, uvw long, n long"
+
+
 def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    before = np.array(_start_keys(), dtype=np.int64).view(np.uint64)
+    waiting: list[np.ndarray] = []
+    held = 0
+
+    def counted() -> pd.DataFrame:
+        w, v, vw, uv, uvw = np.concatenate(waiting, axis=1).view(np.int64)
+        key, at, n = np.unique(uvw, return_index=True, return_counts=True)
+        return pd.DataFrame({"w": w[at], "v": v[at], "vw": vw[at], "uv": uv[at], "uvw": key, "n": n})
+
     for batch in batches:
         for text in batch["text"]:
-            hashes = word_hashes(text.encode("utf-8", "surrogatepass").lower())
-            w3 = np.concatenate([hashes, [_STOP]]).astype(np.uint64)
-            padded = np.concatenate([[_START, _START], w3]).astype(np.uint64)
-            w2, w1 = padded[1:-1], padded[:-2]
             one, two, three = ngrams(text)
-            yield pd.DataFrame({
-                "w": one.view(np.int64), "v": mix(w2 + _SALTS[0]).view(np.int64), "vw": two.view(np.int64),
-                "uv": pair(w1, w2).view(np.int64), "uvw": three.view(np.int64)})
+            v, uv = np.concatenate([before[:1], one[:-1]]), np.concatenate([before[1:], two[:-1]])
+            waiting.append(np.stack([one, v, two, uv, three]))
+            held += len(one)
+            if held >= _BLOCK:
+                yield counted()
+                waiting.clear()
+                held = 0
+    if waiting:
+        yield counted()
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -69,19 +92,53 @@ def discounts(n: list[int]) -> list[float]:
     return made
 
 
-def _parts(counts: DataFrame, key: str, context: str | None) -> tuple[DataFrame, DataFrame]:
-    """Of n-gram counts: (key, share) of what discounting leaves, and (context, weight) of what it frees."""
-    d = _discounts(counts)
-    off = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-    by = [context] if context else []
-    sums = counts.groupBy(*by).agg(F.sum("c").alias("total"), F.sum(off).alias("off"))
-    weights = sums.select(*by, (F.col("off") / F.col("total")).alias("weight"), "total")
-    if context:
-        shares = counts.join(weights.select(context, "total"), context)
-    else:
-        total = weights.first()
-        shares = counts.withColumn("total", F.lit(total["total"] if total and total["total"] else 1))
-    return shares.select(F.col(key).alias("key"), ((F.col("c") - off) / F.col("total")).alias("share")), weights
+def _off(d: list[float]) -> Column:
+    """What is taken off a count ``c``."""
+    return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+
+
+@dataclass
+class Order:
+    """N-grams of one length with their counts ``c``, and what discounting leaves and frees."""
+
+    counts: DataFrame  # the n-grams' hashes, c, and how often each occurs (n)
+    weights: DataFrame  # (context, weight, total), or one row without a context
+    off: Column
+
+    def shares(self, context: str) -> DataFrame:
+        """The counts with ``share``, and their context's ``weight``."""
+        return self.counts.join(self.weights, context).withColumn("share", (F.col("c") - self.off) / F.col("total"))
+
+
+def _order(counts: DataFrame, scratch: Scratch, *context: str) -> Order:
+    off = _off(_discounts(counts))
+    sums = counts.groupBy(*context).agg(F.sum("c").alias("total"), F.sum(off).alias("off"))
+    weights = sums.select(*context, (F.col("off") / F.col("total")).alias("weight"), "total")
+    return Order(counts, scratch.write(weights, "weights-" + "".join(context)), off)
+
+
+@dataclass
+class Tables:
+    """The whole model as tables: n-grams of three, two and one word."""
+
+    three: Order
+    two: Order
+    one: DataFrame  # (w, n, share)
+    unseen: float  # probability of a word that was never seen, before interpolation
+
+
+def count(texts: DataFrame, scratch: Scratch) -> Tables:
+    """Count column ``text``. Counting and joining run over n-gram hashes in Spark; nothing is collected but sums."""
+    grams = texts.select("text").mapInPandas(_grams, _GRAMS)
+    three = scratch.write(grams.groupBy("w", "v", "vw", "uv", "uvw").agg(F.sum("n").alias("c")).withColumn("n", F.col("c")), "three")
+    two = scratch.write(three.groupBy("w", "v", "vw").agg(F.count("*").alias("c"), F.sum("n").alias("n")), "two")
+    one = scratch.write(two.groupBy("w").agg(F.count("*").alias("c"), F.sum("n").alias("n")), "one")
+    words = _order(one, scratch)
+    all_words = words.weights.first()
+    total = all_words["total"] or 1
+    unseen = (1.0 if all_words["weight"] is None else all_words["weight"]) / (one.count() + 1)
+    shares = one.select("w", "n", ((F.col("c") - words.off) / F.lit(total)).alias("share"))
+    return Tables(_order(three, scratch, "uv"), _order(two, scratch, "v"), shares, float(unseen))
 
 
 class Shards:
@@ -149,55 +206,135 @@ class Model:
 
 
 def fit(texts: DataFrame, scratch: Scratch) -> Model:
-    """Fit on column ``text`` of a bounded table. Counting and joining run over n-gram hashes in Spark."""
-    grams = texts.select("text").mapInPandas(_grams, "w long, v long, vw long, uv long, uvw long")
-    three = scratch.write(grams.groupBy("w", "v", "vw", "uv", "uvw").agg(F.count("*").alias("c")), "three")
-    two = scratch.write(three.groupBy("w", "v", "vw").agg(F.count("*").alias("c")), "two")
-    one = two.groupBy("w").agg(F.count("*").alias("c"))
-    shares3, weights3 = _parts(three, "uvw", "uv")
-    shares2, weights2 = _parts(two, "vw", "v")
-    shares1, weights1 = _parts(one, "w", None)
-    free = weights1.first()
-    words = one.count()
-    unseen = (free["weight"] if free and free["weight"] is not None else 1.0) / (words + 1)
+    """Fit on column ``text`` of a small table, and collect the model; ``classify`` keeps it in tables instead."""
+    found = count(texts, scratch)
     empty = F.lit(0.0).alias("weight")
     orders = [
-        shares1.join(weights2.select(F.col("v").alias("key"), "weight"), "key", "full"),
-        shares2.join(weights3.select(F.col("uv").alias("key"), "weight"), "key", "full"),
-        shares3.select("key", "share", empty),
+        found.one.select(F.col("w").alias("key"), "share")
+        .join(found.two.weights.select(F.col("v").alias("key"), "weight"), "key", "full"),
+        found.two.shares("v").select(F.col("vw").alias("key"), "share")
+        .join(found.three.weights.select(F.col("uv").alias("key"), "weight"), "key", "full"),
+        found.three.shares("uv").select(F.col("uvw").alias("key"), "share", empty),
     ]
-    return Model([Shards(x.na.fill(0.0).toPandas()) for x in orders], float(unseen))
+    return Model([Shards(x.na.fill(0.0).toPandas()) for x in orders], found.unseen)
+
 
+@dataclass
+class Values:
+    """The model as a sum: a text's log10 probability is ``each`` per token, ``start``, and a value per known n-gram.
 
-_SCORED = "doc_id long, lang string, seen boolean, n_tokens long, log10_p double"
+    Interpolated, the probability of a word is that of the longest known n-gram which ends with it, times
+    the weights of the longer known contexts. So every n-gram that occurs stands for a number of its own: its
+    log probability and, as a context, its log weight, less what its shorter n-grams already add.
+    """
 
+    table: DataFrame  # (key, value, n)
+    each: float
+    start: float
+
+
+def values(texts: DataFrame, scratch: Scratch) -> Values:
+    """Fit on column ``text``; the table has a row for every n-gram of up to three words."""
+    found = count(texts, scratch)
+    ones = found.one.select("w", "n", (F.col("share") + found.unseen).alias("p1"))
+    context1 = found.two.weights.select(F.col("v").alias("w"), F.col("weight").alias("then"))
+    table1 = ones.join(context1, "w", "left").select(
+        F.col("w").alias("key"), (F.log10(F.col("p1")) - float(np.log10(found.unseen)) + F.coalesce(F.log10(F.col("then")), F.lit(0.0))).alias("value"), "n")
+    twos = found.two.shares("v").join(ones.select("w", "p1"), "w").withColumn("p2", F.col("share") + F.col("weight") * F.col("p1"))
+    twos = twos.select("vw", "n", "p2", (F.log10(F.col("p2")) - F.log10(F.col("weight")) - F.log10(F.col("p1"))).alias("own"))
+    twos = scratch.write(twos, "two-p")
+    context2 = found.three.weights.select(F.col("uv").alias("vw"), F.col("weight").alias("then"))
+    table2 = twos.join(context2, "vw", "left").select(
+        F.col("vw").alias("key"), (F.col("own") + F.coalesce(F.log10(F.col("then")), F.lit(0.0))).alias("value"), "n")
+    threes = found.three.shares("uv").select("uvw", "vw", "n", "share", "weight").join(twos.select("vw", "p2"), "vw")
+    table3 = threes.select(F.col("uvw").alias("key"), (F.log10(F.col("share") + F.col("weight") * F.col("p2"))
+                                                       - F.log10(F.col("weight")) - F.log10(F.col("p2"))).alias("value"), "n")
+    table = table1.unionAll(table2).unionAll(table3).withColumn("value", F.col("value").cast("float"))
+    table = scratch.write(table, "values")
+    first1, first2 = _start_keys()
+    begins = [found.two.weights.filter(F.col("v") == first1).first(), found.three.weights.filter(F.col("uv") == first2).first()]
+    scratch.drop("three", "two", "one", "two-p", "weights-", "weights-v", "weights-uv")
+    return Values(table, float(np.log10(found.unseen)), float(sum(np.log10(x["weight"]) for x in begins if x)))
+
+
+def frequent(table: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The most frequent n-grams, ``most`` at most, and the others: whole steps of frequency go one way."""
+    step = F.floor(8 * F.log2("n"))
+    sizes = table.groupBy(step.alias("step")).count().toPandas().sort_values("step", ascending=False)
+    within = sizes["step"][sizes["count"].cumsum() <= most]
+    above = step >= (int(within.min()) if len(within) else 1 << 30)
+    return table.filter(above), table.filter(~above)
+
+
+_SCORED = "key long, doc_id long, lang string, seen boolean, n_tokens long, part double"
+
+
+def score(rows: DataFrame, model: Values, held: int = 200_000) -> DataFrame:
+    """Add ``n_tokens`` and ``log10_p`` to rows of (doc_id, lang, seen, text).
+
+    Tasks hold the values of the most frequent n-grams, ``held`` at most; the other n-grams of the texts
+    are joined with the model's table by their hashes and summed by row, so every n-gram has its value.
+    """
+    often, others = frequent(model.table, held)
+    near = Shards(often.select("key", F.col("value").alias("share"), F.lit(0.0).alias("weight")).toPandas())
+    near = rows.sparkSession.sparkContext.broadcast(near)
+    numbered = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    numbered = numbered.withColumn("key", F.xxhash64("doc_id", "text"))
 
-def score(rows: DataFrame, model: Model) -> DataFrame:
-    """Add ``n_tokens`` and ``log10_p`` to rows of (doc_id, lang, seen, text)."""
-    sc = rows.sparkSession.sparkContext
-    shards, unseen = [sc.broadcast(x) for x in model.orders], model.unseen
+    def looked_up(text: str) -> tuple[int, np.ndarray, np.ndarray]:
+        grams = ngrams(text)
+        keys = np.concatenate(grams)
+        return len(grams[0]), keys, near.value.find(keys)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Model([x.value for x in shards], unseen)
+    def near_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            scored = [own.log10(t) for t in batch["text"]]
-            out = batch.drop(columns="text")
-            out["n_tokens"], out["log10_p"] = [x[1] for x in scored], [x[0] for x in scored]
+            out, found = batch.drop(columns="text"), []
+            for text in batch["text"]:
+                n, _, at = looked_up(text)
+                found.append((n, float(near.value.share[at[at >= 0]].sum(dtype=np.float64))))
+            out["n_tokens"], out["part"] = [x[0] for x in found], [x[1] for x in found]
             yield out
 
-    numbered = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    return numbered.mapInPandas(run, _SCORED).withColumn("doc_id", plain_id("doc_id"))
+    def far_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[tuple[int, np.ndarray]] = []
+        n = 0
+
+        def gathered() -> pd.DataFrame:
+            rows = np.repeat(np.array([x[0] for x in waiting], dtype=np.int64), [len(x[1]) for x in waiting])
+            return pd.DataFrame({"row": rows, "key": np.concatenate([x[1] for x in waiting])})
+
+        for batch in batches:
+            for row, text in zip(batch["key"], batch["text"]):
+                _, keys, at = looked_up(text)
+                waiting.append((row, keys[at < 0].view(np.int64)))
+                n += len(waiting[-1][1])
+                if n >= _BLOCK:
+                    yield gathered()
+                    waiting.clear()
+                    n = 0
+        if n:
+            yield gathered()
+
+    far = numbered.select("key", "text").mapInPandas(far_grams, "row long, key long")
+    sums = (far.join(others.select("key", "value"), "key").groupBy(F.col("row").alias("key"))
+            .agg(F.sum(F.col("value").cast("double")).alias("far")))
+    scored = numbered.select("key", "doc_id", "lang", "seen", "text").mapInPandas(near_part, _SCORED)
+    # Rows of one id and text share a key, so their n-grams are summed together.
+    copies = F.count("*").over(Window.partitionBy("key"))
+    log10_p = (F.col("n_tokens") * F.lit(model.each) + F.lit(model.start) + F.col("part")
+               + F.coalesce(F.col("far") / F.col("copies"), F.lit(0.0)))
+    return scored.join(sums, "key", "left").withColumn("copies", copies).select(
+        plain_id("doc_id").alias("doc_id"), "lang", "seen", "n_tokens", log10_p.alias("log10_p"))
 
 
 def classify(docs: DataFrame, trusted: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang", max_train: int = 500, quantile: float = 0.99) -> DataFrame:
+             lang_col: str = "lang", quantile: float = 0.99) -> DataFrame:
     """A row per document: doc_id, lang, n_tokens, log10_p, perplexity, limit and kept.
 
-    ``trusted`` has the ids of trusted documents. Three quarters of them, by a hash, may train the model,
-    ``max_train`` documents at most, those with the smallest hashes: a bound on the model's size. The
+    ``trusted`` has the ids of trusted documents. Three quarters of them, by a hash, all train the model. The
     limit of a language is the ``quantile`` of the perplexities of its trusted documents of the last
-    quarter, over all of them; a language without such takes that of all languages, and without any
-    trusted document every document is kept.
+    quarter, over all of them, since the model knows those it was trained on; a language without such takes
+    that of all languages, and without any trusted document every document is kept.
 
     Null and empty texts have the end as their only token. A null id is never trusted; a null language
     is one of its own. Repeated rows are judged each. An empty table gives no rows. Other columns are
@@ -208,9 +345,10 @@ def classify(docs: DataFrame, trusted: DataFrame, scratch: Scratch, id_col: str
     part = F.xxhash64(F.coalesce("doc_id", F.lit(NO_ID)), F.lit("part"))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{lang_col}`").cast("string").alias("lang"),
                        text_of(text_col).alias("text"), part.alias("part"))
-    chosen = (known.select("doc_id", part.alias("part")).filter(F.pmod("part", F.lit(4)) != 0)
-              .orderBy("part", "doc_id").limit(max_train).select("doc_id"))
-    model = fit(rows.join(F.broadcast(chosen), "doc_id", "left_semi"), scratch)
+    chosen = known.select("doc_id", part.alias("part")).filter(F.pmod("part", F.lit(4)) != 0).select("doc_id")
+    if 8 * chosen.count() <= BROADCAST_BYTES:
+        chosen = F.broadcast(chosen)
+    model = values(rows.join(chosen, "doc_id", "left_semi"), scratch)
     scored = scratch.write(score(rows.select(
         "doc_id", "lang", (F.pmod("part", F.lit(4)) != 0).alias("seen"), "text"), model), "scored")
     ppl = F.pow(F.lit(10.0), -F.col("log10_p") / F.col("n_tokens"))

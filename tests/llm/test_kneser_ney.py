@@ -1,5 +1,7 @@
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from placelake.llm import kneser_ney as kn
 from placelake.llm import queries
@@ -63,3 +65,46 @@ def test_discounts():
         assert 0 < d[0] <= d[1] <= d[2] and all(x < k for k, x in enumerate(d, 1))
     assert kn.discounts([0, 0, 0, 0]) == [0.5] * 3
     assert kn.discounts([10, 5, 3, 0]) == [0.5] * 3 and kn.discounts([1, 6, 1, 0]) == [1 / 13] * 3
+
+
+def _mixed_texts(n):
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{int(k)}" for k in rng.zipf(1.3, 40 * n) % 5000])
+    return [(k, " ".join(words[40 * k:40 * k + 1 + k % 40])) for k in range(n)]
+
+
+def test_every_trusted_document_of_three_quarters_trains(make_docs, spark, scratch):
+    """Far more trusted documents than 500: the scores are those of a model fitted on all that may train."""
+    docs = make_docs(_mixed_texts(2000))
+    rows = kn.classify(docs, docs.filter("doc_id % 10 != 0").select("doc_id"), scratch).collect()
+    part = "pmod(xxhash64(doc_id, 'part'), 4) != 0"
+    trained = docs.filter("doc_id % 10 != 0").filter(part)
+    model = kn.fit(trained, Scratch(spark, "small"))
+    assert trained.count() > 1200 and len(rows) == 2000
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    for r in rows:
+        want, n = model.log10(texts[r["doc_id"]])
+        assert r["n_tokens"] == n and r["log10_p"] == pytest.approx(want, rel=1e-4, abs=1e-3)
+
+
+@pytest.mark.parametrize("held", [0, 5, 60, 10**6])
+def test_values_sum_to_the_models_probability(spark, held):
+    """Whatever tasks hold, and for repeated rows, rows of one id, unknown words and empty texts."""
+    texts = ["the cat sat on the mat", "the cat ran", "a dog sat on the cat", "the dog ran on", "a mat on a mat", "the cat sat", ""]
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = kn.fit(train, Scratch(spark, "whole"))
+    asked = [(1, "the cat sat"), (1, "the cat sat"), (1, "zebra the mat"), (2, ""), (None, "a dog ran on the mat a mat"), (3, "zebra zebra")]
+    rows = spark.createDataFrame([(i, "en", True, t) for i, t in asked], "doc_id long, lang string, seen boolean, text string")
+    got = kn.score(rows, kn.values(train, Scratch(spark, "values")), held).orderBy(F.col("doc_id"), "n_tokens", "log10_p").collect()
+    want = sorted(((i, *reversed(model.log10(t))) for i, t in asked), key=lambda r: (r[0] is not None, r))
+    assert [(r["doc_id"], r["n_tokens"]) for r in got] == [r[:2] for r in want]
+    assert np.allclose([r["log10_p"] for r in got], [r[2] for r in want], rtol=1e-5, atol=1e-5)
+
+
+def test_counting_in_blocks_adds_up(spark, monkeypatch):
+    whole = sorted(map(tuple, kn.count(spark.createDataFrame([("a b a b a",), ("a b",)], "text string").coalesce(1),
+                                       Scratch(spark, "block")).three.counts.select("uvw", "c").collect()))
+    frames = [pd.DataFrame({"text": ["a b a b a", "a b"]})]
+    monkeypatch.setattr(kn, "_BLOCK", 1)
+    found = pd.concat(kn._grams(iter(frames))).groupby("uvw")["n"].sum()
+    assert sorted((int(k), int(c)) for k, c in found.items()) == whole
