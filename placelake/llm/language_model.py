@@ -8,6 +8,7 @@ and groups of the other words by their endings. Counts cover all training docume
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from zlib import crc32
@@ -22,6 +23,8 @@ from placelake.llm.common import NO_ID, Scratch, id_key, plain_id, text_of
 #: The end of a text; no word holds a space.
 END = b" "
 _FLUSH = 400_000
+#: Tokens of a block of texts that is scored at once.
+_SCORED_AT_ONCE = 1_000_000
 _PARAMS = ("context", "position", "output", "bias")
 
 
@@ -37,7 +40,7 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 1) -> Column:
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: dict[bytes, int] = {}
+    counts: Counter[bytes] = Counter()
     ends = 0
 
     def flushed():
@@ -45,8 +48,7 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for text in batch["text"]:
-            for word in words_of(text):
-                counts[word] = counts.get(word, 0) + 1
+            counts.update(words_of(text))
             ends += 1
             if len(counts) > _FLUSH:
                 yield flushed()
@@ -139,13 +141,18 @@ def contexts_of(classes: np.ndarray, width: int, start: int) -> np.ndarray:
 
 
 def _sum_rows(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    out = np.zeros((size, rows.shape[1]), dtype=np.float32)
-    if len(at):
-        order = np.argsort(at, kind="stable")
-        sorted_at = at[order]
-        first = np.flatnonzero(np.diff(sorted_at, prepend=-1))
-        out[sorted_at[first]] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+    width = rows.shape[1]
+    places = (at.astype(np.int64)[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(places, rows.ravel(), size * width).reshape(size, width).astype(np.float32)
+
+
+def _logistic(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)) of numbers cut at 30 either way, in their place."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def nce_step(p: dict, state: dict, contexts: np.ndarray, targets: np.ndarray, noise: np.ndarray, samples: np.ndarray,
@@ -155,32 +162,37 @@ def nce_step(p: dict, state: dict, contexts: np.ndarray, targets: np.ndarray, no
     The loss is that of telling a next class from k noise classes; Adagrad scales the steps.
     """
     n, k = len(targets), len(samples)
-    log_noise = np.log(k * noise).astype(np.float32)
-    vectors = [p["context"][contexts[:, j]] for j in range(contexts.shape[1])]
-    predicted = sum(v * p["position"][j] for j, v in enumerate(vectors))
-    true_out = p["output"][targets]
-    true_score = np.einsum("ij,ij->i", predicted, true_out) + p["bias"][targets] - log_noise[targets]
-    noise_score = predicted @ p["output"][samples].T + p["bias"][samples] - log_noise[samples]
-    true_wrong = 1 / (1 + np.exp(np.clip(true_score, -30, 30)))  # 1 - P(true)
-    noise_wrong = 1 / (1 + np.exp(-np.clip(noise_score, -30, 30)))  # P(true | noise)
-    up, down = (true_wrong / n).astype(np.float32), (noise_wrong / n).astype(np.float32)
-    d_predicted = up[:, None] * true_out - down @ p["output"][samples]
+    shift = p["bias"] - np.log(k * noise).astype(np.float32)
+    vectors = p["context"].take(contexts, axis=0)
+    predicted = np.einsum("njs,js->ns", vectors, p["position"])
+    true_out, noise_out = p["output"].take(targets, axis=0), p["output"].take(samples, axis=0)
+    true_wrong = _logistic(-(np.einsum("ij,ij->i", predicted, true_out) + shift[targets]))  # 1 - P(true)
+    down = predicted @ noise_out.T
+    down += shift[samples]
+    _logistic(down)  # P(true | noise)
+    down /= n
+    up = true_wrong / np.float32(n)
+    d_predicted = up[:, None] * true_out
+    d_predicted -= down @ noise_out
+    d_vectors = d_predicted[:, None, :] * p["position"]
     grads = {
-        "output": _sum_rows(up[:, None] * predicted, targets, len(p["output"])),
-        "bias": np.bincount(targets, up, len(p["bias"])).astype(np.float32),
-        "context": np.zeros_like(p["context"]), "position": np.zeros_like(p["position"]),
+        "output": _sum_rows(up[:, None] * predicted, targets, len(p["output"]))
+        - _sum_rows(down.T @ predicted, samples, len(p["output"])),
+        "bias": (np.bincount(targets, up, len(p["bias"])) - np.bincount(samples, down.sum(axis=0), len(p["bias"]))).astype(np.float32),
+        "context": _sum_rows(d_vectors.reshape(-1, d_vectors.shape[2]), contexts.ravel(), len(p["context"])),
+        "position": np.einsum("ns,njs->js", d_predicted, vectors),
     }
-    np.subtract.at(grads["output"], samples, down.T @ predicted)
-    np.subtract.at(grads["bias"], samples, down.sum(axis=0))
-    for j, v in enumerate(vectors):
-        grads["context"] += _sum_rows(d_predicted * p["position"][j], contexts[:, j], len(p["context"]))
-        grads["position"][j] = (d_predicted * v).sum(axis=0)
     for name, g in grads.items():
         state[name] += g * g
         p[name] += rate * g / np.sqrt(state[name] + 1e-10)
     return float(-np.log(np.maximum(1 - true_wrong, 1e-30)).mean())
 
 
+def draws(rng: np.random.Generator, cumulated: np.ndarray, n: int) -> np.ndarray:
+    """What ``rng.choice`` draws with these shares, which are cumulated once."""
+    return cumulated.searchsorted(rng.random(n), side="right")
+
+
 def train(texts: DataFrame, lexicon: Lexicon, rounds: int = 2, context: int = 3, size: int = 16, batch: int = 1024,
           noise_words: int = 64, rate: float = 0.1) -> dict[str, np.ndarray]:
     """Fit on all rows of ``texts`` (key, text): each round takes its own share of them.
@@ -190,6 +202,8 @@ def train(texts: DataFrame, lexicon: Lexicon, rounds: int = 2, context: int = 3,
     the number of tasks.
     """
     noise = (lexicon.class_counts + 1) / (lexicon.class_counts + 1).sum()
+    cumulated = noise.cumsum() / noise.sum()
+    cumulated /= cumulated[-1]
     params = initial(lexicon.classes, context, size, noise)
     sc = texts.sparkSession.sparkContext
     for turn in range(rounds):
@@ -211,7 +225,7 @@ def train(texts: DataFrame, lexicon: Lexicon, rounds: int = 2, context: int = 3,
                 whole = len(mixed) if flush else len(mixed) // batch * batch
                 for a in range(0, whole, batch):
                     at = mixed[a:a + batch]
-                    nce_step(p, state, contexts[at], targets[at], noise, rng.choice(len(noise), noise_words, p=noise), rate)
+                    nce_step(p, state, contexts[at], targets[at], noise, draws(rng, cumulated, noise_words), rate)
                 seen += whole
                 rest = mixed[whole:]
                 waiting[:] = [(contexts[rest], targets[rest])] if len(rest) else []
@@ -257,20 +271,42 @@ def _classes(text: str, coder: _Coder, class_at: np.ndarray) -> tuple[np.ndarray
     return places, classes.astype(np.int32), words
 
 
+def _distinct(contexts: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of contexts, and each row's place among them."""
+    width = contexts.shape[1]
+    if (classes + 1) ** width >= 2**62:
+        found, at = np.unique(contexts, axis=0, return_inverse=True)
+        return found, at.ravel()
+    keys = np.zeros(len(contexts), dtype=np.int64)
+    for j in range(width):
+        keys = keys * (classes + 1) + contexts[:, j]
+    _, first, at = np.unique(keys, return_index=True, return_inverse=True)
+    return contexts[first], at
+
+
 def class_log_probabilities(params: Mapping[str, np.ndarray], contexts: np.ndarray, targets: np.ndarray,
                             batch: int = 1024) -> np.ndarray:
-    """Natural log probabilities of the targets, normalised over all classes, by matrix products in batches."""
-    out = np.empty(len(targets), dtype=np.float64)
-    for a in range(0, len(targets), batch):
-        c, t = contexts[a:a + batch], targets[a:a + batch]
-        predicted = sum(params["context"][c[:, j]] * params["position"][j] for j in range(c.shape[1]))
-        scores = predicted @ params["output"].T
+    """Natural log probabilities of the targets, normalised over all classes, by matrix products in batches.
+
+    The sum over all classes is made once for each distinct context.
+    """
+    distinct, at = _distinct(contexts, len(params["bias"]))
+    predicted = np.empty((len(distinct), params["position"].shape[1]), dtype=np.float32)
+    whole = np.empty(len(distinct), dtype=np.float64)
+    for a in range(0, len(distinct), batch):
+        c = distinct[a:a + batch]
+        predicted[a:a + batch] = np.einsum("njs,js->ns", params["context"].take(c, axis=0), params["position"])
+        scores = predicted[a:a + batch] @ params["output"].T
         scores += params["bias"]
-        own = scores[np.arange(len(t)), t]
         top = scores.max(axis=1)
         scores -= top[:, None]
         np.exp(scores, out=scores)
-        out[a:a + batch] = own - top - np.log(scores.sum(axis=1))
+        whole[a:a + batch] = top + np.log(scores.sum(axis=1))
+    out = np.empty(len(targets), dtype=np.float64)
+    for a in range(0, len(targets), 16 * batch):
+        k, t = at[a:a + 16 * batch], targets[a:a + 16 * batch]
+        own = np.einsum("ij,ij->i", predicted.take(k, axis=0), params["output"].take(t, axis=0)) + params["bias"][t]
+        out[a:a + 16 * batch] = own - whole[k]
     return out
 
 
@@ -288,20 +324,34 @@ def score_parts(texts: DataFrame, lexicon: Lexicon, params: Mapping[str, np.ndar
         class_at, log_count = coder.classes_of_places(), np.log10(lex.counts + 0.5)
         log_mass = np.where(np.arange(lex.classes) < lex.singles, 0, np.log10(lex.class_mass))
         width = len(p["position"])
+        def scored(waiting: list) -> pd.DataFrame:
+            # The texts of a block share many contexts.
+            classes = np.concatenate([x[3] for x in waiting])
+            by_class = class_log_probabilities(p, np.concatenate([x[4] for x in waiting]), classes) / np.log(10) - log_mass[classes]
+            first = np.cumsum([0, *(len(x[3]) for x in waiting[:-1])])
+            sums = np.add.reduceat(by_class, first)
+            rows = [(doc, out, len(own), known, held_log, float(total + grouped), list(rare), list(rare.values()))
+                    for (doc, out, (known, held_log, grouped), own, _, rare), total in zip(waiting, sums)]
+            return pd.DataFrame(rows, columns=[x.split()[0] for x in _SCORED.split(", ")])
+
         for frame in batches:
-            rows = []
+            waiting, n_waiting = [], 0
             for doc, out, text in zip(frame["doc_id"], frame["held_out"], frame["text"]):
                 places, classes, words = _classes(text, coder, class_at)
                 known = places >= 0
                 held_log = log_count[places[known]]
-                by_class = class_log_probabilities(p, contexts_of(classes, width, lex.classes), classes).sum() / np.log(10)
-                grouped = classes[known] >= lex.singles
+                grouped = held_log[classes[known] >= lex.singles]
                 rare: dict[bytes, int] = {}
                 for at in np.flatnonzero(~known):
                     rare[words[at]] = rare.get(words[at], 0) + 1
-                rows.append((doc, out, len(words), int(known.sum()), float(held_log.sum()),
-                             float(by_class - log_mass[classes].sum() + held_log[grouped].sum()), list(rare), list(rare.values())))
-            yield pd.DataFrame(rows, columns=[x.split()[0] for x in _SCORED.split(", ")])
+                figures = int(known.sum()), float(held_log.sum()), float(grouped.sum())
+                waiting.append((doc, out, figures, classes, contexts_of(classes, width, lex.classes), rare))
+                n_waiting += len(classes)
+                if n_waiting >= _SCORED_AT_ONCE:
+                    yield scored(waiting)
+                    waiting, n_waiting = [], 0
+            if waiting:
+                yield scored(waiting)
 
     own = texts.select(id_key("doc_id").alias("doc_id"), "held_out", "text")
     return own.mapInPandas(run, _SCORED).withColumn("doc_id", plain_id("doc_id"))

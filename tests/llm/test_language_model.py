@@ -100,3 +100,34 @@ def test_frequent_words_have_a_class_of_their_own(spark):
     lexicon = lm.build_lexicon(counts)
     assert (lexicon.singles, lexicon.classes) == (224, 256)
     assert list(lexicon.class_counts[:224]) == [1000 - k for k in range(224)]
+
+
+def test_repeated_contexts_are_normalised_once(monkeypatch):
+    """As many exponentials as distinct contexts have classes, and the values of each token on its own."""
+    rng = np.random.default_rng(4)
+    params = lm.initial(20, 3, 8, np.full(20, 1 / 20))
+    contexts = rng.choice([3, 7, 20], (5000, 3)).astype(np.int32)
+    targets = rng.integers(0, 20, 5000).astype(np.int32)
+    scores = sum(params["context"][contexts[:, j]] * params["position"][j] for j in range(3)) @ params["output"].T + params["bias"]
+    want = scores[np.arange(5000), targets] - np.log(np.exp(scores.astype(np.float64)).sum(axis=1))
+    exp, made = np.exp, []
+    monkeypatch.setattr(lm.np, "exp", lambda x, **more: (made.append(np.size(x)), exp(x, **more))[1])
+    got = lm.class_log_probabilities(params, contexts, targets)
+    assert np.allclose(got, want, atol=1e-5) and sum(made) <= 27 * 20
+
+
+def test_wide_contexts_and_no_tokens():
+    params = lm.initial(300, 9, 4, np.full(300, 1 / 300))
+    contexts = np.random.default_rng(0).integers(0, 301, (40, 9)).astype(np.int32)
+    total = sum(np.exp(lm.class_log_probabilities(params, contexts, np.full(40, k))) for k in range(300))
+    assert np.allclose(total, 1, atol=1e-5)
+    assert len(lm.class_log_probabilities(params, contexts[:0], np.empty(0, dtype=np.int32))) == 0
+
+
+def test_noise_is_drawn_as_by_choice():
+    noise = np.random.default_rng(0).random(50)
+    noise /= noise.sum()
+    cumulated = noise.cumsum()
+    a, b = np.random.default_rng(9), np.random.default_rng(9)
+    for _ in range(20):
+        assert (lm.draws(a, cumulated / cumulated[-1], 64) == b.choice(50, 64, p=noise)).all()
