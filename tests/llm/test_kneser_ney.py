@@ -108,3 +108,33 @@ def test_counting_in_blocks_adds_up(spark, monkeypatch):
     monkeypatch.setattr(kn, "_BLOCK", 1)
     found = pd.concat(kn._grams(iter(frames))).groupby("uvw")["n"].sum()
     assert sorted((int(k), int(c)) for k, c in found.items()) == whole
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([0], [0, 0, 0], [1, 255, 256, 2**40], [2**64 - 1, 0]):
+        assert kn._unpack(kn._pack(np.array(numbers, dtype=np.uint64)), len(numbers)).tolist() == numbers
+
+
+@pytest.mark.parametrize("held", [0, 300, 10**6])
+def test_tokens_move_once_and_packed(make_docs, spark, monkeypatch, held):
+    """Few bytes a token in all, every token in one shard, and the same sums however many parts a shard is read in."""
+    docs = make_docs(_mixed_texts(1500))
+    rows = docs.select("doc_id", "lang", F.lit(False).alias("seen"), (F.col("doc_id") % 3 != 0).alias("trains"), F.lit(True).alias("scored"), "text")
+    codes, n = kn._codes(rows, 4, held), 4
+    assert codes.whole == (held == 10**6) and len(codes) <= 2 + held
+    moved = rows.coalesce(1).mapInPandas(kn._deal(spark.sparkContext.broadcast(codes), n), "shard long, block long, data binary").collect()
+    tokens = sum(len(text.split()) + 1 for _, text in _mixed_texts(1500))
+    if held:
+        assert sum(len(r["data"]) for r in moved) < 12 * tokens
+    blobs = {k: [(r["block"], bytes(r["data"])) for r in moved if r["shard"] == k] for k in range(n)}
+    assert sum(len(x[2]) for k in blobs for x in kn._Shard(k, blobs[k], codes, n).read(0)) == tokens
+    for k in blobs:
+        found = []
+        for at_once in (10**6, 500):
+            monkeypatch.setattr(kn, "_AT_ONCE", at_once)
+            own = kn._Shard(k, blobs[k], codes, n)
+            assert (own.parts > 1) == (at_once == 500)
+            p1 = np.linspace(0.01, 0.1, own.codes + len(own.others))
+            found.append((own.count(), own.score([0.5, 0.6, 0.7], [0.4, 0.5, 0.6], p1)))
+        assert all((a == b).all() for a, b in zip(found[0][0], found[1][0]))
+        assert all(np.allclose(x, found[1][1][block]) for block, x in found[0][1].items())
